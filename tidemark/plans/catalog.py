@@ -7,9 +7,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import asof, metrics
+from ..functions import scalar as S
+from ..operators import asof, constraints, events, metrics, stats
+from ..schemas import INFO_FIELDS
 from ..sources import fixtures as fx
+from ..sources import topic
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +85,106 @@ for _name, _width, _ms in (("1m", "1 minute", 60_000), ("1h", "1 hour", 3_600_00
 def q_sector_metrics_ties(spark, sf_dir):
     t, i = fx.trades_from_lineitem(spark, sf_dir), fx.info_from_orders(spark, sf_dir)
     return metrics.sector_metrics(asof.enrich_asof(t, i, bucket="1 day"), "1 day")
+
+
+# ---- S1 / P1-P4: decoding the wire format ---------------------------------------
+
+def _json_roundtrip(df: DataFrame, parse) -> DataFrame:
+    valid, _rejects = parse(topic.to_json_lines(df))
+    return valid
+
+
+@register("parse_trades", O.with_ctes(O.FIXTURE_CTE) + "\nSELECT * FROM trades")
+def q_parse_trades(spark, sf_dir):
+    t, _ = event_inputs(spark, sf_dir)
+    return _json_roundtrip(t, topic.parse_trades)
+
+
+@register("parse_info", O.with_ctes(O.FIXTURE_CTE) + "\nSELECT * FROM info")
+def q_parse_info(spark, sf_dir):
+    _, i = event_inputs(spark, sf_dir)
+    return _json_roundtrip(i, topic.parse_info)
+
+
+# ---- P9, P11, P12, P14, P17 --------------------------------------------------------
+
+@register("trade_value", O.with_ctes(O.FIXTURE_CTE) +
+          "\nSELECT symbol, seq, price, volume, CAST(price * volume AS DECIMAL(28,8)) AS trade_value FROM trades")
+def q_trade_value(spark, sf_dir):
+    t, _ = event_inputs(spark, sf_dir)
+    return t.select("symbol", "seq", "price", "volume", S.trade_value().alias("trade_value"))
+
+
+@register("enrich_missing_sentinel", O.ENRICHED_SENTINEL_SQL + "\nSELECT * FROM enriched")
+def q_enrich_missing_sentinel(spark, sf_dir):
+    return enriched(spark, sf_dir, missing="sentinel")
+
+
+@register("enrich_missing_null", O.enriched_sql(missing="null") + "\nSELECT * FROM enriched")
+def q_enrich_missing_null(spark, sf_dir):
+    return enriched(spark, sf_dir, missing="null")
+
+
+@register("sink_projection", O.ENRICHED_SENTINEL_SQL + O.SINK_PROJECTION)
+def q_sink_projection(spark, sf_dir):
+    return S.sink_projection(enriched(spark, sf_dir))
+
+
+@register("valid_trades", O.ENRICHED_SENTINEL_SQL + "\nSELECT * FROM enriched WHERE symbol IS NOT NULL")
+def q_valid_trades(spark, sf_dir):
+    return enriched(spark, sf_dir).where(F.col("symbol").isNotNull())
+
+
+@register("constraint_rejects",
+          O.with_ctes(O.TIES_CTE, O.asof_ctes(), O.ENRICHED_SENTINEL) + O.constraint_rejects_sql())
+def q_constraint_rejects(spark, sf_dir):
+    t, i = fx.trades_from_lineitem(spark, sf_dir), fx.info_from_orders(spark, sf_dir)
+    e = asof.enrich_asof(t, i, bucket="1 day")
+    _ok, rejects = constraints.check_constraints(e, constraints.ENRICHED_CONSTRAINTS)
+    return rejects
+
+
+# ---- U1, E2, E4, E5, E6, E10 -----------------------------------------------------
+
+@register("union_events", O.with_ctes(O.FIXTURE_CTE) + O.UNION_EVENTS)
+def q_union_events(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return events.union_events(t, i)
+
+
+@register("latest_info", O.with_ctes(O.FIXTURE_CTE) + O.LATEST_INFO)
+def q_latest_info(spark, sf_dir):
+    _, i = event_inputs(spark, sf_dir)
+    return asof.latest_info(i)
+
+
+@register("forward_fill", O.with_ctes(O.FIXTURE_CTE) + O.FORWARD_FILL)
+def q_forward_fill(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    u = events.union_events(t, i)
+    filled = asof.forward_fill(u, list(INFO_FIELDS), ["symbol"], ["event_ms", "record_type", "seq"],
+                               bucket_on="event_ms", bucket="1 hour")
+    return events.trades_only(filled).select(*t.columns, *INFO_FIELDS)
+
+
+@register("enrich_seeded", O.ENRICHED_SENTINEL_SQL + "\nSELECT * FROM enriched")
+def q_enrich_seeded(spark, sf_dir):
+    """Two batches split at a cut time; batch 2 starts from batch 1's carried state."""
+    t, i = event_inputs(spark, sf_dir)
+    cut = t.agg(F.percentile_approx("trade_timestamp", 0.5)).first()[0]
+    t1, t2 = t.where(F.col("trade_timestamp") < cut), t.where(F.col("trade_timestamp") >= cut)
+    i1, i2 = i.where(F.col("info_timestamp") < cut), i.where(F.col("info_timestamp") >= cut)
+    state = asof.latest_info(i1)
+    return asof.enrich_asof(t1, i1).unionByName(asof.enrich_asof(t2, i2, seed=state))
+
+
+@register("enrich_ttl", O.enriched_sql(ttl_ms=86_400_000) + "\nSELECT * FROM enriched")
+def q_enrich_ttl(spark, sf_dir):
+    return enriched(spark, sf_dir, ttl="24 hours")
+
+
+@register("enrich_stats", O.ENRICHED_SENTINEL_SQL + """
+SELECT count(*) AS enriched_count, CAST(sum(CASE WHEN info_timestamp = 0 THEN 1 ELSE 0 END) AS BIGINT)
+       AS unknown_count FROM enriched""")
+def q_enrich_stats(spark, sf_dir):
+    return stats.enrich_stats(enriched(spark, sf_dir))

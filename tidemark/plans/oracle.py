@@ -112,3 +112,73 @@ SELECT epoch_ms((trade_timestamp // {width_ms}) * {width_ms}) AS window_start,
        CAST(sum(volume) AS BIGINT) AS total_volume
 FROM {src}
 GROUP BY 1, 2, 3"""
+
+
+ENRICHED_SENTINEL_SQL = enriched_sql()
+
+SINK_PROJECTION = """
+SELECT symbol, CAST(price AS DECIMAL(28,8)) AS price, CAST(volume AS INTEGER) AS volume,
+       epoch_ms(trade_timestamp) AS trade_timestamp, company, sector, market_cap,
+       CASE WHEN info_timestamp > 0 THEN epoch_ms(info_timestamp) END AS info_timestamp,
+       CAST(trade_value AS DECIMAL(28,8)) AS trade_value
+FROM enriched"""
+
+UNION_EVENTS = """
+SELECT symbol, price, volume, trade_timestamp, seq,
+       CAST(NULL AS VARCHAR) AS company, CAST(NULL AS VARCHAR) AS sector, CAST(NULL AS BIGINT) AS market_cap,
+       CAST(NULL AS BIGINT) AS info_timestamp, 'trade' AS record_type, trade_timestamp AS event_ms,
+       epoch_ms(trade_timestamp) AS event_timestamp
+FROM trades
+UNION ALL
+SELECT symbol, NULL, NULL, NULL, seq, company, sector, market_cap, info_timestamp, 'info',
+       info_timestamp, epoch_ms(info_timestamp)
+FROM info"""
+
+LATEST_INFO = """
+SELECT symbol, company, sector, market_cap, info_timestamp, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY info_timestamp DESC, seq) AS rn
+  FROM info WHERE info_timestamp > 0) WHERE rn = 1"""
+
+FORWARD_FILL = """,
+fu AS (
+  SELECT symbol, price, volume, trade_timestamp, seq, CAST(NULL AS VARCHAR) AS company,
+         CAST(NULL AS VARCHAR) AS sector, CAST(NULL AS BIGINT) AS market_cap,
+         CAST(NULL AS BIGINT) AS info_timestamp, 1 AS ord, trade_timestamp AS ms FROM trades
+  UNION ALL
+  SELECT symbol, NULL, NULL, NULL, seq, company, sector, market_cap, info_timestamp, 0, info_timestamp
+  FROM info),
+ff AS (
+  SELECT *,
+    last_value(company IGNORE NULLS) OVER w AS f_company,
+    last_value(sector IGNORE NULLS) OVER w AS f_sector,
+    last_value(market_cap IGNORE NULLS) OVER w AS f_market_cap,
+    last_value(info_timestamp IGNORE NULLS) OVER w AS f_info_timestamp
+  FROM fu
+  WINDOW w AS (PARTITION BY symbol ORDER BY ms, ord, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT symbol, price, volume, trade_timestamp, seq, f_company AS company, f_sector AS sector,
+       f_market_cap AS market_cap, f_info_timestamp AS info_timestamp
+FROM ff WHERE ord = 1"""
+
+
+def constraint_rejects_sql() -> str:
+    return """,
+chk AS (
+  SELECT *, concat_ws('; ',
+      CASE WHEN symbol IS NULL THEN 'symbol is null' END,
+      CASE WHEN price IS NULL THEN 'price is null' END,
+      CASE WHEN volume IS NULL THEN 'volume is null' END,
+      CASE WHEN trade_timestamp IS NULL THEN 'trade_timestamp is null' END,
+      CASE WHEN length(symbol) > 8 THEN 'symbol longer than 8' END,
+      CASE WHEN length(company) > 20 THEN 'company longer than 20' END,
+      CASE WHEN length(sector) > 20 THEN 'sector longer than 20' END,
+      CASE WHEN price IS NOT NULL AND TRY_CAST(price AS DECIMAL(28,8)) IS NULL THEN 'price out of decimal(28,8)' END,
+      CASE WHEN trade_value IS NOT NULL AND TRY_CAST(trade_value AS DECIMAL(28,8)) IS NULL
+           THEN 'trade_value out of decimal(28,8)' END) AS reason
+  FROM enriched),
+good AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol, trade_timestamp, volume
+                               ORDER BY seq, price, company, sector, market_cap, info_timestamp, trade_value) AS rn
+  FROM chk WHERE reason = '')
+SELECT * EXCLUDE (rn) REPLACE ('duplicate key' AS reason) FROM good WHERE rn > 1
+UNION ALL
+SELECT * FROM chk WHERE reason <> ''"""
