@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators import asof, constraints, events, metrics, stats
+from ..operators import asof, constraints, events, latest, metrics, stats
 from ..schemas import INFO_FIELDS
+from ..session import scratch_path
+from ..sinks import table as tbl
+from ..sinks import upsert
 from ..sources import fixtures as fx
 from ..sources import topic
+from ..streaming import feed
 from . import oracle as O
+from . import pipelines as P
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,3 +193,182 @@ SELECT count(*) AS enriched_count, CAST(sum(CASE WHEN info_timestamp = 0 THEN 1
        AS unknown_count FROM enriched""")
 def q_enrich_stats(spark, sf_dir):
     return stats.enrich_stats(enriched(spark, sf_dir))
+
+
+# ---- streaming: S1, S2, E7, W2-W9, K1, K5, K7 --------------------------------------
+
+_M1 = O.metrics_select(60_000)
+_M1H = O.metrics_select(3_600_000)
+
+
+@register("stream_ingest_trades", O.with_ctes(O.FIXTURE_CTE) + "\nSELECT * FROM trades")
+def q_stream_ingest_trades(spark, sf_dir):
+    """Trades JSON files -> streaming text source -> parse -> replay-safe table."""
+    t, _ = event_inputs(spark, sf_dir)
+    lay = P.layout(spark, "ingest")
+
+    def start():
+        parsed, _rej = topic.parse_trades(topic.read_topic(spark, "trades", path=lay.in_trades))
+        return (parsed.writeStream.foreachBatch(lambda df, b: tbl.write_batch(df, lay.trades, b))
+                .option("checkpointLocation", lay.ckpt).trigger(availableNow=True).start())
+
+    feed.feed_in_slices({"trades": (t, "trade_timestamp", lay.in_trades)}, 3, [start])
+    return tbl.read_table(spark, lay.trades).select(*t.columns)
+
+
+@register("stream_enrich", _ENRICHED_SQL + "\nSELECT * FROM enriched")
+def q_stream_enrich(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3))
+
+
+@register("stream_enrich_history", _ENRICHED_SQL + "\nSELECT * FROM enriched")
+def q_stream_enrich_history(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, late="history"))
+
+
+@register("stream_sector_metrics", _ENRICHED_SQL + _M1)
+def q_stream_sector_metrics(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return P.latest_metrics(spark, P.run_staged(spark, t, i, k=3, width="1 minute"))
+
+
+@register("stream_sector_metrics_append", _ENRICHED_SQL + O.metrics_cte(60_000) + O.APPEND_CLOSED)
+def q_stream_sector_metrics_append(spark, sf_dir):
+    """Append mode: a window is emitted once, after the watermark (max event time
+    minus 5 minutes) passes its end; windows still open when the input ends are
+    not emitted."""
+    t, i = event_inputs(spark, sf_dir)
+    lay = P.run_staged(spark, t, i, k=3, width="1 minute", output_mode="append", name="append")
+    return P.latest_metrics(spark, lay)
+
+
+@register("staged_enriched", _ENRICHED_SQL + O.SINK_PROJECTION)
+def q_staged_enriched(spark, sf_dir):
+    """Second hop: the enriched table re-read as a stream into the serving projection."""
+    t, i = event_inputs(spark, sf_dir)
+    lay = P.run_staged(spark, t, i, k=3, serving=True)
+    return tbl.read_table(spark, lay.serving).drop("batch_id", "ingestion_time")
+
+
+@register("pipeline_staged", _ENRICHED_SQL + _M1H)
+def q_pipeline_staged(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return P.latest_metrics(spark, P.run_staged(spark, t, i, k=3, width="1 hour"))
+
+
+@register("pipeline_unified", _ENRICHED_SQL + _M1H)
+def q_pipeline_unified(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return P.latest_metrics(spark, P.run_unified(spark, t, i, k=3, width="1 hour"))
+
+
+@register("early_results")
+def q_early_results(spark, sf_dir):
+    """Every update-mode emission (partial results before windows close), not resolved."""
+    t, i = event_inputs(spark, sf_dir)
+    lay = P.run_staged(spark, t, i, k=3, width="1 hour", name="early")
+    return tbl.read_table(spark, lay.metrics)
+
+
+# ---- keyed sinks, latest views, retention, compaction, history -------------------
+
+def _ties_enriched(spark, sf_dir):
+    t, i = fx.trades_from_lineitem(spark, sf_dir), fx.info_from_orders(spark, sf_dir)
+    return asof.enrich_asof(t, i, bucket="1 day")
+
+
+@register("dedup_trades", _TIES_SQL + O.DEDUP_TRADES)
+def q_dedup_trades(spark, sf_dir):
+    return latest.dedup_first(_ties_enriched(spark, sf_dir), ["symbol", "trade_timestamp", "volume"])
+
+
+@register("upsert_ignore", _TIES_SQL + O.DEDUP_TRADES)
+def q_upsert_ignore(spark, sf_dir):
+    """Insert-ignore in 3 time-sliced batches, then the last batch replayed."""
+    e = _ties_enriched(spark, sf_dir)
+    path = scratch_path(spark, "upsert-ignore")
+    cuts = feed.time_cuts(e, "trade_timestamp", 3)
+    keys = ["symbol", "trade_timestamp", "volume"]
+    for b in range(len(cuts) + 1):
+        upsert.upsert(feed.time_slice(e, "trade_timestamp", cuts, b), path, b, keys, prune_on="trade_timestamp")
+    upsert.upsert(feed.time_slice(e, "trade_timestamp", cuts, len(cuts)), path, len(cuts), keys)
+    return tbl.read_table(spark, path).select(*e.columns)
+
+
+@register("upsert_update", _ENRICHED_SQL + _M1H)
+def q_upsert_update(spark, sf_dir):
+    """Update-mode emissions (cumulative totals of the windows each batch touches) upserted by key."""
+    e = enriched(spark, sf_dir)
+    path = scratch_path(spark, "upsert-update")
+    cuts = feed.time_cuts(e, "trade_timestamp", 3)
+    for b in range(len(cuts) + 1):
+        upto = e.where(F.col("trade_timestamp") < cuts[b]) if b < len(cuts) else e
+        touched = metrics.sector_metrics(feed.time_slice(e, "trade_timestamp", cuts, b), "1 hour")
+        emit = metrics.sector_metrics(upto, "1 hour").join(
+            touched.select(*P.METRIC_KEYS), P.METRIC_KEYS, "left_semi")
+        upsert.upsert(emit, path, b, P.METRIC_KEYS, policy="update")
+    return upsert.latest_view(tbl.read_table(spark, path), P.METRIC_KEYS).select(*P.METRIC_COLS)
+
+
+def _metrics_log(spark, sf_dir, width="1 hour"):
+    """Metrics written through the staged stream into the update log."""
+    t, i = event_inputs(spark, sf_dir)
+    return P.run_staged(spark, t, i, k=3, width=width, name="latest")
+
+
+@register("latest_metrics", _ENRICHED_SQL + _M1H)
+def q_latest_metrics(spark, sf_dir):
+    lay = _metrics_log(spark, sf_dir)
+    return latest.latest_per_key(tbl.read_table(spark, lay.metrics), P.METRIC_KEYS,
+                                 ["batch_id", "ingestion_time"]).select(*P.METRIC_COLS)
+
+
+@register("view_sector_latest", _ENRICHED_SQL + O.metrics_cte(3_600_000) +
+          "\nSELECT window_start, window_end, sector, trade_count, total_value, avg_price FROM metrics")
+def q_view_sector_latest(spark, sf_dir):
+    lay = _metrics_log(spark, sf_dir)
+    P.latest_metrics(spark, lay).createOrReplaceTempView("view_sector_latest")
+    return spark.sql("SELECT window_start, window_end, sector, trade_count, total_value, avg_price "
+                     "FROM view_sector_latest")
+
+
+@register("symbol_recent_trades", _ENRICHED_SQL + O.RECENT_TRADES)
+def q_symbol_recent_trades(spark, sf_dir):
+    return latest.newest_per_key(enriched(spark, sf_dir), ["symbol"], ["trade_timestamp", "seq"], 5)
+
+
+@register("retention_kept", _ENRICHED_SQL + O.metrics_cte(60_000) +
+          O.RETENTION_KEPT)
+def q_retention_kept(spark, sf_dir):
+    """Metrics stamped with ingestion_time = window_end, then rows older than 2 days deleted."""
+    m = metrics.sector_metrics(enriched(spark, sf_dir), "1 minute")
+    path = scratch_path(spark, "retain")
+    tbl.write_batch(m.withColumn("ingestion_time", F.col("window_end")), path, 0, stamp_ingestion=False)
+    now = m.agg(F.max("window_end")).first()[0]
+    tbl.retain(spark, path, "ingestion_time", "2 days", now=now)
+    return tbl.read_table(spark, path).drop("batch_id")
+
+
+def _sliced_table(spark, sf_dir, k=3):
+    e = enriched(spark, sf_dir)
+    path = scratch_path(spark, "compact")
+    cuts = feed.time_cuts(e, "trade_timestamp", k)
+    for b in range(len(cuts) + 1):
+        tbl.write_batch(feed.time_slice(e, "trade_timestamp", cuts, b), path, b)
+    return e, path
+
+
+@register("compact_same_rows", _ENRICHED_SQL + "\nSELECT * FROM enriched")
+def q_compact_same_rows(spark, sf_dir):
+    e, path = _sliced_table(spark, sf_dir)
+    tbl.compact(spark, path)
+    return tbl.read_table(spark, path).select(*e.columns)
+
+
+@register("commit_history", _ENRICHED_SQL + O.commit_history_sql(3))
+def q_commit_history(spark, sf_dir):
+    _e, path = _sliced_table(spark, sf_dir)
+    tbl.compact(spark, path)
+    return tbl.recent_history(spark, path, 5).select("version", "operation", "rows")

@@ -182,3 +182,45 @@ good AS (
 SELECT * EXCLUDE (rn) REPLACE ('duplicate key' AS reason) FROM good WHERE rn > 1
 UNION ALL
 SELECT * FROM chk WHERE reason <> ''"""
+
+
+def metrics_cte(width_ms: int) -> str:
+    """``,metrics AS (...)`` to append after the enriched CTEs."""
+    return f""",
+metrics AS ({metrics_select(width_ms)})"""
+
+
+DEDUP_TRADES = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, trade_timestamp, volume
+                               ORDER BY seq, price, company, sector, market_cap, info_timestamp, trade_value) AS rn
+  FROM enriched) WHERE rn = 1"""
+
+RECENT_TRADES = """
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_timestamp DESC, seq DESC) AS rank
+  FROM enriched) WHERE rank <= 5"""
+
+RETENTION_KEPT = """
+SELECT *, window_end AS ingestion_time FROM metrics
+WHERE window_end >= (SELECT max(window_end) FROM metrics) - INTERVAL 2 DAYS"""
+
+
+def commit_history_sql(k: int) -> str:
+    """Versions 0..k-1 are the k time-slice appends, version k the compaction; newest 5 first."""
+    return f""",
+b AS (SELECT min(trade_timestamp) AS lo, max(trade_timestamp) AS hi FROM enriched),
+sl AS (
+  SELECT CAST(coalesce((SELECT max(i) FROM range(1, {k}) r(i)
+                        WHERE e.trade_timestamp >= b.lo + (b.hi - b.lo) * i // {k}), 0) AS BIGINT) AS s
+  FROM enriched e, b),
+h AS (
+  SELECT s AS version, 'append' AS operation, count(*) AS rows FROM sl GROUP BY s
+  UNION ALL
+  SELECT {k}, 'compact', count(*) FROM enriched)
+SELECT version, operation, CAST(rows AS BIGINT) AS rows FROM h ORDER BY version DESC LIMIT 5"""
+
+
+APPEND_CLOSED = """
+SELECT * FROM metrics
+WHERE window_end <= epoch_ms((SELECT max(trade_timestamp) FROM enriched) - 300000)"""
