@@ -219,13 +219,19 @@ def q_stream_ingest_trades(spark, sf_dir):
 @register("stream_enrich", _ENRICHED_SQL + "\nSELECT * FROM enriched")
 def q_stream_enrich(spark, sf_dir):
     t, i = event_inputs(spark, sf_dir)
-    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3))
+    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, engine="state"))
+
+
+@register("stream_enrich_batchwise", _ENRICHED_SQL + "\nSELECT * FROM enriched")
+def q_stream_enrich_batchwise(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, engine="batchwise"))
 
 
 @register("stream_enrich_history", _ENRICHED_SQL + "\nSELECT * FROM enriched")
 def q_stream_enrich_history(spark, sf_dir):
     t, i = event_inputs(spark, sf_dir)
-    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, late="history"))
+    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, late="history", engine="state"))
 
 
 @register("stream_sector_metrics", _ENRICHED_SQL + _M1)

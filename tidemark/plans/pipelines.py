@@ -27,7 +27,9 @@ from ..session import scratch_path
 from ..sinks import table as tbl
 from ..sinks.upsert import latest_view, upsert
 from ..sources.topic import parse_info, parse_trades, read_topic
-from ..streaming.enrich_stream import enrich_stream
+from ..operators.stats import observe_enrichment
+from ..streaming.enrich_batches import enrich_micro_batch
+from ..streaming.enrich_stream import enrich_stream, stream_union
 from ..streaming.feed import feed_in_slices
 
 METRIC_KEYS = ["window_start", "sector"]
@@ -46,15 +48,34 @@ def layout(spark: SparkSession, name: str) -> Layout:
     return Layout(scratch_path(spark, name))
 
 
-def _enriched_stream(spark: SparkSession, lay: Layout, *, max_files: int | None = None,
-                     late: str = "current_state") -> DataFrame:
+def _parsed_topics(spark: SparkSession, lay: Layout, max_files: int | None = None):
     t, _ = parse_trades(read_topic(spark, "trades", path=lay.in_trades, max_per_trigger=max_files))
     i, _ = parse_info(read_topic(spark, "info", path=lay.in_info, max_per_trigger=max_files))
-    return enrich_stream(t, i, late=late)
+    return t, i
+
+
+def _enriched_stream(spark: SparkSession, lay: Layout, *, max_files: int | None = None,
+                     late: str = "current_state") -> DataFrame:
+    t, i = _parsed_topics(spark, lay, max_files)
+    return observe_enrichment(enrich_stream(t, i, late=late))
+
+
+def start_enrichment(spark: SparkSession, lay: Layout, *, engine: str = "batchwise", **kw):
+    """Query A: enriched trades appended to the enriched table, one folder per batch.
+
+    ``engine='batchwise'`` (default): foreachBatch + seeded bucketed as-of, state
+    in a table (no Python on the data path). ``engine='state'``: the
+    ``transformWithStateInPandas`` operator (required for ``late='history'``).
+    """
+    if engine == "batchwise":
+        t, i = _parsed_topics(spark, lay, kw.get("max_files"))
+
+        def fb(df: DataFrame, batch_id: int) -> None:
+            enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state)
 
+        return (stream_union(t, i).writeStream.foreachBatch(fb)
+                .option("checkpointLocation", lay.ckpt_enrich).trigger(availableNow=True).start())
 
-def start_enrichment(spark: SparkSession, lay: Layout, **kw):
-    """Query A: enriched trades appended to the enriched table, one folder per batch."""
     enriched = _enriched_stream(spark, lay, **kw)
 
     def sink(df: DataFrame, batch_id: int) -> None:
@@ -107,11 +128,11 @@ def run_staged(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: in
 
 
 def run_enrichment_only(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: int = 3,
-                        name: str = "enrich", late: str = "current_state") -> Layout:
+                        name: str = "enrich", late: str = "current_state", engine: str = "batchwise") -> Layout:
     lay = layout(spark, name)
     feed_in_slices({"trades": (trades, "trade_timestamp", lay.in_trades),
                     "info": (info, "info_timestamp", lay.in_info)}, k,
-                   [lambda: start_enrichment(spark, lay, late=late)])
+                   [lambda: start_enrichment(spark, lay, late=late, engine=engine)])
     return lay
 
 

@@ -4,7 +4,7 @@ Layout under ``path``::
 
     data/batch_id=N/        one folder per write, overwritten on replay of batch N
     compacted/v=V/          rewrites (compaction, retention) - never streamed
-    _history/v=V/           one JSON row per commit: version, operation,
+    _history/V.json         one JSON object per commit: version, operation,
                             timestamp, batch_id, rows, adds, removes
 
 Batch readers take the live folders from the history; streaming readers follow
@@ -15,9 +15,10 @@ rows by a downstream stream. One writer per table is assumed.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +46,49 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# Commit files are immutable once written, so their parsed content is cached.
+_ENTRY_CACHE: dict[str, dict] = {}
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
+def _entries(spark: SparkSession, path: str) -> list[dict]:
+    """The commit log, oldest first. It is metadata (one small file per commit),
+    read on the driver through the Hadoop FileSystem API - no Spark job."""
+    fs, hp = _fs(spark, f"{path}/_history")
+    if not fs.exists(hp):
+        return []
+    out = []
+    for st in fs.listStatus(hp):
+        name = st.getPath().getName()
+        if not name.endswith(".json"):
+            continue
+        key = f"{path}/_history/{name}"
+        if key not in _ENTRY_CACHE:
+            _ENTRY_CACHE[key] = json.loads(_read_text(spark, key))
+        out.append(_ENTRY_CACHE[key])
+    return sorted(out, key=lambda e: e["version"])
+
+
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Every commit of the table, one row each (M2)."""
-    hp = f"{path}/_history"
-    if not _exists(spark, hp):
-        return spark.createDataFrame([], HISTORY_SCHEMA)
-    return spark.read.schema(HISTORY_SCHEMA).json(hp)
+    rows = [(e["version"], dt.datetime.fromisoformat(e["timestamp"]), e["operation"], e.get("batch_id"),
+             e.get("rows"), e.get("adds", []), e.get("removes", [])) for e in _entries(spark, path)]
+    return spark.createDataFrame(rows, HISTORY_SCHEMA)
 
 
 def recent_history(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
@@ -59,33 +97,42 @@ def recent_history(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
         "version", "operation", "timestamp", "batch_id", "rows")
 
 
-def _entries(spark: SparkSession, path: str) -> list:
-    # The history is metadata: one small row per commit.
-    return sorted(history(spark, path).collect(), key=lambda r: r.version)
-
-
 def live_dirs(spark: SparkSession, path: str) -> list[str]:
     live: dict[str, None] = {}
     for e in _entries(spark, path):
-        for r in e.removes or []:
+        for r in e.get("removes") or []:
             live.pop(r, None)
-        for a in e.adds or []:
+        for a in e.get("adds") or []:
             live[a] = None
     return list(live)
 
 
-def _commit(spark: SparkSession, path: str, operation: str, rows: int, adds: list[str],
+def _commit(spark: SparkSession, path: str, operation: str, rows: int | None, adds: list[str],
             removes: list[str], batch_id: int | None = None) -> int:
+    """Append one commit file. ``create(overwrite=False)`` fails if the version was
+    taken by another writer, so a version is never written twice."""
     entries = _entries(spark, path)
-    version = (entries[-1].version + 1) if entries else 0
-    row = (version, dt.datetime.now(dt.timezone.utc), operation, batch_id, rows, adds, removes)
-    (spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
-     .write.mode("overwrite").json(f"{path}/_history/v={version:012d}"))
+    version = (entries[-1]["version"] + 1) if entries else 0
+    entry = {"version": version, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(),
+             "operation": operation, "batch_id": batch_id, "rows": rows, "adds": adds, "removes": removes}
+    fs, p = _fs(spark, f"{path}/_history/{version:020d}.json")
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(json.dumps(entry).encode("utf-8")))
+    finally:
+        out.close()
     return version
 
 
 def committed_batches(spark: SparkSession, path: str) -> set[int]:
-    return {e.batch_id for e in _entries(spark, path) if e.operation == "append" and e.batch_id is not None}
+    return {e["batch_id"] for e in _entries(spark, path)
+            if e["operation"] == "append" and e.get("batch_id") is not None}
+
+
+def _write_counted(df: DataFrame, target: str) -> int:
+    obs = Observation()
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+    return int(obs.get["n"])
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *, stamp_ingestion: bool = True,
@@ -96,10 +143,9 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *, stamp_ingestion: boo
     spark = df.sparkSession
     out = df.withColumn("ingestion_time", F.current_timestamp()) if stamp_ingestion else df
     rel = f"data/batch_id={batch_id}"
-    out.write.mode("overwrite").parquet(f"{path}/{rel}")
+    rows = _write_counted(out, f"{path}/{rel}")
     if batch_id in committed_batches(spark, path):
         return -1
-    rows = spark.read.parquet(f"{path}/{rel}").count()
     return _commit(spark, path, operation, rows, [rel], [], batch_id)
 
 
@@ -151,10 +197,9 @@ def table_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
 
 def _rewrite(spark: SparkSession, path: str, df: DataFrame, n_files: int, operation: str) -> int:
     entries = _entries(spark, path)
-    version = (entries[-1].version + 1) if entries else 0
+    version = (entries[-1]["version"] + 1) if entries else 0
     rel = f"compacted/v={version}"
-    df.repartition(n_files).write.mode("overwrite").parquet(f"{path}/{rel}")
-    rows = spark.read.parquet(f"{path}/{rel}").count()
+    rows = _write_counted(df.repartition(n_files), f"{path}/{rel}")
     return _commit(spark, path, operation, rows, [rel], live_dirs(spark, path))
 
 
