@@ -55,9 +55,9 @@ def _parsed_topics(spark: SparkSession, lay: Layout, max_files: int | None = Non
 
 
 def _enriched_stream(spark: SparkSession, lay: Layout, *, max_files: int | None = None,
-                     late: str = "current_state") -> DataFrame:
+                     late: str = "current_state", watermark: str | None = None) -> DataFrame:
     t, i = _parsed_topics(spark, lay, max_files)
-    return observe_enrichment(enrich_stream(t, i, late=late))
+    return observe_enrichment(enrich_stream(t, i, late=late, watermark=watermark))
 
 
 def start_enrichment(spark: SparkSession, lay: Layout, *, engine: str = "batchwise", **kw):
