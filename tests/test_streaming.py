@@ -138,3 +138,16 @@ def test_observed_enrichment_counters(spark, mk):
     seen = [p["observedMetrics"]["enrich"] for p in q.recentProgress if "enrich" in p.get("observedMetrics", {})]
     assert seen and seen[0]["enriched_count"] == 2 and seen[0]["unknown_count"] == 1
     assert ms("2024-01-01 10:00") == day("10:00")
+
+
+@pytest.mark.parametrize("batches,want", [
+    # gap of 25 h between the first trade and the second: the info expired
+    ([([("S", day("11:00", 1), 2)], [("S", day("10:00", 1), 1, "A")]), ([("S", day("12:00", 2), 3)], [])],
+     ["A", "UNKNOWN"]),
+    # trades every 23 h keep the symbol alive
+    ([([("S", day("09:00", 2), 2)], [("S", day("10:00", 1), 1, "A")]), ([("S", day("08:00", 3), 3)], [])],
+     ["A", "A"]),
+])
+def test_stream_ttl(spark, mk, batches, want):
+    lay = _run(spark, mk, batches, engine="state", ttl="24 hours", watermark="5 minutes")
+    assert _sectors(spark, lay) == want

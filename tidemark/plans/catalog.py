@@ -228,6 +228,14 @@ def q_stream_enrich_batchwise(spark, sf_dir):
     return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, engine="batchwise"))
 
 
+@register("stream_enrich_ttl", O.enriched_sql(ttl_ms=86_400_000) + "\nSELECT * FROM enriched")
+def q_stream_enrich_ttl(spark, sf_dir):
+    """Stateful enrichment whose per-symbol state expires 24 h after the symbol's newest event."""
+    t, i = event_inputs(spark, sf_dir)
+    lay = P.run_enrichment_only(spark, t, i, k=3, engine="state", ttl="24 hours", watermark="5 minutes")
+    return P.enriched_rows(spark, lay)
+
+
 @register("stream_enrich_history", _ENRICHED_SQL + "\nSELECT * FROM enriched")
 def q_stream_enrich_history(spark, sf_dir):
     t, i = event_inputs(spark, sf_dir)

@@ -55,9 +55,10 @@ def _parsed_topics(spark: SparkSession, lay: Layout, max_files: int | None = Non
 
 
 def _enriched_stream(spark: SparkSession, lay: Layout, *, max_files: int | None = None,
-                     late: str = "current_state", watermark: str | None = None) -> DataFrame:
+                     late: str = "current_state", watermark: str | None = None,
+                     ttl: str | None = None) -> DataFrame:
     t, i = _parsed_topics(spark, lay, max_files)
-    return observe_enrichment(enrich_stream(t, i, late=late, watermark=watermark))
+    return observe_enrichment(enrich_stream(t, i, late=late, watermark=watermark, ttl=ttl))
 
 
 def start_enrichment(spark: SparkSession, lay: Layout, *, engine: str = "batchwise", **kw):
@@ -128,11 +129,11 @@ def run_staged(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: in
 
 
 def run_enrichment_only(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: int = 3,
-                        name: str = "enrich", late: str = "current_state", engine: str = "batchwise") -> Layout:
+                        name: str = "enrich", engine: str = "batchwise", **kw) -> Layout:
     lay = layout(spark, name)
     feed_in_slices({"trades": (trades, "trade_timestamp", lay.in_trades),
                     "info": (info, "info_timestamp", lay.in_info)}, k,
-                   [lambda: start_enrichment(spark, lay, late=late, engine=engine)])
+                   [lambda: start_enrichment(spark, lay, engine=engine, **kw)])
     return lay
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.scalar import default_missing, trade_value
-from ..functions.time import epoch_ms_to_ts
+from ..functions.time import epoch_ms_to_ts, interval_ms
 from ..schemas import INFO_FIELDS
 
 STATE_SCHEMA = T.StructType([
@@ -69,16 +69,21 @@ def _newer(a_ms, a_seq, b_ms, b_seq):
 class EnrichProcessor(StatefulProcessor):
     """Per-symbol as-of state; see the module docstring for the two late modes."""
 
-    def __init__(self, late: str = "current_state"):
+    def __init__(self, late: str = "current_state", ttl_ms: int | None = None):
         if late not in ("current_state", "history"):
             raise ValueError("late must be 'current_state' or 'history'")
+        if ttl_ms is not None and late != "current_state":
+            raise ValueError("ttl is supported with late='current_state'")
         self.late = late
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.latest = handle.getValueState("latest", STATE_SCHEMA)
         if self.late == "history":
             self.hist = handle.getListState("history", STATE_SCHEMA)
+        if self.ttl_ms is not None:
+            self.last_event = handle.getValueState("last_event", "ms bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
@@ -93,9 +98,49 @@ class EnrichProcessor(StatefulProcessor):
             out = self._fill_history(trades, infos, timerValues)
         else:
             out = self._fill_current(pdf, trades, is_info, keep)
+        if self.ttl_ms is not None:
+            self._arm_expiry(pdf)
         if len(out):
             yield out[[f.name for f in OUT_SCHEMA.fields]]
 
+    # -- ttl: a gap longer than ttl between consecutive events starts a new session
+    def _sessions(self, pdf, counted) -> np.ndarray:
+        """Position of the current session's first event for every row (-1: the
+        session carried in from the state continues)."""
+        n = len(pdf)
+        ms = pdf["ev_ms"].to_numpy(dtype=np.int64)
+        prev_evt = self.last_event.get()[0] if self.last_event.exists() else None
+        starts = np.zeros(n, dtype=bool)
+        last_seen = prev_evt
+        # events that count for gaps: trades and valid infos, in (ms, ord, seq) order
+        idx = np.flatnonzero(counted)
+        prev = np.empty(len(idx), dtype=np.int64)
+        if len(idx):
+            prev[0] = last_seen if last_seen is not None else np.iinfo(np.int64).min
+            prev[1:] = ms[idx[:-1]]
+            first_ever = last_seen is None
+            gap_start = (ms[idx] - prev > self.ttl_ms) & (prev != np.iinfo(np.int64).min)
+            if first_ever:
+                gap_start[0] = False  # no carried session to expire
+            starts[idx[gap_start]] = True
+        return np.maximum.accumulate(np.where(starts, np.arange(n), -1)) if n else np.zeros(0, dtype=np.int64)
+
+    def _arm_expiry(self, pdf) -> None:
+        mx = int(pdf["ev_ms"].max())
+        old = self.last_event.get()[0] if self.last_event.exists() else None
+        newest = mx if old is None else max(old, mx)
+        if old is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+        self.last_event.update((newest,))
+        self.handle.registerTimer(newest + self.ttl_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # The watermark passed newest event + ttl: the symbol's info has expired.
+        self.latest.clear()
+        self.last_event.clear()
+        return iter([])
+
     # -- current_state: state first, then the in-batch prefix ---------------------
     def _fill_current(self, pdf, trades, is_info, keep) -> pd.DataFrame:
         st = self.latest.get() if self.latest.exists() else None
@@ -106,6 +151,17 @@ class EnrichProcessor(StatefulProcessor):
         last = np.maximum.accumulate(pos) if n else pos
         tpos = np.flatnonzero(pdf["ev_ord"].to_numpy() == 1)
         cand = last[tpos]
+        if self.ttl_ms is not None:
+            counted = (pdf["ev_ord"].to_numpy() == 1) | is_info
+            sess = self._sessions(pdf, counted)
+            # an in-batch info from an earlier session, or the carried state once a
+            # new session began in this batch, has expired
+            cand = np.where(cand >= sess[tpos], cand, -1)
+            if st is not None:
+                st_alive = sess[tpos] < 0
+            vpos_all = np.flatnonzero(valid)
+            if len(vpos_all) and n and sess[-1] >= 0:
+                valid[vpos_all[vpos_all < sess[-1]]] = False
         src = pdf[[*INFO_FIELDS, "ev_seq"]].to_numpy(dtype=object)
         out = trades[["symbol", "price", "volume", "ev_ms", "ev_seq"]].rename(
             columns={"ev_ms": "trade_timestamp", "ev_seq": "seq"}).reset_index(drop=True)
@@ -119,11 +175,16 @@ class EnrichProcessor(StatefulProcessor):
             c_ms = np.where(has, all_ms[safe], -1)
             c_seq = np.where(has, all_seq[safe], 0)
             use_state = (~has) | _newer(np.int64(st[3]), np.int64(st[4]), c_ms, c_seq)
+            if self.ttl_ms is not None:
+                use_state &= st_alive
             vals[use_state] = np.array(st[:4], dtype=object)
         for j, c in enumerate(INFO_FIELDS):
             out[c] = vals[:, j]
         # New state: the newer of the old state and the batch's last valid info.
         vpos = np.flatnonzero(valid)
+        if self.ttl_ms is not None and n and sess[-1] >= 0 and st is not None:
+            self.latest.clear()  # a new session began: the carried info is gone
+            st = None
         if len(vpos):
             b = src[vpos[-1]]
             if st is None or _newer(np.int64(b[3]), np.int64(b[4]), np.int64(st[3]), np.int64(st[4])):
@@ -178,7 +239,8 @@ def stream_union(trades: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def enrich_stream(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel",
-                  late: str = "current_state", watermark: str | None = None) -> DataFrame:
+                  late: str = "current_state", watermark: str | None = None,
+                  ttl: str | None = None) -> DataFrame:
     """Streaming (or batch) enriched trades, append output.
 
     ``watermark`` (required for ``late='history'``) is declared on the input
@@ -191,11 +253,12 @@ def enrich_stream(trades: DataFrame, info: DataFrame, *, missing: str = "sentine
         spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     u = stream_union(trades, info)
     time_mode = "None"
-    if watermark or late == "history":
+    ttl_ms = interval_ms(ttl) if ttl else None
+    if watermark or late == "history" or ttl_ms is not None:
         u = u.withColumn("ev_ts", epoch_ms_to_ts("ev_ms")).withWatermark("ev_ts", watermark or "5 minutes")
         time_mode = "EventTime"
     out = u.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=EnrichProcessor(late), outputStructType=OUT_SCHEMA,
+        statefulProcessor=EnrichProcessor(late, ttl_ms), outputStructType=OUT_SCHEMA,
         outputMode="Append", timeMode=time_mode)
     out = default_missing(out, missing)
     return out.withColumns({"trade_value": trade_value(),
