@@ -151,3 +151,32 @@ def test_observed_enrichment_counters(spark, mk):
 def test_stream_ttl(spark, mk, batches, want):
     lay = _run(spark, mk, batches, engine="state", ttl="24 hours", watermark="5 minutes")
     assert _sectors(spark, lay) == want
+
+
+def test_long_running_app_matches_batch(spark, mk):
+    """The deployment wiring: three concurrent queries with processing-time triggers."""
+    from tidemark.operators import asof, metrics
+    from tidemark.plans import app
+
+    lay = P.layout(spark, "t-app")
+    qs = app.start_all(spark, lay, bootstrap=None, files=True, max_per_trigger=10, enrich_every="1 second",
+                       metrics_every="1 second", serving_every="1 second", width="1 minute",
+                       watermark="5 minutes")
+    try:
+        trades = mk.trades([("S", day("10:01"), 2, "2.50", 4), ("S", day("10:03"), 4, "3.00", 1),
+                            ("X", day("10:02"), 5)])
+        info = mk.info([("S", day("10:00"), 1, "A"), ("S", day("10:02"), 3, "B")])
+        feed.append_json(trades, f"{lay.root}/in_stock-trades")
+        feed.append_json(info, f"{lay.root}/in_stock-info")
+        for q in qs:
+            q.processAllAvailable()
+        qs[1].processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    want = asof.enrich_asof(trades, info)
+    got = P.enriched_rows(spark, lay)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+    m_want = sorted(tuple(r) for r in metrics.sector_metrics(want, "1 minute").collect())
+    assert sorted(tuple(r) for r in P.latest_metrics(spark, lay).collect()) == m_want
+    assert tbl.read_table(spark, lay.serving).count() == 3
