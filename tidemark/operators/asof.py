@@ -131,12 +131,16 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
         width = min(width, ttl_ms)
     u = u.withColumn("_b", F.floor(F.col("_ms") / F.lit(width)))
 
-    # 1. per (symbol, bucket): last info and the event-time extent.
-    bk = u.groupBy("symbol", "_b").agg(
-        F.max("_info").alias("_blast"),
+    # 1. per (symbol, bucket): the event-time extent over all events (a hash
+    #    aggregate - no sort of the large trade side) and the last info, whose
+    #    struct max needs a sort-based aggregate but reads infos only.
+    extent = u.groupBy("symbol", "_b").agg(
         F.min(F.when(F.col("_ms") > _MIN_LONG, F.col("_ms"))).alias("_bmin"),
         F.max("_ms").alias("_bmax"),
     )
+    last_info = (u.where(F.col("_ord") == 0).groupBy("symbol", "_b")
+                 .agg(F.max("_info").alias("_blast")))
+    bk = extent.join(last_info, ["symbol", "_b"], "left")
     # 2. carry across buckets on the small bucket table.
     wb = Window.partitionBy("symbol").orderBy("_b")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
