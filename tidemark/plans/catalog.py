@@ -278,12 +278,13 @@ def q_pipeline_unified(spark, sf_dir):
     return P.latest_metrics(spark, P.run_unified(spark, t, i, k=3, width="1 hour"))
 
 
-@register("early_results")
+@register("early_results", _ENRICHED_SQL + O.emissions_sql(3_600_000, 3))
 def q_early_results(spark, sf_dir):
-    """Every update-mode emission (partial results before windows close), not resolved."""
+    """Every update-mode emission, unresolved: a window that is still open when a
+    batch ends is emitted with its partial totals and again when it grows."""
     t, i = event_inputs(spark, sf_dir)
     lay = P.run_staged(spark, t, i, k=3, width="1 hour", name="early")
-    return tbl.read_table(spark, lay.metrics)
+    return tbl.read_table(spark, lay.metrics).select(*P.METRIC_COLS)
 
 
 # ---- keyed sinks, latest views, retention, compaction, history -------------------

@@ -224,3 +224,22 @@ SELECT version, operation, CAST(rows AS BIGINT) AS rows FROM h ORDER BY version
 APPEND_CLOSED = """
 SELECT * FROM metrics
 WHERE window_end <= epoch_ms((SELECT max(trade_timestamp) FROM enriched) - 300000)"""
+
+
+def emissions_sql(width_ms: int, k: int) -> str:
+    """Update-mode output of a stream fed in k equal-width time slices: for every
+    slice, the cumulative totals of each (window, sector) the slice touched."""
+    return f""",
+b AS (SELECT min(trade_timestamp) AS lo, max(trade_timestamp) AS hi FROM enriched),
+cuts AS (SELECT lo + (hi - lo) * i // {k} AS c FROM b, range(1, {k}) r(i)),
+sl AS (SELECT e.*, (SELECT count(*) FROM cuts WHERE e.trade_timestamp >= c) AS s,
+              e.trade_timestamp // {width_ms} AS wk FROM enriched e),
+touched AS (SELECT DISTINCT s, wk, sector FROM sl)
+SELECT epoch_ms(t.wk * {width_ms}) AS window_start, epoch_ms(t.wk * {width_ms} + {width_ms}) AS window_end,
+       t.sector,
+       count(*) AS trade_count,
+       CAST(sum(x.trade_value) AS DECIMAL(28,8)) AS total_value,
+       CAST(round(CAST(sum(x.price) AS DECIMAL(28,12)) / count(*), 8) AS DECIMAL(28,8)) AS avg_price,
+       CAST(sum(x.volume) AS BIGINT) AS total_volume
+FROM touched t JOIN sl x ON x.s <= t.s AND x.wk = t.wk AND x.sector = t.sector
+GROUP BY t.s, t.wk, t.sector"""

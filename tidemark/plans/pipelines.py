@@ -173,17 +173,16 @@ def merge_metrics(batch: DataFrame, path: str, batch_id: int, width: str) -> int
 
 
 def start_unified(spark: SparkSession, lay: Layout, width: str = "1 minute"):
-    enriched = _enriched_stream(spark, lay)
+    """One query, two sinks: each micro-batch is enriched (seeded, bucketed plan),
+    written to the enriched table, and its partial metrics merged into the log."""
+    t, i = _parsed_topics(spark, lay)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            tbl.write_batch(df, lay.enriched, batch_id)
-            merge_metrics(df, lay.metrics, batch_id, width)
-        finally:
-            df.unpersist()
+        enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state)
+        fresh = spark.read.parquet(f"{lay.enriched}/data/batch_id={batch_id}")
+        merge_metrics(fresh, lay.metrics, batch_id, width)
 
-    return (enriched.writeStream.foreachBatch(sink).outputMode("append")
+    return (stream_union(t, i).writeStream.foreachBatch(sink)
             .option("checkpointLocation", lay.ckpt_unified).trigger(availableNow=True).start())
 
 
