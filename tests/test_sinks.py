@@ -100,3 +100,28 @@ def test_latest_per_key_and_newest_n(spark):
     assert sorted(tuple(r) for r in latest.latest_per_key(df, ["k"], ["t"]).collect()) == [("a", 3, 30), ("b", 1, 5)]
     top = latest.newest_per_key(df, ["k"], ["t"], 2).collect()
     assert sorted((r.k, r.t, r.rank) for r in top) == [("a", 2, 2), ("a", 3, 1), ("b", 1, 1)]
+
+
+def test_retention_drops_old_folders_without_rewrite(spark):
+    path = scratch_path(spark, "t-retain2")
+    now = dt.datetime(2024, 1, 10, 12, 0)
+    schema = "id int, ingestion_time timestamp"
+    tbl.write_batch(spark.createDataFrame([(1, now - dt.timedelta(days=5))], schema), path, 0, stamp_ingestion=False)
+    tbl.write_batch(spark.createDataFrame([(2, now - dt.timedelta(days=3)), (3, now - dt.timedelta(hours=1))],
+                                          schema), path, 1, stamp_ingestion=False)
+    tbl.write_batch(spark.createDataFrame([(4, now), (5, None)], schema), path, 2, stamp_ingestion=False)
+    tbl.retain(spark, path, "ingestion_time", "2 days", now=now)
+    assert sorted(r.id for r in tbl.read_table(spark, path).collect()) == [3, 4, 5]
+    live = tbl.live_dirs(spark, path)
+    assert "data/batch_id=2" in live and "data/batch_id=0" not in live and "data/batch_id=1" not in live
+    last = tbl.recent_history(spark, path, 1).first()
+    assert last.operation == "delete" and last.rows == 1
+
+
+def test_compaction_leaves_large_files(spark, mk):
+    path = scratch_path(spark, "t-compact2")
+    for b in range(3):
+        tbl.write_batch(mk.trades([("S", day("10:00") + i, b * 100 + i) for i in range(10)]).repartition(2), path, b)
+    assert tbl.compact(spark, path, target_bytes=1) == -1  # every file already "large"
+    v = tbl.compact(spark, path)
+    assert v == 3 and tbl.table_bytes(spark, path)[1] == 1

@@ -149,26 +149,36 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *, stamp_ingestion: boo
     return _commit(spark, path, operation, rows, [rel], [], batch_id)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Batch handle on the live rows (S3). ``batch_id`` is a column everywhere."""
+def _read_dirs(spark: SparkSession, path: str, dirs: list[str], with_dir: bool = False) -> DataFrame | None:
+    """Rows of the given folders; ``with_dir`` adds the folder each row came from."""
     parts = []
-    raw = [d for d in live_dirs(spark, path) if d.startswith("data/")]
-    rewritten = [d for d in live_dirs(spark, path) if not d.startswith("data/")]
+    raw = [d for d in dirs if d.startswith("data/")]
+    rewritten = [d for d in dirs if not d.startswith("data/")]
     if raw:
-        r = spark.read.option("basePath", f"{path}/data")
-        parts.append(r.parquet(*[f"{path}/{d}" for d in raw]))
+        parts.append(spark.read.option("basePath", f"{path}/data").parquet(*[f"{path}/{d}" for d in raw]))
     if rewritten:
         parts.append(spark.read.parquet(*[f"{path}/{d}" for d in rewritten]))
+    if with_dir:
+        parts = [p.withColumn("_dir", F.regexp_extract(
+            F.col("_metadata.file_path"), r"((?:data/batch_id=|compacted/v=)[^/]+)/[^/]*$", 1)) for p in parts]
     if not parts:
-        if schema is None:
-            raise FileNotFoundError(f"empty table at {path}")
-        return spark.createDataFrame([], schema)
+        return None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Batch handle on the live rows (S3). ``batch_id`` is a column everywhere."""
+    out = _read_dirs(spark, path, live_dirs(spark, path))
+    if out is None:
+        if schema is None:
+            raise FileNotFoundError(f"empty table at {path}")
+        return spark.createDataFrame([], schema)
+    return out
+
+
 def read_table_stream(spark: SparkSession, path: str, schema: T.StructType,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """The table's appends as a stream (S2): new ``data/batch_id=N`` folders."""
@@ -179,11 +189,12 @@ def read_table_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.parquet(f"{path}/data")
 
 
-def table_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(total bytes, data file count) of the live folders, from the file system listing."""
-    total, files = 0, 0
+def folder_sizes(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """Live folder -> (bytes, data files), from the file system listing."""
+    out = {}
     for d in live_dirs(spark, path):
         fs, p = _fs(spark, f"{path}/{d}")
+        total, files = 0, 0
         it = fs.listFiles(p, True)
         while it.hasNext():
             st = it.next()
@@ -192,48 +203,94 @@ def table_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
                 continue
             total += st.getLen()
             files += 1
-    return total, files
+        out[d] = (total, files)
+    return out
+
+
+def table_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(total bytes, data file count) of the live folders."""
+    sizes = folder_sizes(spark, path).values()
+    return sum(b for b, _ in sizes), sum(f for _, f in sizes)
 
 
-def _rewrite(spark: SparkSession, path: str, df: DataFrame, n_files: int, operation: str) -> int:
+def _rewrite(spark: SparkSession, path: str, df: DataFrame | None, n_files: int, operation: str,
+             removes: list[str]) -> int:
     entries = _entries(spark, path)
     version = (entries[-1]["version"] + 1) if entries else 0
-    rel = f"compacted/v={version}"
-    rows = _write_counted(df.repartition(n_files), f"{path}/{rel}")
-    return _commit(spark, path, operation, rows, [rel], live_dirs(spark, path))
+    adds, rows = [], 0
+    if df is not None:
+        rel = f"compacted/v={version}"
+        rows = _write_counted(df.repartition(n_files), f"{path}/{rel}")
+        adds = [rel]
+    return _commit(spark, path, operation, rows, adds, removes)
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES,
             keys: list[str] | None = None, order: list[str] | None = None) -> int:
-    """Rewrite the live files into about ``target_bytes`` files (M1).
-
-    The file count is ``ceil(bytes / target)`` from the listing; a round-robin
-    repartition spreads rows evenly. With ``keys`` the rewrite also folds the
-    table to its latest row per key (ordered by ``order``), which is how an
-    update-policy table is cleaned up.
+    """Rewrite small files into about ``target_bytes`` files (M1).
+
+    Only folders whose average file is under half the target are rewritten
+    (large files are left alone), into ``ceil(bytes / target)`` files by a
+    round-robin repartition. With ``keys`` every folder is read and the table
+    is folded to its latest row per key (ordered by ``order``), which is how an
+    update-policy table is cleaned up. Returns the new version, or -1 when
+    there is nothing to do.
     """
     from ..operators.latest import latest_per_key
 
-    total, _ = table_bytes(spark, path)
-    n = max(1, math.ceil(total / target_bytes))
-    df = read_table(spark, path)
+    sizes = folder_sizes(spark, path)
+    if keys:
+        chosen = list(sizes)
+    else:
+        chosen = [d for d, (b, f) in sizes.items() if f and b / f < target_bytes / 2]
+        if len(chosen) < 2 and sum(sizes[d][1] for d in chosen) < 2:
+            return -1
+    if not chosen:
+        return -1
+    n = max(1, math.ceil(sum(sizes[d][0] for d in chosen) / target_bytes))
+    df = _read_dirs(spark, path, chosen)
     if keys:
         df = latest_per_key(df, keys, order or ["batch_id", "ingestion_time"])
-    return _rewrite(spark, path, df, n, "compact")
+    return _rewrite(spark, path, df, n, "compact", chosen)
 
 
 def retain(spark: SparkSession, path: str, column: str, keep: str, now: dt.datetime | None = None,
            target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Delete rows with ``column < now - keep`` (K11): a filtered rewrite.
+    """Delete rows with ``column < now - keep`` (K11), touching as little as possible.
 
+    One pass over the retention column gives each folder's min/max (a
+    per-folder aggregate: one small row per folder). Folders entirely older
+    than the cutoff are dropped by a metadata-only commit, folders entirely
+    newer are kept, and only folders straddling the cutoff are rewritten.
     ``now`` defaults to the current time; pass it to make the cut reproducible.
-    A row exactly ``keep`` old stays.
+    A row exactly ``keep`` old stays; NULLs stay (``NULL < x`` is not true).
     """
     cutoff = retention_cutoff(now, keep)
-    df = read_table(spark, path)
-    total, _ = table_bytes(spark, path)
-    n = max(1, math.ceil(total / target_bytes))
-    return _rewrite(spark, path, df.where(F.col(column) >= F.lit(cutoff)), n, "delete")
+    live = live_dirs(spark, path)
+    df = _read_dirs(spark, path, live, with_dir=True)
+    if df is None:
+        return -1
+    c = F.col(column)
+    stats = df.groupBy("_dir").agg(
+        F.min(c).alias("lo"), F.max(c).alias("hi"),
+        F.count(F.lit(1)).alias("n"), F.count(c).alias("n_set")).collect()
+    drop, straddle = [], []
+    for r in stats:
+        if r.lo is None or r.lo >= cutoff:
+            continue  # nothing to delete in this folder
+        if r.hi < cutoff and r.n_set == r.n:
+            drop.append(r._dir)
+        else:
+            straddle.append(r._dir)
+    if not drop and not straddle:
+        return -1
+    kept = None
+    if straddle:
+        sizes = folder_sizes(spark, path)
+        n = max(1, math.ceil(sum(sizes[d][0] for d in straddle) / target_bytes))
+        kept = _read_dirs(spark, path, straddle).where(c.isNull() | (c >= F.lit(cutoff)))
+        return _rewrite(spark, path, kept, n, "delete", drop + straddle)
+    return _rewrite(spark, path, None, 1, "delete", drop)
 
 
 def retention_cutoff(now: dt.datetime | None, keep: str) -> dt.datetime:
