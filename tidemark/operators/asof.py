@@ -20,14 +20,19 @@ Plans
 ``bucket=None``: one window ``partitionBy(symbol)``. One exchange, one sort,
 but a hot symbol is a single task.
 
-``bucket='1 hour'`` (default): rows are keyed by ``(symbol, floor(ms / w))``.
-1. partial+final hash aggregate: last info per (symbol, bucket) - map-side
-   combined, so a hot symbol costs no more shuffle than a cold one;
+``bucket='1 hour'`` (default):
+0. trades are reduced to distinct (symbol, ms) - every trade of a symbol at
+   one ms sees the same info - with a map-side-combined aggregate;
+1. those times and the infos are keyed by ``(symbol, floor(ms / w))``; a hash
+   aggregate gives each bucket's extent, a map-side-combined aggregate over
+   infos only gives its last info;
 2. a running max over that *bucket* table carries the info across buckets
    (per symbol it has at most span/w rows, whatever the event count);
 3. the seed is equi-joined back on (symbol, bucket) and the in-bucket running
-   max is taken over ``partitionBy(symbol, bucket)``; the join's exchange
-   already satisfies the window's distribution, so the events shuffle once.
+   max is taken over ``partitionBy(symbol, bucket)`` (the join's exchange
+   already satisfies the window); a group holds at most w distinct ms;
+4. the answers are equi-joined to the trades on (symbol, ms): AQE broadcasts
+   them when their measured size allows, else splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -93,15 +98,16 @@ def union_for_asof(trades: DataFrame, info: DataFrame, seq: str = "seq",
     return out
 
 
-def _finish(rows: DataFrame, trade_cols: list[str], cur: Column, missing: str) -> DataFrame:
-    out = rows.where(F.col("_ord") == 1).select(
-        *trade_cols,
-        *[cur[c].alias(c) for c in INFO_FIELDS],
-    )
+def _project(trades: DataFrame, trade_cols: list[str], cur: Column, missing: str) -> DataFrame:
+    out = trades.select(*trade_cols, *[cur[c].alias(c) for c in INFO_FIELDS])
     out = default_missing(out, missing)
     return out.withColumn("trade_value", trade_value())
 
 
+def _finish(rows: DataFrame, trade_cols: list[str], cur: Column, missing: str) -> DataFrame:
+    return _project(rows.where(F.col("_ord") == 1), trade_cols, cur, missing)
+
+
 def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel",
                 bucket: str | int | None = "1 hour", ttl: str | int | None = None,
                 seq: str = "seq", seed: DataFrame | None = None) -> DataFrame:
@@ -129,11 +135,23 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
         # With width <= ttl no in-bucket gap can exceed the ttl, so a session can
         # only start at a bucket's first event and is decided on the bucket table.
         width = min(width, ttl_ms)
+    # 0. All trades of a symbol at one ms see the same info: solve the as-of once
+    #    per distinct (symbol, ms) - map-side combined - and join the answers back.
+    times = (trades.select("symbol", "trade_timestamp").distinct()
+             .withColumn(seq, F.lit(0).cast("bigint")))
+    answers = _bucketed_answers(union_for_asof(times, info, seq, seed), width, ttl_ms)
+    joined = trades.join(answers, ["symbol", "trade_timestamp"], "left")
+    return _project(joined, trade_cols, F.col("_cur"), missing)
+
+
+def _bucketed_answers(u: DataFrame, width: int, ttl_ms: int | None) -> DataFrame:
+    """(symbol, trade_timestamp, _cur) for every trade time in ``u``."""
+    order = [F.col("_ms"), F.col("_ord"), F.col("_seq")]
     u = u.withColumn("_b", F.floor(F.col("_ms") / F.lit(width)))
 
     # 1. per (symbol, bucket): the event-time extent over all events (a hash
-    #    aggregate - no sort of the large trade side) and the last info, whose
-    #    struct max needs a sort-based aggregate but reads infos only.
+    #    aggregate) and the last info, whose struct max needs a sort-based
+    #    aggregate but reads infos only.
     extent = u.groupBy("symbol", "_b").agg(
         F.min(F.when(F.col("_ms") > _MIN_LONG, F.col("_ms"))).alias("_bmin"),
         F.max("_ms").alias("_bmax"),
@@ -161,11 +179,13 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
             F.when(F.col("_seed.k_ms") >= F.coalesce(F.col("_sstart"), F.lit(_MIN_LONG)), F.col("_seed"))
             .alias("_seed"),
         )
-    # 3. in-bucket running max, combined with the seed.
-    wi = Window.partitionBy("symbol", "_b").orderBy(*order).rowsBetween(*upto_here)
+    # 3. in-bucket running max over distinct trade times and infos (a group is
+    #    bounded by the bucket width in ms, not by the trade count), plus the seed.
+    wi = Window.partitionBy("symbol", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                        Window.currentRow)
     j = u.join(seeds, ["symbol", "_b"], "inner")
     j = j.withColumn("_cur", F.greatest(F.col("_seed"), F.max("_info").over(wi)))
-    return _finish(j, trade_cols, F.col("_cur"), missing)
+    return j.where(F.col("_ord") == 1).select("symbol", F.col("_ms").alias("trade_timestamp"), "_cur")
 
 
 def latest_info(info: DataFrame, seq: str = "seq", seed: DataFrame | None = None) -> DataFrame:
