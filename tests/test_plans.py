@@ -91,3 +91,11 @@ def test_hot_symbol_bucketed_equals_plain(spark, mk):
     a = sorted(tuple(r) for r in asof.enrich_asof(t, i, bucket=None).collect())
     b = sorted(tuple(r) for r in asof.enrich_asof(t, i, bucket="1 minute").collect())
     assert a == b and len(a) == 700
+
+
+def test_auto_plan_choice_is_size_checked(spark, monkeypatch):
+    t, i = catalog.event_inputs(spark, SF_SMALL)
+    assert asof.choose_bucket(t, i, "auto") is None  # small input: plain window
+    monkeypatch.setattr(asof, "AUTO_PLAIN_MAX_BYTES", 0)
+    assert asof.choose_bucket(t, i, "auto") == asof.AUTO_BUCKET
+    assert asof.choose_bucket(t, i, "2 hours") == "2 hours"

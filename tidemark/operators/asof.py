@@ -20,7 +20,10 @@ Plans
 ``bucket=None``: one window ``partitionBy(symbol)``. One exchange, one sort,
 but a hot symbol is a single task.
 
-``bucket='1 hour'`` (default):
+``bucket='auto'`` (default) picks the plain plan for inputs Catalyst estimates
+at most 64 MB and the bucketed plan above that.
+
+``bucket='1 hour'``:
 0. trades are reduced to distinct (symbol, ms) - every trade of a symbol at
    one ms sees the same info - with a map-side-combined aggregate;
 1. those times and the infos are keyed by ``(symbol, floor(ms / w))``; a hash
@@ -46,6 +49,27 @@ from ..schemas import INFO_FIELDS
 
 _MIN_LONG = -(2**63)
 
+# bucket="auto": inputs whose estimated size is at most this many bytes use the
+# plain per-symbol window (even if every row belonged to one symbol, one task
+# could sort it); larger inputs use the skew-safe bucketed plan.
+AUTO_PLAIN_MAX_BYTES = 64 * 1024 * 1024
+AUTO_BUCKET = "1 hour"
+
+
+def estimated_bytes(*dfs: DataFrame) -> int:
+    """Catalyst's size estimate of the inputs (file sizes for scans; no job runs)."""
+    total = 0
+    for df in dfs:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        total += int(size) if isinstance(size, int) else int(size.toString())
+    return total
+
+
+def choose_bucket(trades: DataFrame, info: DataFrame, bucket):
+    if bucket != "auto":
+        return bucket
+    return None if estimated_bytes(trades, info) <= AUTO_PLAIN_MAX_BYTES else AUTO_BUCKET
+
 
 def info_key_struct(info: DataFrame, seq: str = "seq") -> Column:
     """struct(k_ms, k_nseq, company, sector, market_cap, info_timestamp): orderable newest-first."""
@@ -109,18 +133,20 @@ def _finish(rows: DataFrame, trade_cols: list[str], cur: Column, missing: str) -
 
 
 def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel",
-                bucket: str | int | None = "1 hour", ttl: str | int | None = None,
+                bucket: str | int | None = "auto", ttl: str | int | None = None,
                 seq: str = "seq", seed: DataFrame | None = None) -> DataFrame:
     """Left-outer as-of join of every trade to its symbol's latest info.
 
     ``missing``: ``'sentinel'`` (UNKNOWN/UNKNOWN/0/0) or ``'null'``.
-    ``bucket``: time-bucket width for the skew-safe plan, or None for a plain
-    per-symbol window.
+    ``bucket``: time-bucket width for the skew-safe plan, None for a plain
+    per-symbol window, or ``'auto'`` (default): plain when the inputs' estimated
+    size is at most ``AUTO_PLAIN_MAX_BYTES``, else ``AUTO_BUCKET``.
     ``ttl``: a gap longer than this between consecutive events of a symbol
     starts a new session that carries no info (the 24 h expiry rule).
     ``seed``: carried state from earlier batches (``latest_info`` output).
     """
     trade_cols = list(trades.columns)
+    bucket = choose_bucket(trades, info, bucket)
     u = union_for_asof(trades, info, seq, seed)
     order = [F.col("_ms"), F.col("_ord"), F.col("_seq")]
     upto_here = (Window.unboundedPreceding, Window.currentRow)

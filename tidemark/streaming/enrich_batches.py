@@ -37,7 +37,7 @@ def carried_state(spark, state_path: str, batch_id: int) -> DataFrame | None:
 
 
 def enrich_micro_batch(batch: DataFrame, batch_id: int, enriched_path: str, state_path: str, *,
-                       missing: str = "sentinel", bucket: str | None = "1 hour") -> None:
+                       missing: str = "sentinel", bucket: str | None = "auto") -> None:
     spark = batch.sparkSession
     batch = batch.persist()
     try:
