@@ -58,7 +58,7 @@ def test_metrics_pre_aggregate_before_shuffle(spark, big_plan):
 
 
 def test_newest_n_limits_before_shuffle(spark, big_plan):
-    e = catalog.enriched(spark, SF_SMALL)  # bucketed: not yet partitioned by symbol
+    e = catalog.enriched(spark, SF_SMALL, bucket="1 hour")  # not yet partitioned by symbol
     p = plan(latest.newest_per_key(e, ["symbol"], ["trade_timestamp", "seq"], 5))
     final, rest = p.split("Exchange hashpartitioning(symbol", 1)
     assert "WindowGroupLimit" in final and "Partial" in rest.split("Exchange", 1)[0]
