@@ -18,10 +18,12 @@ behind the watermark before they reach the operator.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,11 @@ OUT_SCHEMA = T.StructType([
 
 _TRADE_COLS = ["symbol", "price", "volume", "trade_timestamp", "seq"]
 
+# The processor runs in Python workers (on the driver for schema set-up and on
+# executors). Pickling this module by value means those workers need no
+# installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _first_of_equal_ms(ms: np.ndarray) -> np.ndarray:
     """Of consecutive infos with the same ms (already in seq order) keep the first."""
