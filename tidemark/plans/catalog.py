@@ -77,6 +77,26 @@ def q_enrich_asof_ties(spark, sf_dir):
     return asof.enrich_asof(t, i, bucket="1 day")
 
 
+_HOT_SQL = O.with_ctes(O.HOT_CTE, O.asof_ctes(), O.ENRICHED_SENTINEL)
+
+
+def _hot_inputs(spark, sf_dir):
+    return (fx.trades_from_lineitem(spark, sf_dir, hot=3), fx.info_from_orders(spark, sf_dir, hot=3))
+
+
+@register("enrich_asof_hot", _HOT_SQL + "\nSELECT * FROM enriched")
+def q_enrich_asof_hot(spark, sf_dir):
+    """Three symbols, each about a third of all trades: the bucketed plan splits them."""
+    t, i = _hot_inputs(spark, sf_dir)
+    return asof.enrich_asof(t, i, bucket="1 day")
+
+
+@register("sector_metrics_hot_1d", _HOT_SQL + O.metrics_select(86_400_000))
+def q_sector_metrics_hot(spark, sf_dir):
+    t, i = _hot_inputs(spark, sf_dir)
+    return metrics.sector_metrics(asof.enrich_asof(t, i, bucket="1 day"), "1 day")
+
+
 # ---- A1: sector metrics ---------------------------------------------------------
 
 for _name, _width, _ms in (("1m", "1 minute", 60_000), ("1h", "1 hour", 3_600_000),

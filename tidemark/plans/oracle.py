@@ -243,3 +243,10 @@ SELECT epoch_ms(t.wk * {width_ms}) AS window_start, epoch_ms(t.wk * {width_ms} +
        CAST(sum(x.volume) AS BIGINT) AS total_volume
 FROM touched t JOIN sl x ON x.s <= t.s AND x.wk = t.wk AND x.sector = t.sector
 GROUP BY t.s, t.wk, t.sector"""
+
+
+HOT_CTE = TIES_CTE.replace(
+    "'U' || CAST(l_suppkey AS VARCHAR) AS symbol",
+    "'H' || CAST(l_suppkey * 3 // (SELECT n FROM nsup) AS VARCHAR) AS symbol").replace(
+    "'U' || CAST(o_custkey % (SELECT n FROM nsup) AS VARCHAR) AS symbol",
+    "'H' || CAST((o_custkey % (SELECT n FROM nsup)) * 3 // (SELECT n FROM nsup) AS VARCHAR) AS symbol")

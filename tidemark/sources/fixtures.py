@@ -50,11 +50,24 @@ def info_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trades_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day-granular trades: one per lineitem, symbol from the supplier key."""
+def _n_suppliers(spark: SparkSession, sf_dir: str) -> int:
+    return table(spark, sf_dir, "supplier").count()
+
+
+def trades_from_lineitem(spark: SparkSession, sf_dir: str, hot: int | None = None) -> DataFrame:
+    """Day-granular trades: one per lineitem, symbol from the supplier key.
+
+    ``hot=k`` folds the suppliers into k symbols (``'H' || suppkey * k // n``),
+    so each symbol holds about 1/k of all trades: the skewed-key form.
+    """
     li = table(spark, sf_dir, "lineitem")
+    if hot:
+        n = _n_suppliers(spark, sf_dir)
+        sym = F.concat(F.lit("H"), (F.col("l_suppkey") * hot / n).cast("bigint"))
+    else:
+        sym = F.concat(F.lit("U"), F.col("l_suppkey"))
     return li.select(
-        F.concat(F.lit("U"), F.col("l_suppkey")).alias("symbol"),
+        sym.alias("symbol"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_quantity").cast("int").alias("volume"),
         to_epoch_ms("l_shipdate", li.schema["l_shipdate"].dataType).alias("trade_timestamp"),
@@ -62,16 +75,21 @@ def trades_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def info_from_orders(spark: SparkSession, sf_dir: str, n_symbols: int | None = None) -> DataFrame:
-    """Day-granular info: one per order, symbol = customer key modulo the supplier count.
+def info_from_orders(spark: SparkSession, sf_dir: str, n_symbols: int | None = None,
+                     hot: int | None = None) -> DataFrame:
+    """Day-granular info: one per order, symbol = customer key modulo the supplier count
+    (folded like ``trades_from_lineitem`` when ``hot`` is given).
 
     The modulus is a scalar (the supplier count), fetched once.
     """
     if n_symbols is None:
-        n_symbols = table(spark, sf_dir, "supplier").count()
+        n_symbols = _n_suppliers(spark, sf_dir)
     od = table(spark, sf_dir, "orders")
+    base = F.col("o_custkey") % n_symbols
+    sym = (F.concat(F.lit("H"), (base * hot / n_symbols).cast("bigint")) if hot
+           else F.concat(F.lit("U"), base))
     return od.select(
-        F.concat(F.lit("U"), F.col("o_custkey") % n_symbols).alias("symbol"),
+        sym.alias("symbol"),
         F.concat(F.lit("C"), F.col("o_custkey")).alias("company"),
         F.concat(F.lit("S"), (F.col("o_custkey") + F.col("o_orderkey")) % 5).alias("sector"),
         F.floor("o_totalprice").cast("bigint").alias("market_cap"),

@@ -116,7 +116,8 @@ class EnrichProcessor(StatefulProcessor):
         session carried in from the state continues)."""
         n = len(pdf)
         ms = pdf["ev_ms"].to_numpy(dtype=np.int64)
-        prev_evt = self.last_event.get()[0] if self.last_event.exists() else None
+        got = self.last_event.get()
+        prev_evt = got[0] if got is not None else None
         starts = np.zeros(n, dtype=bool)
         last_seen = prev_evt
         # events that count for gaps: trades and valid infos, in (ms, ord, seq) order
@@ -134,7 +135,8 @@ class EnrichProcessor(StatefulProcessor):
 
     def _arm_expiry(self, pdf) -> None:
         mx = int(pdf["ev_ms"].max())
-        old = self.last_event.get()[0] if self.last_event.exists() else None
+        got = self.last_event.get()
+        old = got[0] if got is not None else None
         newest = mx if old is None else max(old, mx)
         if old is not None:
             for t in list(self.handle.listTimers()):
@@ -150,7 +152,7 @@ class EnrichProcessor(StatefulProcessor):
 
     # -- current_state: state first, then the in-batch prefix ---------------------
     def _fill_current(self, pdf, trades, is_info, keep) -> pd.DataFrame:
-        st = self.latest.get() if self.latest.exists() else None
+        st = self.latest.get()  # None when unset: one state call, not two
         n = len(pdf)
         valid = np.zeros(n, dtype=bool)
         valid[np.flatnonzero(is_info)[keep]] = True
