@@ -180,3 +180,24 @@ def test_long_running_app_matches_batch(spark, mk):
     m_want = sorted(tuple(r) for r in metrics.sector_metrics(want, "1 minute").collect())
     assert sorted(tuple(r) for r in P.latest_metrics(spark, lay).collect()) == m_want
     assert tbl.read_table(spark, lay.serving).count() == 3
+
+
+def test_state_fold_keeps_results_and_replay(spark, mk):
+    """Folding the foreachBatch engine's state log changes no result, and a replay
+    of the folding batch still reads the state as of before it."""
+    from tidemark.streaming import enrich_batches as EB
+
+    lay = P.layout(spark, "t-fold")
+    batches = [([("S", day("10:01"), 2)], [("S", day("10:00"), 1, "A")]),
+               ([], [("S", day("10:30"), 3, "B")]),
+               ([("S", day("10:31"), 5)], [("S", day("10:05"), 4, "C")]),  # stale C loses to B
+               ([("S", day("10:40"), 6)], [])]
+    for trades, infos in batches:
+        feed.append_json(mk.trades(trades), lay.in_trades)
+        feed.append_json(mk.info(infos), lay.in_info)
+        feed.run_available(lambda: P.start_enrichment(spark, lay))
+    EB.fold_state(spark, lay.enrich_state, 3)
+    assert tbl.recent_history(spark, lay.enrich_state, 1).first().operation == "fold"
+    st = EB.carried_state(spark, lay.enrich_state, 3).collect()
+    assert [(r.symbol, r.sector) for r in st] == [("S", "B")]
+    assert _sectors(spark, lay) == ["A", "B", "B"]

@@ -28,7 +28,8 @@ from .pipelines import _ENRICHED_TABLE_SCHEMA, METRIC_KEYS, Layout
 
 
 def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files: bool, max_per_trigger: int,
-              enrich_every: str, metrics_every: str, serving_every: str, width: str, watermark: str):
+              enrich_every: str, metrics_every: str, serving_every: str, width: str, watermark: str,
+              fold_every: int = 100):
     def topic(name: str) -> DataFrame:
         if files:
             return read_topic(spark, name, path=f"{lay.root}/in_{name}", max_per_trigger=max_per_trigger)
@@ -48,8 +49,13 @@ def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files:
 
     src = tbl.read_table_stream(spark, lay.enriched, _ENRICHED_TABLE_SCHEMA)
     m = sector_metrics(src.drop("batch_id", "ingestion_time"), width, watermark=watermark)
+    def metrics_sink(df: DataFrame, b: int) -> None:
+        upsert(df, lay.metrics, b, METRIC_KEYS, policy="update")
+        if b > 0 and b % fold_every == 0:
+            tbl.compact(spark, lay.metrics, keys=METRIC_KEYS)  # fold the update log
+
     q_metrics = (m.writeStream.queryName("metrics").outputMode("update")
-                 .foreachBatch(lambda df, b: upsert(df, lay.metrics, b, METRIC_KEYS, policy="update"))
+                 .foreachBatch(metrics_sink)
                  .option("checkpointLocation", lay.ckpt_metrics).trigger(processingTime=metrics_every).start())
 
     src2 = tbl.read_table_stream(spark, lay.enriched, _ENRICHED_TABLE_SCHEMA)

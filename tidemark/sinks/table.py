@@ -225,6 +225,22 @@ def _rewrite(spark: SparkSession, path: str, df: DataFrame | None, n_files: int,
     return _commit(spark, path, operation, rows, adds, removes)
 
 
+def fold_before(spark: SparkSession, path: str, batch_id: int, transform, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Replace every live row of batches ``< batch_id`` by ``transform(rows)``,
+    tagged ``batch_id - 1``, in one rewrite. Reads "as of before N" are unchanged,
+    so a replay of batch N still sees the same rows."""
+    df = _read_dirs(spark, path, live_dirs(spark, path))
+    if df is None:
+        return -1
+    old = df.where(F.col("batch_id") < batch_id)
+    dirs = [d for d in live_dirs(spark, path)]
+    keep_dirs = [d for d in dirs if d.startswith("data/batch_id=") and int(d.split("=")[1]) >= batch_id]
+    folded = transform(old.drop("batch_id")).withColumn("batch_id", F.lit(batch_id - 1).cast("bigint"))
+    sizes = folder_sizes(spark, path)
+    n = max(1, math.ceil(sum(b for d, (b, _) in sizes.items() if d not in keep_dirs) / target_bytes))
+    return _rewrite(spark, path, folded, n, "fold", [d for d in dirs if d not in keep_dirs])
+
+
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES,
             keys: list[str] | None = None, order: list[str] | None = None) -> int:
     """Rewrite small files into about ``target_bytes`` files (M1).

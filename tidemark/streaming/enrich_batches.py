@@ -12,7 +12,8 @@ Each micro-batch of the tagged trade/info union is handed to ``foreachBatch``:
 
 Replaying batch N reads the same state (batches < N) and overwrites the same
 folders: exactly-once. Semantics equal ``late='current_state'`` of the
-stateful processor. ``compact(state_path, keys=['symbol'])`` folds the state log.
+stateful processor. Every ``fold_every`` batches the state log of earlier
+batches is folded to one row per symbol, so the state read stays small.
 """
 
 from __future__ import annotations
@@ -36,8 +37,13 @@ def carried_state(spark, state_path: str, batch_id: int) -> DataFrame | None:
     return latest_info(log.select(*_INFO_COLS))
 
 
+def fold_state(spark, state_path: str, batch_id: int) -> int:
+    """Fold the state log of batches ``< batch_id`` to one row per symbol (newest info)."""
+    return tbl.fold_before(spark, state_path, batch_id, lambda rows: latest_info(rows.select(*_INFO_COLS)))
+
+
 def enrich_micro_batch(batch: DataFrame, batch_id: int, enriched_path: str, state_path: str, *,
-                       missing: str = "sentinel", bucket: str | None = "auto") -> None:
+                       missing: str = "sentinel", bucket: str | None = "auto", fold_every: int = 50) -> None:
     spark = batch.sparkSession
     batch = batch.persist()
     try:
@@ -48,6 +54,8 @@ def enrich_micro_batch(batch: DataFrame, batch_id: int, enriched_path: str, stat
         out = out.withColumn("event_timestamp", epoch_ms_to_ts("trade_timestamp"))
         tbl.write_batch(out, enriched_path, batch_id)
         tbl.write_batch(latest_info(info), state_path, batch_id, stamp_ingestion=False)
+        if fold_every and batch_id > 0 and batch_id % fold_every == 0:
+            fold_state(spark, state_path, batch_id)
     finally:
         batch.unpersist()
 
