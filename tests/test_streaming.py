@@ -201,3 +201,19 @@ def test_state_fold_keeps_results_and_replay(spark, mk):
     st = EB.carried_state(spark, lay.enrich_state, 3).collect()
     assert [(r.symbol, r.sector) for r in st] == [("S", "B")]
     assert _sectors(spark, lay) == ["A", "B", "B"]
+
+
+def test_metrics_with_null_sector_are_rejected(spark, mk):
+    """missing='null' gives a NULL sector group, which the serving key forbids."""
+    from tidemark.operators import asof
+
+    lay = P.layout(spark, "t-reject")
+    trades = mk.trades([("S", day("10:01"), 2), ("X", day("10:02"), 3)])
+    info = mk.info([("S", day("10:00"), 1, "A")])
+    enriched = asof.enrich_asof(trades, info, missing="null").withColumn(
+        "event_timestamp", F.timestamp_millis("trade_timestamp"))
+    tbl.write_batch(enriched, lay.enriched, 0)
+    feed.run_available(lambda: P.start_metrics(spark, lay, "1 minute"))
+    assert [r.sector for r in P.latest_metrics(spark, lay).collect()] == ["A"]
+    rej = tbl.read_table(spark, f"{lay.metrics}_rejects").collect()
+    assert [r.reason for r in rej] == ["sector is null"]

@@ -24,7 +24,8 @@ from ..sinks.upsert import upsert
 from ..sources.topic import parse_info, parse_trades, read_topic
 from ..streaming.enrich_batches import enrich_micro_batch
 from ..streaming.enrich_stream import stream_union
-from .pipelines import _ENRICHED_TABLE_SCHEMA, METRIC_KEYS, Layout
+from ..operators.constraints import METRICS_CONSTRAINTS
+from .pipelines import _ENRICHED_TABLE_SCHEMA, METRIC_KEYS, ROW_CHECKS, Layout, write_checked
 
 
 def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files: bool, max_per_trigger: int,
@@ -50,7 +51,8 @@ def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files:
     src = tbl.read_table_stream(spark, lay.enriched, _ENRICHED_TABLE_SCHEMA)
     m = sector_metrics(src.drop("batch_id", "ingestion_time"), width, watermark=watermark)
     def metrics_sink(df: DataFrame, b: int) -> None:
-        upsert(df, lay.metrics, b, METRIC_KEYS, policy="update")
+        write_checked(df, lay.metrics, b, METRICS_CONSTRAINTS,
+                      lambda ok: upsert(ok, lay.metrics, b, METRIC_KEYS, policy="update"))
         if b > 0 and b % fold_every == 0:
             tbl.compact(spark, lay.metrics, keys=METRIC_KEYS)  # fold the update log
 
@@ -60,8 +62,9 @@ def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files:
 
     src2 = tbl.read_table_stream(spark, lay.enriched, _ENRICHED_TABLE_SCHEMA)
     q_serving = (src2.writeStream.queryName("serving")
-                 .foreachBatch(lambda df, b: tbl.write_batch(
-                     sink_projection(df.where(F.col("symbol").isNotNull())), lay.serving, b))
+                 .foreachBatch(lambda df, b: write_checked(
+                     df.where(F.col("symbol").isNotNull()), lay.serving, b, ROW_CHECKS,
+                     lambda ok: tbl.write_batch(sink_projection(ok), lay.serving, b)))
                  .option("checkpointLocation", lay.ckpt_serving).trigger(processingTime=serving_every).start())
     return [q_enrich, q_metrics, q_serving]
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import round_half_up_div, sink_projection
+from ..operators.constraints import ENRICHED_CONSTRAINTS, METRICS_CONSTRAINTS, Constraints, check_constraints
 from ..operators.metrics import metric_aggs, sector_metrics
 from ..schemas import ENRICHED_SCHEMA
 from ..session import scratch_path
@@ -32,6 +33,23 @@ from ..streaming.enrich_batches import enrich_micro_batch
 from ..streaming.enrich_stream import enrich_stream, stream_union
 from ..streaming.feed import feed_in_slices
 
+# Serving-table row checks (NOT NULL, VARCHAR widths, DECIMAL range); uniqueness
+# of the serving rows is the upsert's job, not a per-batch check.
+ROW_CHECKS = Constraints(**{**ENRICHED_CONSTRAINTS.__dict__, "unique": ()})
+
+
+def write_checked(df: DataFrame, path: str, batch_id: int, spec: Constraints, write) -> None:
+    """Rows that break the serving constraints go to ``<path>_rejects`` with a
+    reason (same batch id, so replays stay idempotent); the rest are written."""
+    df = df.persist()
+    try:
+        ok, rejects = check_constraints(df, spec)
+        write(ok)
+        tbl.write_batch(rejects, f"{path}_rejects", batch_id)
+    finally:
+        df.unpersist()
+
+
 METRIC_KEYS = ["window_start", "sector"]
 METRIC_COLS = ["window_start", "window_end", "sector", "trade_count", "total_value", "avg_price", "total_volume"]
 
@@ -99,7 +117,8 @@ def start_metrics(spark: SparkSession, lay: Layout, width: str = "1 minute", wat
     m = sector_metrics(src.drop("batch_id", "ingestion_time"), width, watermark=watermark)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        upsert(df, lay.metrics, batch_id, METRIC_KEYS, policy="update")
+        write_checked(df, lay.metrics, batch_id, METRICS_CONSTRAINTS,
+                      lambda ok: upsert(ok, lay.metrics, batch_id, METRIC_KEYS, policy="update"))
 
     return (m.writeStream.foreachBatch(sink).outputMode(output_mode)
             .option("checkpointLocation", lay.ckpt_metrics).trigger(availableNow=True).start())
@@ -110,7 +129,9 @@ def start_serving_copy(spark: SparkSession, lay: Layout):
     src = tbl.read_table_stream(spark, lay.enriched, _ENRICHED_TABLE_SCHEMA)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        tbl.write_batch(sink_projection(df.where(F.col("symbol").isNotNull())), lay.serving, batch_id)
+        rows = df.where(F.col("symbol").isNotNull())
+        write_checked(rows, lay.serving, batch_id, ROW_CHECKS,
+                      lambda ok: tbl.write_batch(sink_projection(ok), lay.serving, batch_id))
 
     return (src.writeStream.foreachBatch(sink)
             .option("checkpointLocation", lay.ckpt_serving).trigger(availableNow=True).start())
