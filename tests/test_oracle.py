@@ -14,7 +14,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, digest
+from tools.oracle_check import TABLES, digest, type_mismatches
 
 SLOW = {"stream_ingest_trades", "stream_enrich", "stream_enrich_history", "stream_sector_metrics",
         "stream_sector_metrics_append", "staged_enriched", "pipeline_staged", "early_results",
@@ -41,6 +41,7 @@ def _check(spark, con, key):
     orows = rel.fetchall()
     assert len(srows) == len(orows)
     assert digest(df.columns, srows) == digest(rel.columns, orows)
+    assert type_mismatches(df.schema, rel) == {}
 
 
 @pytest.mark.parametrize("key", FAST)

@@ -198,7 +198,7 @@ SELECT * EXCLUDE (rn) FROM (
 
 RECENT_TRADES = """
 SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_timestamp DESC, seq DESC) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY trade_timestamp DESC, seq DESC) AS INTEGER) AS rank
   FROM enriched) WHERE rank <= 5"""
 
 RETENTION_KEPT = """
