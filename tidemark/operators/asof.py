@@ -238,10 +238,15 @@ def forward_fill(df: DataFrame, cols: list[str], by: list[str], order: list[str]
     Each of ``cols`` takes its last non-null value over ``partitionBy(by)``
     ordered by ``order``. With ``bucket_on`` (an epoch-ms column that is the
     first ``order`` key) and ``bucket`` the same two-level plan as
-    ``enrich_asof`` is used, so a hot key is split across tasks.
+    ``enrich_asof`` is used, so a hot key is split across tasks;
+    ``bucket='auto'`` uses the plain window for inputs estimated at most
+    ``AUTO_PLAIN_MAX_BYTES``.
     """
     okeys = [F.col(c) for c in order]
     upto_here = (Window.unboundedPreceding, Window.currentRow)
+    if bucket == "auto":
+        bucket = None if estimated_bytes(df) <= AUTO_PLAIN_MAX_BYTES else AUTO_BUCKET
+        bucket_on = bucket_on if bucket else None
     if bucket_on is None:
         w = Window.partitionBy(*by).orderBy(*okeys).rowsBetween(*upto_here)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})

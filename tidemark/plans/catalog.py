@@ -163,9 +163,7 @@ def q_valid_trades(spark, sf_dir):
 @register("constraint_rejects",
           O.with_ctes(O.TIES_CTE, O.asof_ctes(), O.ENRICHED_SENTINEL) + O.constraint_rejects_sql())
 def q_constraint_rejects(spark, sf_dir):
-    t, i = fx.trades_from_lineitem(spark, sf_dir), fx.info_from_orders(spark, sf_dir)
-    e = asof.enrich_asof(t, i, bucket="1 day")
-    _ok, rejects = constraints.check_constraints(e, constraints.ENRICHED_CONSTRAINTS)
+    _ok, rejects = constraints.check_constraints(_ties_enriched(spark, sf_dir), constraints.ENRICHED_CONSTRAINTS)
     return rejects
 
 
@@ -188,7 +186,7 @@ def q_forward_fill(spark, sf_dir):
     t, i = event_inputs(spark, sf_dir)
     u = events.union_events(t, i)
     filled = asof.forward_fill(u, list(INFO_FIELDS), ["symbol"], ["event_ms", "record_type", "seq"],
-                               bucket_on="event_ms", bucket="1 hour")
+                               bucket_on="event_ms", bucket="auto")
     return events.trades_only(filled).select(*t.columns, *INFO_FIELDS)
 
 
@@ -311,7 +309,7 @@ def q_early_results(spark, sf_dir):
 
 def _ties_enriched(spark, sf_dir):
     t, i = fx.trades_from_lineitem(spark, sf_dir), fx.info_from_orders(spark, sf_dir)
-    return asof.enrich_asof(t, i, bucket="1 day")
+    return asof.enrich_asof(t, i)
 
 
 @register("dedup_trades", _TIES_SQL + O.DEDUP_TRADES)
