@@ -38,7 +38,7 @@ def sink_projection(enriched: DataFrame) -> DataFrame:
     """Enriched trades cast to the serving types.
 
     price and trade_value DECIMAL(28,8); trade_timestamp TIMESTAMP; info_timestamp
-    NULL when it is 0 or missing (the Flink lane's rule, C7).
+    NULL when it is 0 or missing (C7).
     """
     return enriched.select(
         "symbol",

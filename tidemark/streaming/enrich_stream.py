@@ -5,8 +5,8 @@ info seen so far in a ValueState (RocksDB-backed). Each micro-batch of a key is
 sorted by ``(ms, ord, seq)`` and filled with vectorised numpy, not row by row.
 
 ``late='current_state'`` (default): the state is placed ahead of the batch,
-so a trade that arrives after a newer info gets that newer info - the rule
-the reference lanes follow (C8). On time-ordered input it equals the batch
+so a trade that arrives after a newer info gets that newer info (C8). On
+time-ordered input it equals the batch
 ``enrich_asof``.
 
 ``late='history'``: the state also keeps older infos in a ListState, and a
