@@ -125,3 +125,14 @@ def test_compaction_leaves_large_files(spark, mk):
     assert tbl.compact(spark, path, target_bytes=1) == -1  # every file already "large"
     v = tbl.compact(spark, path)
     assert v == 3 and tbl.table_bytes(spark, path)[1] == 1
+
+
+def test_jdbc_sink_reraises(spark, mk):
+    """No database is started: an unknown JDBC URL must fail the batch, not be swallowed."""
+    import pytest
+
+    from tidemark.sinks.jdbc import jdbc_sink
+
+    sink = jdbc_sink("jdbc:tidemark-none://nowhere/db", "enriched_trades")
+    with pytest.raises(Exception):
+        sink(mk.trades([("S", day("10:00"), 1)]), 0)
