@@ -173,7 +173,10 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
 def _bucketed_answers(u: DataFrame, width: int, ttl_ms: int | None) -> DataFrame:
     """(symbol, trade_timestamp, _cur) for every trade time in ``u``."""
     order = [F.col("_ms"), F.col("_ord"), F.col("_seq")]
+    # The explicit not-null filter equals what the inner join below would infer,
+    # so both uses of ``u`` are the same plan and Spark reuses its exchange.
     u = u.withColumn("_b", F.floor(F.col("_ms") / F.lit(width)))
+    u = u.where(F.col("symbol").isNotNull() & F.col("_b").isNotNull())
 
     # 1. per (symbol, bucket): the event-time extent over all events (a hash
     #    aggregate) and the last info, whose struct max needs a sort-based
