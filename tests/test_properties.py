@@ -72,3 +72,17 @@ def test_ttl_bucketed_equals_definition(mk, evs, ttl):
             else:
                 want = "UNKNOWN" if cur is None or cur[1] is None else cur[1]
                 assert got[seq] == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(evs=events_st, width=st.sampled_from(["1 minute", "1 hour"]))
+def test_forward_fill_bucketed_equals_plain(mk, evs, width):
+    from tidemark.operators import events
+
+    t, i = _split(mk, evs)
+    u = events.union_events(t, i)
+    order = ["event_ms", "record_type", "seq"]
+    cols = ["company", "sector"]
+    plain = asof.forward_fill(u, cols, ["symbol"], order)
+    bucketed = asof.forward_fill(u, cols, ["symbol"], order, bucket_on="event_ms", bucket=width)
+    assert _rows(plain.select(*u.columns)) == _rows(bucketed.select(*u.columns))

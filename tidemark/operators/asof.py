@@ -256,6 +256,9 @@ def forward_fill(df: DataFrame, cols: list[str], by: list[str], order: list[str]
 
     width = interval_ms(bucket)
     d = df.withColumn("_b", F.floor(F.col(bucket_on) / F.lit(width)))
+    # Rows with a NULL key or bucket cannot meet a seed; they keep their own values.
+    nulls = d.where(~(F.col("_b").isNotNull() & _all_not_null(by)))
+    d = d.where(F.col("_b").isNotNull() & _all_not_null(by))  # same plan for both uses below
     # Last non-null per (key, bucket) for each column: max of struct(order..., value).
     tagged = {c: F.when(F.col(c).isNotNull(), F.struct(*okeys, F.col(c).alias("v"))) for c in cols}
     bk = d.groupBy(*by, "_b").agg(*[F.max(e).alias(f"_l_{c}") for c, e in tagged.items()])
@@ -264,4 +267,11 @@ def forward_fill(df: DataFrame, cols: list[str], by: list[str], order: list[str]
     wi = Window.partitionBy(*by, "_b").orderBy(*okeys).rowsBetween(*upto_here)
     j = d.join(seeds, [*by, "_b"], "inner")
     j = j.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(wi), F.col(f"_s_{c}")) for c in cols})
-    return j.drop("_b", *[f"_s_{c}" for c in cols])
+    return j.drop("_b", *[f"_s_{c}" for c in cols]).unionByName(nulls.drop("_b"))
+
+
+def _all_not_null(cols: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
