@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -109,18 +110,23 @@ def live_dirs(spark: SparkSession, path: str) -> list[str]:
 
 def _commit(spark: SparkSession, path: str, operation: str, rows: int | None, adds: list[str],
             removes: list[str], batch_id: int | None = None) -> int:
-    """Append one commit file. ``create(overwrite=False)`` fails if the version was
-    taken by another writer, so a version is never written twice."""
+    """Append one commit file; a version that already exists is never overwritten."""
     entries = _entries(spark, path)
     version = (entries[-1]["version"] + 1) if entries else 0
     entry = {"version": version, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(),
              "operation": operation, "batch_id": batch_id, "rows": rows, "adds": adds, "removes": removes}
     fs, p = _fs(spark, f"{path}/_history/{version:020d}.json")
-    out = fs.create(p, False)
+    # Write under a temporary name (readers skip it) and rename into place, so a
+    # crash mid-write never leaves a half-written commit that readers would parse.
+    _, tmp = _fs(spark, f"{path}/_history/.{version:020d}.json.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     try:
         out.write(bytearray(json.dumps(entry).encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise RuntimeError(f"commit {version} of {path} was taken by another writer")
     return version
 
 
