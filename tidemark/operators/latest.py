@@ -11,19 +11,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys: list[str], order: list[Column], rest: list[str], fn) -> DataFrame:
-    # One struct whose leading fields are the ordering key: min/max of it picks
-    # the whole row. Partial aggregation runs in every map task.
-    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
-    best = df.groupBy(*keys).agg(fn(packed).alias("_p"))
-    return best.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in rest])
+def _pick(df: DataFrame, keys: list[str], order: list[str | Column], fn) -> DataFrame:
+    # One struct whose leading fields are the ordering key and whose tail is the
+    # rest of the row: min/max of it picks the whole row (ties broken by the
+    # remaining columns, a total order). Partial aggregation runs in every map task.
+    names = [o for o in order if isinstance(o, str)]
+    lead = [(F.col(o) if isinstance(o, str) else o).alias(o if isinstance(o, str) else f"_o{i}")
+            for i, o in enumerate(order)]
+    rest = [c for c in df.columns if c not in keys and c not in names]
+    best = df.groupBy(*keys).agg(fn(F.struct(*lead, *[F.col(c) for c in rest])).alias("_p"))
+    return best.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in names + rest]).select(*df.columns)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """The row with the greatest ``order`` per key (``DISTINCT ON ... ORDER BY ... DESC``)."""
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    rest = [c for c in df.columns if c not in keys]
-    return _pick(df, keys, order_cols, rest, F.max).select(*df.columns)
+    return _pick(df, list(keys), list(order), F.max)
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[str] = ("seq",)) -> DataFrame:
@@ -31,9 +33,7 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str] = ("seq",)) ->
 
     This is insert-if-absent within one batch: ``ON CONFLICT DO NOTHING``.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order_cols = [F.col(o) for o in order]
-    return _pick(df, list(keys), order_cols, rest, F.min).select(*df.columns)
+    return _pick(df, list(keys), list(order), F.min)
 
 
 def duplicates(df: DataFrame, kept: DataFrame) -> DataFrame:
