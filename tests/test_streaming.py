@@ -37,7 +37,8 @@ def test_stale_info_in_later_batch_stream(spark, mk, kw):
 
 
 @pytest.mark.parametrize("kw,want", [(dict(engine="batchwise"), "B"), (dict(engine="state"), "B"),
-                                     (dict(engine="state", late="history", watermark="2 hours"), "A")])
+                                     (dict(engine="state", late="history", watermark="2 hours"), "A"),
+                                     (dict(engine="batchwise", late="history"), "A")])
 def test_late_trade_current_state_vs_history(spark, mk, kw, want):
     lay = _run(spark, mk, [([], [("S", day("10:00"), 1, "A")]),
                            ([], [("S", day("12:00"), 2, "B")]),
@@ -217,3 +218,23 @@ def test_metrics_with_null_sector_are_rejected(spark, mk):
     assert [r.sector for r in P.latest_metrics(spark, lay).collect()] == ["A"]
     rej = tbl.read_table(spark, f"{lay.metrics}_rejects").collect()
     assert [r.reason for r in rej] == ["sector is null"]
+
+
+def test_history_batchwise_exact_for_any_trade_order(spark):
+    """Infos first, then trade slices newest-first: every trade is late, and the
+    history mode still equals the batch as-of on the whole fixture."""
+    from conftest import SF_SMALL
+
+    from tidemark.operators import asof
+    from tidemark.plans import catalog
+
+    t, i = catalog.event_inputs(spark, SF_SMALL)
+    lay = P.layout(spark, "t-hist-order")
+    cuts = feed.time_cuts(t, "trade_timestamp", 3)
+    feed.append_json(i, lay.in_info)
+    for s in reversed(range(len(cuts) + 1)):
+        feed.append_json(feed.time_slice(t, "trade_timestamp", cuts, s), lay.in_trades)
+        feed.run_available(lambda: P.start_enrichment(spark, lay, engine="batchwise", late="history"))
+    got = P.enriched_rows(spark, lay)
+    want = asof.enrich_asof(t, i)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0

@@ -246,6 +246,12 @@ def q_stream_enrich_batchwise(spark, sf_dir):
     return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, engine="batchwise"))
 
 
+@register("stream_enrich_history_batchwise", _ENRICHED_SQL + "\nSELECT * FROM enriched")
+def q_stream_enrich_history_batchwise(spark, sf_dir):
+    t, i = event_inputs(spark, sf_dir)
+    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=3, engine="batchwise", late="history"))
+
+
 @register("stream_enrich_ttl", O.enriched_sql(ttl_ms=86_400_000) + "\nSELECT * FROM enriched")
 def q_stream_enrich_ttl(spark, sf_dir):
     """Stateful enrichment whose per-symbol state expires 24 h after the symbol's newest event."""

@@ -29,7 +29,7 @@ from ..sinks import table as tbl
 from ..sinks.upsert import latest_view, upsert
 from ..sources.topic import parse_info, parse_trades, read_topic
 from ..operators.stats import observe_enrichment
-from ..streaming.enrich_batches import enrich_micro_batch
+from ..streaming.enrich_batches import enrich_micro_batch, enrich_micro_batch_history
 from ..streaming.enrich_stream import enrich_stream, stream_union
 from ..streaming.feed import feed_in_slices
 
@@ -82,15 +82,21 @@ def _enriched_stream(spark: SparkSession, lay: Layout, *, max_files: int | None
 def start_enrichment(spark: SparkSession, lay: Layout, *, engine: str = "batchwise", **kw):
     """Query A: enriched trades appended to the enriched table, one folder per batch.
 
-    ``engine='batchwise'`` (default): foreachBatch + seeded bucketed as-of, state
-    in a table (no Python on the data path). ``engine='state'``: the
-    ``transformWithStateInPandas`` operator (required for ``late='history'``).
+    ``engine='batchwise'`` (default): foreachBatch + seeded as-of, state in a
+    table (no Python on the data path); ``late='history'`` keeps an info log and
+    is exact for any lateness. ``engine='state'``: the
+    ``transformWithStateInPandas`` operator (TTL timers; its ``late='history'``
+    is exact up to the watermark delay).
     """
     if engine == "batchwise":
         t, i = _parsed_topics(spark, lay, kw.get("max_files"))
+        history = kw.get("late", "current_state") == "history"
 
         def fb(df: DataFrame, batch_id: int) -> None:
-            enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state)
+            if history:
+                enrich_micro_batch_history(df, batch_id, lay.enriched, lay.info_log)
+            else:
+                enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state)
 
         return (stream_union(t, i).writeStream.foreachBatch(fb)
                 .option("checkpointLocation", lay.ckpt_enrich).trigger(availableNow=True).start())

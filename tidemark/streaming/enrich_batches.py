@@ -61,3 +61,34 @@ def enrich_micro_batch(batch: DataFrame, batch_id: int, enriched_path: str, stat
 
 
 STATE_SCHEMA = INFO_SCHEMA
+
+
+def enrich_micro_batch_history(batch: DataFrame, batch_id: int, enriched_path: str, info_log_path: str, *,
+                               missing: str = "sentinel", bucket: str | None = "auto") -> None:
+    """``late='history'`` without Python: every trade gets the info as of its own
+    time, however late it arrives.
+
+    The info log keeps every info (the slowly changing side). For a batch whose
+    earliest trade is at ``lo``, the as-of needs only the logged infos at or
+    after ``lo`` (a range filter Parquet statistics prune) plus each symbol's
+    newest info before ``lo`` (a map-side-combined aggregate) - exact, no cap.
+    """
+    spark = batch.sparkSession
+    batch = batch.persist()
+    try:
+        trades = batch.where(F.col("ev_ord") == 1).select(*_TRADE_COLS)
+        info = batch.where(F.col("ev_ord") == 0).select(*_INFO_COLS)
+        known = info
+        if tbl.live_dirs(spark, info_log_path):
+            lo = trades.agg(F.min("trade_timestamp")).first()[0]
+            log = tbl.read_table(spark, info_log_path).where(F.col("batch_id") < batch_id).select(*_INFO_COLS)
+            if lo is not None:
+                recent = log.where(F.col("info_timestamp") >= lo)
+                before = latest_info(log.where(F.col("info_timestamp") < lo))
+                known = info.unionByName(recent).unionByName(before)
+        out = enrich_asof(trades, known, missing=missing, bucket=bucket)
+        out = out.withColumn("event_timestamp", epoch_ms_to_ts("trade_timestamp"))
+        tbl.write_batch(out, enriched_path, batch_id)
+        tbl.write_batch(info, info_log_path, batch_id, stamp_ingestion=False)
+    finally:
+        batch.unpersist()
