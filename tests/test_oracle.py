@@ -19,7 +19,7 @@ from tools.oracle_check import TABLES, digest, type_mismatches
 SLOW = {"stream_ingest_trades", "stream_enrich", "stream_enrich_history", "stream_sector_metrics",
         "stream_sector_metrics_append", "staged_enriched", "pipeline_staged", "early_results",
         "latest_metrics", "view_sector_latest", "stream_enrich_ttl", "stream_enrich_batchwise",
-        "pipeline_unified", "stream_enrich_history_batchwise"}
+        "pipeline_unified", "stream_enrich_history_batchwise", "stream_dedup_keys"}
 FAST = sorted(k for k in E.oracle_sql() if k not in SLOW)
 STREAM_SAMPLE = ["stream_enrich", "stream_sector_metrics", "stream_enrich_history"]
 

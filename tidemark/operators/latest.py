@@ -49,3 +49,10 @@ def newest_per_key(df: DataFrame, keys: list[str], order: list[str], n: int) ->
     """
     w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def dedup_stream(df, keys: list[str], event_time: str, delay: str = "5 minutes"):
+    """Streaming insert-if-absent (L4): one row per key among rows whose event
+    times lie within the watermark delay. Which copy survives depends on arrival;
+    use ``upsert(policy='ignore')`` in ``foreachBatch`` for first-by-``seq``."""
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -234,6 +234,25 @@ def q_stream_ingest_trades(spark, sf_dir):
     return tbl.read_table(spark, lay.trades).select(*t.columns)
 
 
+@register("stream_dedup_keys", O.with_ctes(O.TIES_CTE) +
+          "\nSELECT DISTINCT symbol, trade_timestamp, volume FROM trades")
+def q_stream_dedup_keys(spark, sf_dir):
+    """Tie-heavy trades (duplicate keys) through dropDuplicatesWithinWatermark: one row per key."""
+    t = fx.trades_from_lineitem(spark, sf_dir)
+    lay = P.layout(spark, "dedup")
+    keys = ["symbol", "trade_timestamp", "volume"]
+
+    def start():
+        parsed, _rej = topic.parse_trades(topic.read_topic(spark, "trades", path=lay.in_trades))
+        parsed = parsed.withColumn("event_timestamp", F.timestamp_millis("trade_timestamp"))
+        out = latest.dedup_stream(parsed, keys, "event_timestamp")
+        return (out.writeStream.foreachBatch(lambda df, b: tbl.write_batch(df, lay.trades, b))
+                .option("checkpointLocation", lay.ckpt).trigger(availableNow=True).start())
+
+    feed.feed_in_slices({"trades": (t, "trade_timestamp", lay.in_trades)}, 3, [start])
+    return tbl.read_table(spark, lay.trades).select(*keys)
+
+
 @register("stream_enrich", _ENRICHED_SQL + "\nSELECT * FROM enriched")
 def q_stream_enrich(spark, sf_dir):
     t, i = event_inputs(spark, sf_dir)
