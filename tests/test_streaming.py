@@ -155,20 +155,23 @@ def test_stream_ttl(spark, mk, batches, want):
 
 
 def test_long_running_app_matches_batch(spark, mk):
-    """The deployment wiring: three concurrent queries with processing-time triggers."""
+    """The deployment wiring: three concurrent queries with processing-time triggers.
+
+    Both inputs are in place before the queries start, so the first micro-batch
+    holds trades and infos together (arrival order is then irrelevant)."""
     from tidemark.operators import asof, metrics
     from tidemark.plans import app
 
     lay = P.layout(spark, "t-app")
+    trades = mk.trades([("S", day("10:01"), 2, "2.50", 4), ("S", day("10:03"), 4, "3.00", 1),
+                        ("X", day("10:02"), 5)])
+    info = mk.info([("S", day("10:00"), 1, "A"), ("S", day("10:02"), 3, "B")])
+    feed.append_json(info, f"{lay.root}/in_stock-info")
+    feed.append_json(trades, f"{lay.root}/in_stock-trades")
     qs = app.start_all(spark, lay, bootstrap=None, files=True, max_per_trigger=10, enrich_every="1 second",
                        metrics_every="1 second", serving_every="1 second", width="1 minute",
                        watermark="5 minutes")
     try:
-        trades = mk.trades([("S", day("10:01"), 2, "2.50", 4), ("S", day("10:03"), 4, "3.00", 1),
-                            ("X", day("10:02"), 5)])
-        info = mk.info([("S", day("10:00"), 1, "A"), ("S", day("10:02"), 3, "B")])
-        feed.append_json(trades, f"{lay.root}/in_stock-trades")
-        feed.append_json(info, f"{lay.root}/in_stock-info")
         for q in qs:
             q.processAllAvailable()
         qs[1].processAllAvailable()
