@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, sharding, warc
+from . import bpe, forest, jaccard, sharding, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": warc.query,
         "op2_bpe": bpe.query,
         "op3_sharding": sharding.query,
+        "op4_forest": forest.query,
+        "op9_jaccard": jaccard.query,
     }
 
 
