@@ -35,11 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to a new folder under spark.checkpoint.dir and read back:
     later jobs reread the files, also after executors are lost."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
