@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, jaccard, lm, sharding, warc
+from . import bpe, forest, jaccard, lm, quality, sharding, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe": bpe.query,
         "op3_sharding": sharding.query,
         "op4_forest": forest.query,
+        "op6_quality": quality.query,
         "op8_lm": lm.query,
         "op9_jaccard": jaccard.query,
     }
