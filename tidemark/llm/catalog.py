@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, jaccard, lm, quality, sharding, warc
+from . import bpe, forest, jaccard, lm, quality, sharding, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": quality.query,
         "op8_lm": lm.query,
         "op9_jaccard": jaccard.query,
+        "op10_toxicity": toxicity.query,
     }
 
 
