@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, jaccard, lm, quality, sharding, toxicity, warc
+from . import bpe, forest, jaccard, lm, quality, sharding, toxicity, warc, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sharding": sharding.query,
         "op4_forest": forest.query,
         "op6_quality": quality.query,
+        "op7_winnow": winnow.query,
         "op8_lm": lm.query,
         "op9_jaccard": jaccard.query,
         "op10_toxicity": toxicity.query,

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, blocks, shingles, split_words, stored, table, text_bytes
+from .common import NOT_SPACE, blocks, key_bitmap, marked, shingles, split_words, stored, table, text_bytes
 
 FEATURES = 192
 FOLDS = 4
@@ -248,7 +248,8 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFra
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that the model of these documents' labels accepts, all columns kept."""
-    labelled = docs.join(labels.where("quality is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    known = labels.where("quality is not null and doc_id is not null")
+    labelled = marked(docs, F.col("doc_id"), key_bitmap(F.col("doc_id"), known), "left_semi")
     shared = docs.sparkSession.sparkContext.broadcast(fit(with_statistics(labelled), labels))
 
     def run(batches):
