@@ -366,5 +366,22 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The row with the smallest doc_id of each group, all columns kept; of rows that repeat
+    an id one stays. Rows with a null doc_id stay. Texts of rows that surely stay are not shuffled."""
+    known = docs.where("doc_id is not null")
+    out = stored(jaccard_groups(known), "jaccard-out")
+    gone = out.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
+    again = out.groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id")
+    either = stored(gone.withColumn("gone", F.lit(True)).unionByName(again.withColumn("gone", F.lit(False)))
+                    .groupBy("id").agg(F.max("gone").alias("gone")), "jaccard-gone")
+    flags = key_bitmap(F.col("id"), either)
+    maybe = marked(known, F.col("doc_id"), flags, "left_semi").join(either, F.col("doc_id") == F.col("id"), "left")
+    untouched = maybe.where("id is null").select(docs.columns)
+    first = maybe.where("not gone").select(docs.columns).dropDuplicates(["doc_id"])
+    stay = marked(known, F.col("doc_id"), flags, "left_anti").unionByName(untouched).unionByName(first)
+    return stay.unionByName(docs.where("doc_id is null"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"))
