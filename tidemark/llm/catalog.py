@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, jaccard, lm, quality, sharding, toxicity, warc, winnow
+from . import bpe, forest, jaccard, licences, lm, quality, sharding, toxicity, warc, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe": bpe.query,
         "op3_sharding": sharding.query,
         "op4_forest": forest.query,
+        "op5_licences": licences.query,
         "op6_quality": quality.query,
         "op7_winnow": winnow.query,
         "op8_lm": lm.query,
