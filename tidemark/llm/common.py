@@ -172,8 +172,9 @@ def marked(df: DataFrame, key: Column, bitmap: DataFrame, how: str) -> DataFrame
 
 # --- connected components --------------------------------------------------------------------
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has an edge.
+    With ``rounds``, a connected smaller node that may not be the smallest yet.
 
     Alternating star contraction: each round links every node to the smallest of
     its neighbourhood, first for the larger neighbours, then for the smaller, until
@@ -184,8 +185,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     u, v = F.col("u"), F.col("v")
     links = (edges.where(F.col(a) != F.col(b))
              .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    links, state = stored(links, "links"), None
-    while True:
+    links, state, done = stored(links, "links"), None, 0
+    while rounds is None or done < rounds:
+        done += 1
         both = links.unionByName(links.select(v.alias("u"), u.alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # links run from the larger node u to v; each larger neighbour u of v moves to v's least
@@ -195,9 +197,12 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         small = (large.join(smallest, "u").where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))
                  .unionByName(smallest.select("u", F.col("m").alias("v"))).distinct())
         links = stored(small, "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return (links.select(u.alias("node"), v.alias("component"))
-            .unionByName(links.select(v.alias("node"), v.alias("component")).distinct()))
+        if rounds is None:
+            now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if now == state:
+                break
+            state = now
+    found = (links.select(u.alias("node"), v.alias("component"))
+             .unionByName(links.select(v.alias("node"), v.alias("component"))))
+    # links that are not stars yet may give a node several smaller ones
+    return found.groupBy("node").agg(F.min("component").alias("component"))

@@ -9,7 +9,9 @@ similarity of at least 0.75, as connected groups.
    order of size, breaks into bands where sizes are too far apart to link. Neighbours in
    a band are compared first; these links join nearly all copies.
 3. What remains of each run are pairs in different groups. A run with one group left is
-   done; the others are compared in tiles of bounded size.
+   done; the others are compared in tiles of bounded size. In the first rounds each set
+   is checked with the most similar set of another group only, which joins the groups of
+   a family in a few rounds; the last round checks all pairs that are left.
 Each comparison first bounds the overlap from above: the bitmaps of two sets differ in
 no more bits than the sets differ in elements. Only pairs within the bound have
 their texts fetched for the exact intersection of the sorted arrays. Every pair that
@@ -41,7 +43,8 @@ SKETCH_CHUNKS = 16
 BUCKETS = 1024
 HOT = 20_000              # sets with one shingle that go to one bucket
 FLUSH = 500_000           # postings that a task holds before it deals them out
-TILE = 1024               # sets on either side of a tile
+TILE = 512                # sets on either side of a tile
+ROUNDS = 2                # rounds with the most similar set only
 
 
 def text_sets(column, size: int = SHINGLE) -> list[np.ndarray]:
@@ -59,7 +62,7 @@ def text_sets(column, size: int = SHINGLE) -> list[np.ndarray]:
 
 def width(n: int) -> int:
     """Bits of the bitmap of a set of n shingles."""
-    return max(64, 1 << (n - 1).bit_length())
+    return max(64, 4 << (n - 1).bit_length())
 
 
 def bitmap(own: np.ndarray) -> bytes:
@@ -250,9 +253,9 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     return two.select("a", "b", "x", "y").mapInArrow(_exact, "a long, b long").distinct()
 
 
-def _compare_tile(docs, sizes, groups, sides, bits):
-    """Pairs of one tile that are in different groups and pass the bitmaps. A tile off the
-    diagonal has two sides and compares only across them."""
+def _compare_tile(docs, sizes, groups, sides, bits, nearest):
+    """Pairs of one tile that are in different groups and pass the bitmaps, or the most similar
+    of each set's. A tile off the diagonal has two sides and compares only across them."""
     order = np.lexsort((docs, sizes))
     docs, sizes, groups, sides = docs[order], sizes[order].astype(np.int64), groups[order], sides[order]
     bits = [bits[i] for i in order]
@@ -269,45 +272,54 @@ def _compare_tile(docs, sizes, groups, sides, bits):
         j = j[(groups[j] != groups[i]) & (docs[j] != docs[i])]
         if two_sided:
             j = j[sides[j] != sides[i]]
+        found, share = [], []
         for w in np.unique(long[j]):
             k = j[long[j] == w]
             mine = own[long[i]][place[i]]
             theirs = (own if w == long[i] else folded)[w][place[k]]
-            ok = may_link(sizes[i], sizes[k], np.bitwise_count(theirs ^ mine).sum(1, dtype=np.int64))
-            for d in docs[k[ok]].tolist():
-                yield min(int(docs[i]), d), max(int(docs[i]), d)
-
-
-def _tiles(batches):
-    """Rows sorted by (run, i, j): compares the members of each tile."""
-    held = None
-
+            differing = np.bitwise_count(theirs ^ mine).sum(1, dtype=np.int64)
+            ok = may_link(sizes[i], sizes[k], differing)
+            found.append(docs[k[ok]])
+            share.append(differing[ok] / (sizes[i] + sizes[k[ok]]))
+        found = np.concatenate(found or [docs[:0]])
+        if nearest and len(found):
+            found = found[[np.concatenate(share).argmin()]]
+        for d in found.tolist():
+            yield min(int(docs[i]), d), max(int(docs[i]), d)
+
+
+def _tiles(nearest: bool):
+    """For rows sorted by (run, i, j): compares the members of each tile."""
     def compare(t):
-        get = lambda name: t.column(name).to_numpy()
-        keys = np.stack([get("run"), get("i"), get("j")], 1)
+        keys = np.stack([t.column(c).to_numpy() for c in ("run", "i", "j")], 1)
         cut = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
         found = set()
         for a, b in zip(cut, np.append(cut[1:], len(keys)), strict=True):
             part = t.slice(a, b - a)
             found.update(_compare_tile(*(part.column(c).to_numpy() for c in ("doc", "n", "component", "side")),
-                                       part.column("bits").to_pylist()))
+                                       part.column("bits").to_pylist(), nearest))
         pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    for batch in batches:
-        t = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        keys = [t.column(c).to_numpy() for c in ("run", "i", "j")]
-        ends = np.flatnonzero((keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]) | (keys[2] != keys[2][-1]))
-        done = int(ends[-1]) + 1 if len(ends) else 0      # the last tile may go on in the next batch
-        if done:
-            yield compare(t.slice(0, done))
-        held = t.slice(done)
-    if held is not None and held.num_rows:
-        yield compare(held)
-
-
-def tile_pairs(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs that share a run, are in different groups and pass the bitmaps."""
+    def run(batches):
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            keys = [t.column(c).to_numpy() for c in ("run", "i", "j")]
+            ends = np.flatnonzero((keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]) | (keys[2] != keys[2][-1]))
+            done = int(ends[-1]) + 1 if len(ends) else 0      # the last tile may go on in the next batch
+            if done:
+                yield compare(t.slice(0, done))
+            held = t.slice(done)
+        if held is not None and held.num_rows:
+            yield compare(held)
+    return run
+
+
+def tile_pairs(members: DataFrame, groups: DataFrame, sets: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs that share a run, are in different groups and pass the bitmaps (or only each set's
+    most similar in a tile)."""
     rows = (members.join(groups.select(F.col("node").alias("doc"), "component"), "doc", "left")
             .withColumn("component", F.coalesce("component", "doc")))
     mixed = (rows.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
@@ -321,7 +333,7 @@ def tile_pairs(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFr
             .select("run", "doc", "n", "component", "side", "bits", F.least("side", "other").alias("i"),
                     F.greatest("side", "other").alias("j")))
     return (rows.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j")
-            .mapInArrow(_tiles, "a long, b long").distinct())
+            .mapInArrow(_tiles(nearest), "a long, b long").distinct())
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -335,7 +347,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     full = own.where("n > 0 and doc_id is not null")
     classes = stored(full.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("first"), F.first("bits").alias("bits")),
                      "jaccard-classes")
-    sets = classes.select(F.col("first").alias("doc_id"), "n", "bits").distinct()
+    sets = stored(classes.select(F.col("first").alias("doc_id"), "n", "bits").distinct(), "jaccard-bits")
     # ids that are a copy in every class of theirs need no comparison
     copies = (full.join(classes.select("d1", "d2", "n", "first"), ["d1", "d2", "n"]).where("doc_id > first")
               .select(F.col("doc_id").alias("id")).distinct()
@@ -347,7 +359,8 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
               .unionByName(marked(docs, F.col("doc_id"), flags, "left_anti")))
     packed = firsts.mapInArrow(_postings(counts), "bucket int, keys binary, docs binary, sizes binary")
     runs = stored(packed.groupBy("bucket").applyInArrow(_runs(counts), RUN_DDL), "jaccard-runs")
-    members = runs.where("kind = 1").select("run", "salted", F.col("a").alias("doc"), "n").distinct()
+    members = stored(runs.where("kind = 1").select("run", "salted", F.col("a").alias("doc"), "n").distinct(),
+                     "jaccard-members")
     # neighbouring parts of a hot run are linked by their first members
     part = F.pmod(F.xxhash64("doc"), F.lit(64))
     bridge = members.where("salted").groupBy("run", part.alias("part")).agg(F.min("doc").alias("doc"))
@@ -355,9 +368,13 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     bridge = bridge.join(center, "run").where("doc <> to").select(F.col("to").alias("a"), F.col("doc").alias("b"))
     pairs = runs.where("kind = 0").select("a", "b").unionByName(bridge).distinct()
     found = stored(verified(pairs, sets, docs), "jaccard-links")
-    groups = components(found, "a", "b")
-    more = stored(verified(tile_pairs(members, groups, sets), sets, docs), "jaccard-links")
-    groups = components(found.unionByName(more), "a", "b")
+    groups = components(found, "a", "b", 2)
+    for last in [False] * ROUNDS + [True]:
+        more = stored(verified(tile_pairs(members, groups, sets, not last), sets, docs), "jaccard-links")
+        # the stars so far and the new links
+        found = found.unionByName(more)
+        stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        groups = components(stars.unionByName(found), "a", "b", None if last else 2)
     of_set = classes.select("d1", "d2", "n", "first").join(
         groups.withColumnRenamed("node", "first"), "first", "left")
     of_set = of_set.select("d1", "d2", "n", F.coalesce("component", "first").alias("component"))
