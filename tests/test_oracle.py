@@ -14,13 +14,14 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from tidemark.plans import catalog
 from tools.oracle_check import TABLES, digest, type_mismatches
 
 SLOW = {"stream_ingest_trades", "stream_enrich", "stream_enrich_history", "stream_sector_metrics",
         "stream_sector_metrics_append", "staged_enriched", "pipeline_staged", "early_results",
         "latest_metrics", "view_sector_latest", "stream_enrich_ttl", "stream_enrich_batchwise",
         "pipeline_unified", "stream_enrich_history_batchwise", "stream_dedup_keys"}
-FAST = sorted(k for k in E.oracle_sql() if k not in SLOW)
+FAST = sorted(k for k in catalog.oracle_sql() if k not in SLOW)
 STREAM_SAMPLE = ["stream_enrich", "stream_sector_metrics", "stream_enrich_history"]
 
 
@@ -55,7 +56,7 @@ def test_stream_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
 def test_entry_runs(spark):

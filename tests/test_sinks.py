@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from conftest import day
 from pyspark.sql import functions as F
 
@@ -136,3 +137,45 @@ def test_jdbc_sink_reraises(spark, mk):
     sink = jdbc_sink("jdbc:tidemark-none://nowhere/db", "enriched_trades")
     with pytest.raises(Exception):
         sink(mk.trades([("S", day("10:00"), 1)]), 0)
+
+
+def test_overflowing_trade_is_rejected_with_a_reason(mk):
+    from decimal import Decimal
+
+    from tidemark.operators.asof import enrich_asof
+    from tidemark.operators.constraints import ENRICHED_CONSTRAINTS, check_constraints
+
+    t = mk.trades([("A", 1000, 0, Decimal("9999999999999999.99"), 2_000_000_000), ("A", 1001, 1)])
+    ok, bad = check_constraints(enrich_asof(t, mk.info([])), ENRICHED_CONSTRAINTS)
+    assert [r.seq for r in ok.collect()] == [1]
+    assert [(r.seq, r.reason) for r in bad.collect()] == [(0, "trade_value out of decimal(28,8)")]
+
+
+def test_batch_id_of_another_query_is_an_error(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    from tidemark.session import scratch_path
+    from tidemark.sinks import table as tbl
+
+    path = scratch_path(spark, "other-query")
+    query = {"id": "q1"}
+    monkeypatch.setattr(SparkContext, "getLocalProperty", lambda self, key: query["id"])
+    tbl.write_batch(spark.range(3), path, 0)
+    assert tbl.write_batch(spark.range(5), path, 0) == -1      # a replay writes nothing
+    files = sorted(r[0] for r in spark.read.parquet(f"{path}/data").selectExpr("_metadata.file_path").distinct().collect())
+    tbl.write_batch(spark.range(5), path, 0)
+    assert files == sorted(r[0] for r in spark.read.parquet(f"{path}/data").selectExpr("_metadata.file_path")
+                           .distinct().collect())
+    assert tbl.read_table(spark, path).count() == 3
+    query["id"] = "q2"
+    with pytest.raises(ValueError, match="another query"):
+        tbl.write_batch(spark.range(2), path, 0)
+    assert tbl.read_table(spark, path).count() == 3
+
+
+def test_batchwise_refuses_what_it_cannot_do(spark):
+    from tidemark.plans.pipelines import layout, start_enrichment
+
+    for kw in ({"ttl": "24 hours"}, {"watermark": "5 minutes"}):
+        with pytest.raises(ValueError, match="batchwise"):
+            start_enrichment(spark, layout(spark, "refuse"), **kw)

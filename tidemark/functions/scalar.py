@@ -11,8 +11,11 @@ from .util import as_col
 
 
 def trade_value(price="price", volume="volume") -> Column:
-    """price * volume, exact: decimal(18,2) x int is decimal(29,2); stored as decimal(28,8)."""
-    return (as_col(price) * as_col(volume)).cast(DEC_28_8)
+    """price * volume, exact: decimal(18,2) x int is decimal(29,2); stored as decimal(28,8).
+
+    NULL where it doesn't fit: one such trade must not stop a stream. The
+    constraint check rejects it with the reason."""
+    return (as_col(price) * as_col(volume)).try_cast(DEC_28_8)
 
 
 def default_missing(df: DataFrame, mode: str = "sentinel") -> DataFrame:

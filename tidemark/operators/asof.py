@@ -81,8 +81,9 @@ def info_key_struct(info: DataFrame, seq: str = "seq") -> Column:
 
 
 def _valid_info(info: DataFrame) -> DataFrame:
-    # An info with a non-positive (or missing) timestamp is never used.
-    return info.where(F.col("info_timestamp") > 0)
+    # An info with a non-positive (or missing) timestamp is never used. A NULL
+    # symbol equals nothing, as in a join: such infos serve no trade in any plan.
+    return info.where((F.col("info_timestamp") > 0) & F.col("symbol").isNotNull())
 
 
 def union_for_asof(trades: DataFrame, info: DataFrame, seq: str = "seq",
@@ -144,6 +145,9 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
     ``ttl``: a gap longer than this between consecutive events of a symbol
     starts a new session that carries no info (the 24 h expiry rule).
     ``seed``: carried state from earlier batches (``latest_info`` output).
+
+    NULL keys, the same in every plan: a trade with a NULL symbol or a NULL
+    timestamp matches no info; an info with either is never used.
     """
     trade_cols = list(trades.columns)
     bucket = choose_bucket(trades, info, bucket)
@@ -243,8 +247,11 @@ def forward_fill(df: DataFrame, cols: list[str], by: list[str], order: list[str]
     first ``order`` key) and ``bucket`` the same two-level plan as
     ``enrich_asof`` is used, so a hot key is split across tasks;
     ``bucket='auto'`` uses the plain window for inputs estimated at most
-    ``AUTO_PLAIN_MAX_BYTES``.
+    ``AUTO_PLAIN_MAX_BYTES``. Rows with a NULL in ``by`` or in the first ``order``
+    key belong to no series, in every plan: they keep their own values and
+    fill no other row.
     """
+    known = _all_not_null([*by, order[0]])
     okeys = [F.col(c) for c in order]
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     if bucket == "auto":
@@ -252,13 +259,15 @@ def forward_fill(df: DataFrame, cols: list[str], by: list[str], order: list[str]
         bucket_on = bucket_on if bucket else None
     if bucket_on is None:
         w = Window.partitionBy(*by).orderBy(*okeys).rowsBetween(*upto_here)
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+        return df.withColumns({
+            c: F.when(known, F.last(F.when(known, F.col(c)), ignorenulls=True).over(w)).otherwise(F.col(c))
+            for c in cols})
 
     width = interval_ms(bucket)
     d = df.withColumn("_b", F.floor(F.col(bucket_on) / F.lit(width)))
-    # Rows with a NULL key or bucket cannot meet a seed; they keep their own values.
-    nulls = d.where(~(F.col("_b").isNotNull() & _all_not_null(by)))
-    d = d.where(F.col("_b").isNotNull() & _all_not_null(by))  # same plan for both uses below
+    known = F.col("_b").isNotNull() & known
+    nulls = d.where(~known)
+    d = d.where(known)  # same plan for both uses below
     # Last non-null per (key, bucket) for each column: max of struct(order..., value).
     tagged = {c: F.when(F.col(c).isNotNull(), F.struct(*okeys, F.col(c).alias("v"))) for c in cols}
     bk = d.groupBy(*by, "_b").agg(*[F.max(e).alias(f"_l_{c}") for c, e in tagged.items()])

@@ -20,6 +20,8 @@ class Constraints:
     not_null: tuple[str, ...] = ()
     max_len: dict[str, int] = field(default_factory=dict)
     decimal: dict[str, tuple[int, int]] = field(default_factory=dict)
+    # column -> inputs: NULL although all inputs are set means that the value did not fit
+    derived: dict[str, tuple[str, ...]] = field(default_factory=dict)
     unique: tuple[str, ...] = ()
     order: tuple[str, ...] = ("seq",)
 
@@ -31,6 +33,7 @@ ENRICHED_CONSTRAINTS = Constraints(
     not_null=("symbol", "price", "volume", "trade_timestamp"),
     max_len={"symbol": 8, "company": 20, "sector": 20},
     decimal={"price": (28, 8), "trade_value": (28, 8)},
+    derived={"trade_value": ("price", "volume")},
     unique=("symbol", "trade_timestamp", "volume"),
 )
 
@@ -52,6 +55,12 @@ def check_constraints(df: DataFrame, spec: Constraints) -> tuple[DataFrame, Data
     checks += [F.when(F.length(c) > n, F.lit(f"{c} longer than {n}")) for c, n in spec.max_len.items()]
     checks += [F.when(F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull(),
                       F.lit(f"{c} out of decimal({p},{s})")) for c, (p, s) in spec.decimal.items()]
+    for c, inputs in spec.derived.items():
+        missing = F.col(c).isNull()
+        for i in inputs:
+            missing = missing & F.col(i).isNotNull()
+        p, s = spec.decimal[c]
+        checks.append(F.when(missing, F.lit(f"{c} out of decimal({p},{s})")))
     reason = F.concat_ws("; ", *checks) if checks else F.lit("")
     tagged = df.withColumn("reason", reason)
     bad_rows = tagged.where(F.col("reason") != "")

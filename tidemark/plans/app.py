@@ -25,10 +25,10 @@ from ..sources.topic import parse_info, parse_trades, read_topic
 from ..streaming.enrich_batches import enrich_micro_batch
 from ..streaming.enrich_stream import stream_union
 from ..operators.constraints import METRICS_CONSTRAINTS
-from .pipelines import _ENRICHED_TABLE_SCHEMA, METRIC_KEYS, ROW_CHECKS, Layout, write_checked
+from .pipelines import _ENRICHED_TABLE_SCHEMA, METRIC_KEYS, ROW_CHECKS, Layout, start_rejects, write_checked
 
 
-def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files: bool, max_per_trigger: int,
+def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files: bool, max_per_trigger: int | None,
               enrich_every: str, metrics_every: str, serving_every: str, width: str, watermark: str,
               fold_every: int = 100):
     def topic(name: str) -> DataFrame:
@@ -66,7 +66,9 @@ def start_all(spark: SparkSession, lay: Layout, *, bootstrap: str | None, files:
                      df.where(F.col("symbol").isNotNull()), lay.serving, b, ROW_CHECKS,
                      lambda ok: tbl.write_batch(sink_projection(ok), lay.serving, b)))
                  .option("checkpointLocation", lay.ckpt_serving).trigger(processingTime=serving_every).start())
-    return [q_enrich, q_metrics, q_serving]
+    q_rejects = start_rejects(spark, lay, {"trades": topic("stock-trades"), "info": topic("stock-info")},
+                              processingTime=serving_every)
+    return [q_enrich, q_metrics, q_serving, q_rejects]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -74,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--bootstrap")
     ap.add_argument("--files", action="store_true")
     ap.add_argument("--root", required=True)
-    ap.add_argument("--max-per-trigger", type=int, default=10_000)
+    ap.add_argument("--max-per-trigger", type=int, help="intake cap a trigger; none unless given")
     ap.add_argument("--enrich-every", default="1 minute")
     ap.add_argument("--metrics-every", default="1 minute")
     ap.add_argument("--serving-every", default="30 seconds")

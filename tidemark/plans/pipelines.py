@@ -89,6 +89,9 @@ def start_enrichment(spark: SparkSession, lay: Layout, *, engine: str = "batchwi
     is exact up to the watermark delay).
     """
     if engine == "batchwise":
+        ignored = [k for k in ("ttl", "watermark") if kw.get(k) is not None]
+        if ignored:
+            raise ValueError(f"engine='batchwise' has no {' or '.join(ignored)}; use engine='state'")
         t, i = _parsed_topics(spark, lay, kw.get("max_files"))
         history = kw.get("late", "current_state") == "history"
 
@@ -130,6 +133,21 @@ def start_metrics(spark: SparkSession, lay: Layout, width: str = "1 minute", wat
             .option("checkpointLocation", lay.ckpt_metrics).trigger(availableNow=True).start())
 
 
+def start_rejects(spark: SparkSession, lay: Layout, raw: dict[str, DataFrame] | None = None, **trigger):
+    """Every document that the parsers turn down (malformed, or a NULL key), kept with its
+    topic, text and reason in the rejects table."""
+    raw = raw or {"trades": read_topic(spark, "trades", path=lay.in_trades),
+                  "info": read_topic(spark, "info", path=lay.in_info)}
+    parse = {"trades": parse_trades, "info": parse_info}
+    parts = [parse[k](df)[1].select(F.lit(k).alias("topic"), "value", "reason") for k, df in raw.items()]
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        tbl.write_batch(df, lay.rejects, batch_id)
+
+    return (parts[0].unionByName(parts[1]).writeStream.foreachBatch(sink)
+            .option("checkpointLocation", lay.ckpt_rejects).trigger(**(trigger or {"availableNow": True})).start())
+
+
 def start_serving_copy(spark: SparkSession, lay: Layout):
     """Query B: enriched rows with a symbol, cast to the serving types."""
     src = tbl.read_table_stream(spark, lay.enriched, _ENRICHED_TABLE_SCHEMA)
@@ -144,12 +162,15 @@ def start_serving_copy(spark: SparkSession, lay: Layout):
 
 
 def run_staged(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: int = 3, width: str = "1 minute",
-               name: str = "staged", serving: bool = False, output_mode: str = "update") -> Layout:
+               name: str = "staged", serving: bool = False, output_mode: str = "update",
+               rejects: bool = False) -> Layout:
     lay = layout(spark, name)
     runs = [lambda: start_enrichment(spark, lay),
             lambda: start_metrics(spark, lay, width, output_mode=output_mode)]
     if serving:
         runs.append(lambda: start_serving_copy(spark, lay))
+    if rejects:
+        runs.append(lambda: start_rejects(spark, lay))
     feed_in_slices({"trades": (trades, "trade_timestamp", lay.in_trades),
                     "info": (info, "info_timestamp", lay.in_info)}, k, runs)
     return lay

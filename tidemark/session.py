@@ -46,9 +46,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; set one only if unset."""
+    """The shared checkpoint folder named by the session.
+
+    Where none is named, a temporary folder is set for a local master only; on a
+    cluster executors would not share it, so that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

@@ -109,12 +109,12 @@ def live_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def _commit(spark: SparkSession, path: str, operation: str, rows: int | None, adds: list[str],
-            removes: list[str], batch_id: int | None = None) -> int:
+            removes: list[str], batch_id: int | None = None, query: str | None = None) -> int:
     """Append one commit file; a version that already exists is never overwritten."""
     entries = _entries(spark, path)
     version = (entries[-1]["version"] + 1) if entries else 0
     entry = {"version": version, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(),
-             "operation": operation, "batch_id": batch_id, "rows": rows, "adds": adds, "removes": removes}
+             "operation": operation, "batch_id": batch_id, "query": query, "rows": rows, "adds": adds, "removes": removes}
     fs, p = _fs(spark, f"{path}/_history/{version:020d}.json")
     # Write under a temporary name (readers skip it) and rename into place, so a
     # crash mid-write never leaves a half-written commit that readers would parse.
@@ -143,16 +143,33 @@ def _write_counted(df: DataFrame, target: str) -> int:
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *, stamp_ingestion: bool = True,
                 operation: str = "append") -> int:
-    """Write one micro-batch (K1). Replaying a committed batch rewrites the same folder
-    and adds no history row, so the table is unchanged (exactly-once with foreachBatch).
+    """Write one micro-batch (K1), once.
+
+    A replayed batch is already there and is not written again, so a stream that
+    reads the table's files never sees its rows twice. Rows are written outside the
+    streamed folder and published by one rename; a batch that was published but not
+    committed is only committed. A batch id that another streaming query has
+    committed (a new checkpoint on an old table) is an error, not an overwrite.
     """
     spark = df.sparkSession
-    out = df.withColumn("ingestion_time", F.current_timestamp()) if stamp_ingestion else df
-    rel = f"data/batch_id={batch_id}"
-    rows = _write_counted(out, f"{path}/{rel}")
-    if batch_id in committed_batches(spark, path):
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    done = [e for e in _entries(spark, path) if e["operation"] == "append" and e.get("batch_id") == batch_id]
+    if done:
+        if query and done[0].get("query") and done[0]["query"] != query:
+            raise ValueError(f"batch {batch_id} of {path} was written by another query; a new checkpoint needs a new table")
         return -1
-    return _commit(spark, path, operation, rows, [rel], [], batch_id)
+    rel = f"data/batch_id={batch_id}"
+    fs, target = _fs(spark, f"{path}/{rel}")
+    if fs.exists(target):
+        rows = spark.read.parquet(f"{path}/{rel}").count()
+    else:
+        out = df.withColumn("ingestion_time", F.current_timestamp()) if stamp_ingestion else df
+        staged = f"{path}/_staging/batch_id={batch_id}-{uuid.uuid4().hex}"
+        rows = _write_counted(out, staged)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(_fs(spark, staged)[1], target):
+            raise RuntimeError(f"batch {batch_id} of {path} could not be published")
+    return _commit(spark, path, operation, rows, [rel], [], batch_id, query)
 
 
 def _read_dirs(spark: SparkSession, path: str, dirs: list[str], with_dir: bool = False) -> DataFrame | None:

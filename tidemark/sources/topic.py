@@ -15,12 +15,13 @@ from ..schemas import INFO_SCHEMA, TRADE_SCHEMA
 
 
 def read_topic(spark: SparkSession, topic: str, *, bootstrap: str | None = None, path: str | None = None,
-               start: str = "earliest", max_per_trigger: int | None = None, fail_on_loss: bool = False,
+               start: str = "earliest", max_per_trigger: int | None = None, fail_on_loss: bool = True,
                stream: bool = True) -> DataFrame:
     """One topic as a DataFrame with a string ``value`` column (and ``offset`` when from Kafka).
 
     ``bootstrap`` -> Kafka (``maxOffsetsPerTrigger`` caps intake per trigger);
     ``path`` -> JSON-lines files (``maxFilesPerTrigger`` caps intake).
+    Offsets that the broker has dropped stop the query unless ``fail_on_loss`` is False.
     """
     reader = spark.readStream if stream else spark.read
     if bootstrap:
