@@ -34,6 +34,14 @@ def test_gradients_match_finite_differences(monkeypatch):
             assert g[at] == pytest.approx((up - down) / (2 * step), rel=0.05, abs=2e-5), name
 
 
+def test_a_vocabulary_of_blocks_is_that_of_all_texts(monkeypatch):
+    rows = pa.table({"text": TEXTS})
+    monkeypatch.setattr(toxicity, "blocks", lambda batches, limit: (rows.slice(i, 2) for i in range(0, len(TEXTS), 2)))
+    a, b = toxicity.Vocabulary(TEXTS), toxicity.Vocabulary.of_rows(rows)
+    for name in ("hash", "word", "piece", "piece_first", "place", "first"):
+        assert np.array_equal(getattr(a, name), getattr(b, name)), name
+
+
 def test_windows_cover_every_word_and_overlap():
     v = toxicity.Vocabulary(pa.chunked_array([pa.array([" ".join(f"w{i}" for i in range(n)) for n in (0, 1, 24, 25, 100)])]))
     places, doc = v.windows()

@@ -64,9 +64,26 @@ class Vocabulary:
         words = split_words(column, WORD_BYTE)
         self.first = words.first
         distinct, where, self.place = np.unique(words.hash, return_index=True, return_inverse=True)
+        self.hash = distinct
         self.word = (distinct % np.uint64(WORD_ROWS)).astype(np.int64)
         self.piece, self.piece_first = pieces(words, where)
 
+    @classmethod
+    def of_rows(cls, rows: pa.Table) -> Vocabulary:
+        """Of a table's texts, read in small blocks."""
+        parts = [cls(b.column("text")) for b in blocks(rows.to_batches(), limit=1 << 20)]
+        out = object.__new__(cls)
+        out.hash, where = np.unique(np.concatenate([p.hash for p in parts]), return_index=True)
+        number = np.concatenate([np.diff(np.append(p.piece_first, len(p.piece))) for p in parts])
+        begin, number = (np.cumsum(number) - number)[where], number[where]
+        out.word, out.piece_first = np.concatenate([p.word for p in parts])[where], np.cumsum(number) - number
+        at = np.repeat(begin - out.piece_first, number) + np.arange(number.sum())
+        out.piece = np.concatenate([p.piece for p in parts])[at]
+        out.place = np.concatenate([np.searchsorted(out.hash, p.hash)[p.place] for p in parts])
+        ends = np.cumsum([0] + [p.first[-1] for p in parts])
+        out.first = np.concatenate([[0], *(p.first[1:] + e for p, e in zip(parts, ends, strict=False))])
+        return out
+
     def part(self, places: np.ndarray) -> tuple[Vocabulary, np.ndarray]:
         """The vocabulary of some windows only, and their places in it."""
         n = len(self.word)
@@ -86,7 +103,7 @@ class Vocabulary:
         doc = np.repeat(np.arange(len(n)), number)
         k = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
         at = (self.first[doc] + k * STRIDE)[:, None] + np.arange(WINDOW)
-        out = np.full(at.shape, len(self.word), np.int64)
+        out = np.full(at.shape, len(self.word), np.int32)
         inside = at < self.first[doc + 1][:, None]
         out[inside] = self.place[at[inside]]
         return out, doc
@@ -234,22 +251,19 @@ class Network:
 
     def start_from_odds(self, v: Vocabulary, label: np.ndarray) -> None:
         """First components: the log odds of the words and pieces of the texts, less their doubt."""
-        doc = np.repeat(np.arange(len(label)), np.diff(v.first))
-        seen = np.unique(np.stack([doc, v.place]), axis=1)
         number = np.diff(np.append(v.piece_first, len(v.piece)))
-        of_piece = np.repeat(np.arange(len(v.word)), number)
-        by_word = np.argsort(of_piece, kind="stable")
-        n = number[seen[1]]
-        at = np.repeat(v.piece_first[seen[1]] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        for name, rows, texts in (("word", v.word[seen[1]], seen[0]),
-                                  ("piece", v.piece[by_word][at], np.repeat(seen[0], n))):
-            size = len(self.p[name])
-            once = np.unique(texts.astype(np.int64) * size + rows)
-            texts, rows = once // size, once % size
-            ones = np.bincount(rows, weights=label[texts], minlength=size)
-            zeros = np.bincount(rows, weights=1 - label[texts], minlength=size)
-            odds = np.log((ones + 0.5) / (label.sum() + 1)) - np.log((zeros + 0.5) / ((1 - label).sum() + 1))
-            doubt = 1.6 * np.sqrt(1 / (ones + 0.5) + 1 / (zeros + 0.5))
+        ones, zeros = ({"word": np.zeros(WORD_ROWS), "piece": np.zeros(PIECE_ROWS)} for _ in range(2))
+        for d, (a, b) in enumerate(zip(v.first[:-1].tolist(), v.first[1:].tolist(), strict=True)):
+            own = np.unique(v.place[a:b])
+            n = number[own]
+            at = np.repeat(v.piece_first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            side = ones if label[d] else zeros
+            side["word"][np.unique(v.word[own])] += 1
+            side["piece"][np.unique(v.piece[at])] += 1
+        for name in ("word", "piece"):
+            one, zero = ones[name], zeros[name]
+            odds = np.log((one + 0.5) / (label.sum() + 1)) - np.log((zero + 0.5) / ((1 - label).sum() + 1))
+            doubt = 1.6 * np.sqrt(1 / (one + 0.5) + 1 / (zero + 0.5))
             self.p[name][:, 0] = np.clip(np.sign(odds) * np.maximum(np.abs(odds) - doubt, 0), -1, 3)
 
     def train(self, v: Vocabulary, label: np.ndarray, seed: int = 11) -> None:
@@ -322,9 +336,9 @@ def fit(docs: DataFrame, labels: DataFrame):
     if min(truth[~apart].sum(), (1 - truth[~apart]).sum()) < 1:
         apart[:] = False
     net = Network()
-    net.train(Vocabulary(rows.filter(pa.array(~apart)).column("text")), truth[~apart])
+    net.train(Vocabulary.of_rows(rows.filter(pa.array(~apart))), truth[~apart])
     if min(truth[apart].sum(), (1 - truth[apart]).sum()) >= 5:
-        logit, _, _ = net.texts(Vocabulary(rows.filter(pa.array(apart)).column("text")))
+        logit, _, _ = net.texts(Vocabulary.of_rows(rows.filter(pa.array(apart))))
         own = truth[apart]
         share = counts[1] / (counts[0] + counts[1])
         weight = np.where(own > 0, share / own.mean(), (1 - share) / (1 - own.mean()))
