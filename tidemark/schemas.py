@@ -37,21 +37,9 @@ ENRICHED_SCHEMA = T.StructType([
     T.StructField("trade_value", T.DecimalType(28, 8)),
 ])
 
-METRICS_SCHEMA = T.StructType([
-    T.StructField("window_start", T.TimestampType()),
-    T.StructField("window_end", T.TimestampType()),
-    T.StructField("sector", T.StringType()),
-    T.StructField("trade_count", T.LongType()),
-    T.StructField("total_value", T.DecimalType(28, 8)),
-    T.StructField("avg_price", T.DecimalType(28, 8)),
-    T.StructField("total_volume", T.LongType()),
-])
-
 # What a trade gets when its symbol has no info yet
 # (missing='sentinel'): company, sector, market_cap, info_timestamp.
 SENTINEL = {"company": "UNKNOWN", "sector": "UNKNOWN", "market_cap": 0, "info_timestamp": 0}
 
 # Serving-table limits (VARCHAR widths and DECIMAL(28,8)).
-SYMBOL_MAX_LEN = 8
-TEXT_MAX_LEN = 20
 DEC_28_8 = T.DecimalType(28, 8)

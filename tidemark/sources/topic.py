@@ -7,7 +7,7 @@ directory of JSON-lines files (``text`` source); the parsing is identical.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,7 +73,8 @@ def parse_json(raw: DataFrame, schema: T.StructType, *, required: tuple[str, ...
                 for f, c in zip(fields, cols)]
     elif seq_from:
         cols.append(F.col("_src_seq").alias("seq"))
-    valid = parsed.where(F.col("reason").isNull()).select(*cols)
+    extra = [T.StructField("seq", T.LongType())] if seq_from and "seq" not in fields else []
+    valid = conform(parsed.where(F.col("reason").isNull()).select(*cols), T.StructType([*schema.fields, *extra]))
     rejects = parsed.where(F.col("reason").isNotNull()).select(F.col("_raw").alias("value"), "reason")
     return valid, rejects
 
@@ -89,7 +90,3 @@ def parse_info(raw: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Strict column list and types (P4): cast and order exactly as ``schema``."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def bytes_to_string(c: Column | str) -> Column:
-    return (c if isinstance(c, Column) else F.col(c)).cast("string")
