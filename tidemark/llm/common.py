@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-BLOCK_BYTES = 4 << 20          # texts handled at once in a Python worker
+BLOCK_BYTES = (2 << 20) - 1    # texts handled at once in a Python worker
 BITMAP_WORDS = 1 << 18         # rows of a key bitmap; 63 bits each, 4 MB in all
 
 SPACE = np.zeros(256, bool)    # \x20 and \x09-\x0D

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import NOT_SPACE, blocks, mix, split_words, stored, table
 
-BLOCK = 8 << 20
+BLOCK = (8 << 20) - 1
 FILTER_BITS = 1 << 28          # 32 MB
 BITS_PER_ENTRY = 12
 PROBES = 4
