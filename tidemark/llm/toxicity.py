@@ -37,6 +37,7 @@ WORD_ROWS, PIECE_ROWS = 1 << 15, 1 << 14
 WORD_DIM, PIECE_DIM, HIDDEN = 10, 10, 12
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_BYTES = 1500, 3000, 50_000
 EPOCHS, BATCH, RATE = 8, 64, 0.01
+LEAST_STEPS = 150         # a small sample is passed over more often, so that the gates are trained at all
 SLOW = 0.1                # share of the rate for word and piece vectors, which would else learn single texts
 CHUNK = 4096              # windows handled at once
 
@@ -277,7 +278,8 @@ class Network:
         order = np.lexsort((-total, doc))
         best = order[np.searchsorted(doc[order], np.arange(len(label)))]
         first, second, step = {}, {}, 0
-        for epoch in range(EPOCHS):
+        epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // (2 * len(label))))
+        for epoch in range(epochs):
             if epoch > 1:
                 _, _, best = self.texts(v)
             clean = np.flatnonzero(label[doc] == 0)
@@ -291,7 +293,7 @@ class Network:
                 for name, g in self.gradients(v, places[rows[own]], truth[own]).items():
                     a = first[name] = 0.9 * first.get(name, 0) + 0.1 * g
                     b = second[name] = 0.99 * second.get(name, 0) + 0.01 * g * g
-                    rate = RATE * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step) * (1 - 0.8 * epoch / EPOCHS)
+                    rate = RATE * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step) * (1 - 0.8 * epoch / epochs)
                     rate *= SLOW if name in ("word", "piece") else 1
                     self.p[name] -= (rate * a / (np.sqrt(b) + 1e-6)).astype(np.float32)
 
