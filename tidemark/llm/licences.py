@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-SAMPLE = 2000            # corpus paragraphs that stand for unknown text, at most
+SAMPLE = 2000            # corpus paragraphs that stand for unknown text, about (at most twice as many are expected)
 CONFIRM = 0.6
 LEAST = 0.5              # probability that a family needs
 UNKNOWN = "unknown"
@@ -104,10 +104,13 @@ def training_rows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     templates = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in OTHER],
                                       "family string, line string")
-    # lines of the corpus, chosen by hash, without the templates' telling words
-    lines = (docs.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line").between(20, 2000))
+    # lines of the corpus without the templates' telling words, chosen by the hash of line and
+    # document: counted first, so that no task has to sort them
+    lines = (docs.select("doc_id", F.explode_outer(F.split("text", "\n")).alias("line"))
+             .where(F.length("line").between(20, 2000))
              .where(~F.lower("line").rlike("licen[sc]|copyright|rights reserved|cc by|public domain"))
-             .withColumn("h", F.xxhash64("line")).orderBy("h").limit(SAMPLE).select("line", "h"))
+             .withColumn("h", F.xxhash64("line", "doc_id")))
+    lines = lines.where(F.pmod("h", F.lit(max(1, lines.count() // SAMPLE))) == 0).select("line", F.shiftright("h", 40).alias("h"))
     unknown = lines.select(F.lit(UNKNOWN).alias("family"), words(F.col("line")).alias("words"), (F.col("h") % 4 == 0).alias("apart"))
     own = templates.withColumn("words", words(F.col("line")))
     inner = F.slice("words", 2, F.size("words") - 2)
@@ -136,8 +139,7 @@ class Classifier:
         self.classes = [UNKNOWN, *sorted(TEMPLATES)]
         rows = training_rows(docs)
         number = F.coalesce(*[F.when(F.col("family") == c, F.lit(float(k))) for k, c in enumerate(self.classes)])
-        # at most SAMPLE rows and the templates' variants: one partition, so that a step of the fit is one small task
-        rows = stored(rows.withColumn("label", number).withColumn("id", F.monotonically_increasing_id()).coalesce(1),
+        rows = stored(rows.withColumn("label", number).withColumn("id", F.monotonically_increasing_id()),
                       "licence-train")
         own = spark.createDataFrame([(f"{f}:{k}", f, t) for f, ts in TEMPLATES.items() for k, t in enumerate(ts)],
                                     "template string, family string, line string")
@@ -145,6 +147,7 @@ class Classifier:
         counter = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=1 << 16).fit(own.select("grams"))
         model = LogisticRegression(regParam=0.002, elasticNetParam=0.0, family="multinomial", maxIter=40,
                                    standardization=False).fit(
+            # a few thousand rows: one partition, so that a step of the fit is one small task
             counter.transform(rows.where("not apart").coalesce(1)).select("label", "features"))
         shift, weight = model.interceptVector.toArray(), model.coefficientMatrix.toArray()
         self.columns = [f"w{k}" for k in range(len(self.classes))]
