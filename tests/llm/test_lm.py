@@ -114,3 +114,28 @@ def test_a_full_segment_drops_the_rarest_bigrams():
 def test_bigrams_beat_the_base_on_held_out_text(spark):
     rows = [r for r in lm.query(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_no_bigram_is_dropped_however_many_there_are(docs_of, monkeypatch):
+    """Scores follow the exact counts, singletons too, where a filter of 2^14 bits would be full."""
+    monkeypatch.setattr(lm, "FILTER_BITS", 1 << 14, raising=False)
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in r.integers(0, 300, 400))) for i in range(40)]
+    compare(lm.score(docs_of(rows)).collect(), brute(rows), True)
+
+
+def test_a_range_answers_for_every_bigram_it_was_sent():
+    """200,000 singletons in one range: more than 2^20 bits held; bigrams only asked for read as 0."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(4)
+    pairs = np.unique(r.integers(0, 2**40, 220_000).astype(np.uint64))
+    held = np.arange(len(pairs)) % 11 > 0
+    sent = [pairs, pairs[held]]
+    counts = [held.astype(np.uint32), np.ones(held.sum(), np.uint32)]
+    rows = pa.table({"range": pa.array([7, 7], pa.int32()), "block": pa.array([1, 2], pa.int64()),
+                     "pairs": pa.array([p.copy().view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for p in sent], pa.binary()),
+                     "counts": pa.array([c.tobytes() for c in counts], pa.binary())})
+    one, two = (np.frombuffer(x["levels"], np.uint8) for x in lm._reply_bigrams(rows).to_pylist())
+    assert (one[held] >= 2).all() and (two >= 2).all() and (one[held] == 2).mean() > 0.98
+    assert (one[~held] == 0).mean() > 0.98

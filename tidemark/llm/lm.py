@@ -5,14 +5,15 @@
 2. Word counts: each block sends its distinct words, packed by hash range, to the range's
    task, which adds the counts of the training documents and replies to each block with
    the totals of just its words. So counts are exact and no table is broadcast.
-3. Bigram counts of the training documents go the same way. Each range's task writes its
+3. Bigrams go the same way: each block sends its distinct bigrams with their counts in
+   training documents (0 for those only in held-out ones). Each range's task fills its
    segment of the filter: a bigram with count c enters once for each level 1 .. 1 + log2(c),
-   under ``PROBES`` bits. The filter has at most ``FILTER_BITS`` bits whatever the corpus:
-   each segment takes the smallest least count for which ``BITS_PER_ENTRY`` bits an entry
-   fit (rarer bigrams back off to the word's probability).
-4. The filter is broadcast. A bigram's count is read back by probing level after level
-   until one misses; p(w | v) = (c(v w) + PRIOR * p(w)) / (c(v) + PRIOR), and p(w) has one
-   count added, as in the base score.
+   under ``PROBES`` bits. A segment has ``BITS_PER_ENTRY`` bits for every entry, so the filter
+   grows with the corpus and no count is left out; it stays in the range's task.
+4. The task probes its segment for the bigrams it was sent, level after level until one
+   misses, and replies to each block with the levels of just its bigrams.
+   p(w | v) = (c(v w) + PRIOR * p(w)) / (c(v) + PRIOR), and p(w) has one count added, as in
+   the base score.
 
 Defined cases: null is an empty text, whose only token is the end. A null doc_id is not
 held out, and is learned from. Words are compared by 64-bit hash, bigrams by the
@@ -32,12 +33,12 @@ from pyspark.sql import functions as F
 from .common import NOT_SPACE, blocks, mix, split_words, stored, table
 
 BLOCK = (8 << 20) - 1
-FILTER_BITS = 1 << 28          # 32 MB
 BITS_PER_ENTRY = 12
 PROBES = 4
 PRIOR = 5.0
 RANGE_ENTRIES = 1 << 18        # packed entries wanted in one hash range
 LEAST_RANGES = 256
+BIGRAMS_A_RANGE = 1 << 20      # tokens for one hash range of bigrams, which are fewer
 END, BEGIN = np.uint64(0xE0D0C0B0A0908070), np.uint64(0xB10C0B10C0B10C0B)
 
 
@@ -80,9 +81,9 @@ def _array(row, name, kind):
     return np.frombuffer(row[name], kind)
 
 
-def _ranges(entries: int) -> int:
+def _ranges(entries: int, each: int = RANGE_ENTRIES) -> int:
     """A power of two of hash ranges: the entries decide."""
-    return max(LEAST_RANGES, 1 << (max(1, entries) // RANGE_ENTRIES).bit_length())
+    return max(LEAST_RANGES, 1 << (max(1, entries) // each).bit_length())
 
 
 def _slices(hashes: np.ndarray, shift: int, ranges: int) -> list[int]:
@@ -129,40 +130,40 @@ def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(3) + mix(right + np.uint64(1)))
 
 
-def _bigrams(row, learned_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(left hash, right hash, place) for the tokens; the left of a document's first is BEGIN."""
+def _bigrams(row) -> np.ndarray:
+    """The pair hash of each token and the one before it; the left of a document's first is BEGIN."""
     first, tokens, words = _array(row, "first", np.int64), _array(row, "tokens", np.int32), _array(row, "words", np.uint64)
     right = words[tokens]
     left = np.empty_like(right)
     left[1:] = right[:-1]
     left[first[:-1]] = BEGIN
-    place = np.arange(len(right))
-    if learned_only:
-        place = np.flatnonzero(np.repeat(~_array(row, "held", bool), np.diff(first)))
-    return left[place], right[place], place
+    return pair_hash(left, right)
 
 
 KEPT = 5                        # bytes of a bigram's hash kept beside its range
 
 
-def _bigram_ranges(ranges: int):
-    """(range, pairs, counts): each block's distinct learned bigrams by hash range."""
-    bits = ranges.bit_length() - 1
+def _distinct_bigrams(row, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct bigrams, sorted, by the bits that are kept; the place of each token's among them."""
+    return np.unique(_bigrams(row) >> np.uint64(64 - (ranges.bit_length() - 1) - 8 * KEPT), return_inverse=True)
 
+
+def _ask_bigrams(ranges: int):
+    """(range, block, pairs, counts): each block's distinct bigrams by hash range, with their learned counts."""
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                left, right, _ = _bigrams(row, True)
-                pairs, counts = np.unique(pair_hash(left, right) >> np.uint64(64 - bits - 8 * KEPT), return_counts=True)
+                pairs, place = _distinct_bigrams(row, ranges)
+                learned = np.repeat(~_array(row, "held", bool), np.diff(_array(row, "first", np.int64)))
+                counts = np.bincount(place[learned], minlength=len(pairs)).astype(np.uint32)
                 cuts = _slices(pairs, 8 * KEPT, ranges)
                 kept = np.ascontiguousarray(pairs).view(np.uint8).reshape(-1, 8)[:, :KEPT]
-                counts = counts.astype(np.uint32)
                 spans = [(r, a, b) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([r for r, *_ in spans], pa.int32()),
+                    pa.array([r for r, *_ in spans], pa.int32()), pa.array([row["block"]] * len(spans), pa.int64()),
                     pa.array([kept[a:b].tobytes() for _, a, b in spans], pa.binary()),
                     pa.array([counts[a:b].tobytes() for _, a, b in spans], pa.binary())],
-                    ["range", "pairs", "counts"])
+                    ["range", "block", "pairs", "counts"])
     return run
 
 
@@ -173,7 +174,7 @@ def levels(counts: np.ndarray) -> np.ndarray:
 
 def level_count(level: np.ndarray) -> np.ndarray:
     """The count that a level stands for: the middle of its counts; 0 for level 0."""
-    return np.where(level > 0, (3 * 2.0 ** (level - 1) - 1) / 2, 0.0)
+    return np.where(level > 0, (3 * 2.0 ** (level.astype(np.float64) - 1) - 1) / 2, 0.0)
 
 
 def _bits(pairs: np.ndarray, level: np.ndarray, probe: int, size: np.ndarray) -> np.ndarray:
@@ -181,15 +182,33 @@ def _bits(pairs: np.ndarray, level: np.ndarray, probe: int, size: np.ndarray) ->
     return mix(pairs * np.uint64(2 * PROBES * 64 + 1) + (level * PROBES + probe).astype(np.uint64)) % size
 
 
+def _summed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A range's distinct bigrams, the place of each sent one among them, and their summed counts."""
+    pairs = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("pairs")]).reshape(-1, KEPT)
+    counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows.column("counts")])
+    wide = np.zeros((len(pairs), 8), np.uint8)
+    wide[:, :KEPT] = pairs
+    pairs, place = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
+    return pairs, place, np.bincount(place, weights=counts)
+
+
+def _fill(pairs: np.ndarray, total: np.ndarray) -> tuple[int, bytes]:
+    """Size and bits of the segment that holds these bigrams: BITS_PER_ENTRY bits for every entry."""
+    level = levels(total)
+    size = max(64, int(BITS_PER_ENTRY * level.sum()))
+    filled = np.zeros(size, bool)
+    for l in range(1, int(level.max(initial=0)) + 1):
+        own = pairs[level >= l]
+        for probe in range(PROBES):
+            filled[_bits(own, np.full(len(own), l), probe, np.uint64(size)).astype(np.int64)] = True
+    return size, np.packbits(filled, bitorder="little").tobytes()
+
+
 def _segment(most: int):
+    """A range's segment in at most ``most`` bits, without its rarest bigrams if need be. Scores do not
+    use it: their segments have no bound."""
     def run(rows: pa.Table) -> pa.Table:
-        pairs = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("pairs")]).reshape(-1, KEPT)
-        counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows.column("counts")])
-        wide = np.zeros((len(pairs), 8), np.uint8)
-        wide[:, :KEPT] = pairs
-        pairs, place = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
-        level = levels(np.bincount(place, weights=counts))
-        total = np.bincount(place, weights=counts)
+        pairs, _, total = _summed(rows)
         # the least count for which all entries have room
         by = np.sort(total)[::-1]
         need = BITS_PER_ENTRY * np.cumsum(levels(by))
@@ -198,21 +217,25 @@ def _segment(most: int):
             out = by[np.searchsorted(need, most, side="right")]      # the first count without room
             least = out + 1
         keep = total >= least
-        pairs, level = pairs[keep], level[keep]
-        size = max(64, int(BITS_PER_ENTRY * level.sum()))
-        filled = np.zeros(size, bool)
-        for l in range(1, int(level.max(initial=0)) + 1):
-            own = pairs[level >= l]
-            for probe in range(PROBES):
-                filled[_bits(own, np.full(len(own), l), probe, np.uint64(size)).astype(np.int64)] = True
+        size, bits = _fill(pairs[keep], total[keep])
         return pa.table({"range": rows.column("range")[:1], "size": pa.array([size], pa.int64()),
-                         "least": pa.array([int(least)], pa.int64()),
-                         "bits": pa.array([np.packbits(filled, bitorder="little").tobytes()], pa.binary())})
+                         "least": pa.array([int(least)], pa.int64()), "bits": pa.array([bits], pa.binary())})
     return run
 
 
+def _reply_bigrams(rows: pa.Table) -> pa.Table:
+    """(block, range, levels) for each asking block, read from the range's segment of the filter."""
+    pairs, place, total = _summed(rows)
+    own = Filter(1, [(0, *_fill(pairs, total))])
+    level = own.level(pairs << np.uint64(64 - 8 * KEPT)).astype(np.uint8)[place]
+    cuts = np.cumsum([0, *(len(x.as_py()) // KEPT for x in rows.column("pairs"))])
+    return pa.table({"block": rows.column("block"), "range": rows.column("range"),
+                     "levels": pa.array([level[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
+                                        pa.binary())})
+
+
 class Filter:
-    """All segments in one array; ``count`` reads quantised counts back by probing."""
+    """Segments in one array; ``level`` and ``count`` read quantised counts back by probing."""
 
     def __init__(self, ranges: int, segments: list[tuple[int, int, bytes]]):
         self.ranges = ranges
@@ -226,7 +249,7 @@ class Filter:
         self.present[[r for r, *_ in segments]] = True
         self.bits = np.frombuffer(b"".join(parts), np.uint8)
 
-    def count(self, pairs: np.ndarray) -> np.ndarray:
+    def level(self, pairs: np.ndarray) -> np.ndarray:
         bits = self.ranges.bit_length() - 1
         pairs = pairs >> np.uint64(64 - bits - 8 * KEPT)
         own = (pairs >> np.uint64(8 * KEPT)).astype(np.int64)
@@ -244,27 +267,32 @@ class Filter:
             live = live[ok]
             level[live] += 1
             live = live[level[live] < 60]
-        return level_count(level)
+        return level
+
+    def count(self, pairs: np.ndarray) -> np.ndarray:
+        return level_count(self.level(pairs))
+
+
+def _joined(replies: list, kind: str, dtype) -> np.ndarray:
+    """One kind of a block's replies in the order of the hash ranges."""
+    return np.concatenate([np.frombuffer(p["data"], dtype)
+                           for p in sorted((p for p in replies if p["kind"] == kind), key=lambda p: p["range"])])
 
 
-def _score(shared, total: int, distinct: int, documents: int):
+def _score(ranges: int, total: int, distinct: int, documents: int):
     mass = total + distinct + 1
 
     def run(batches):
-        table_: Filter = shared.value
         for batch in batches:
             for row in batch.to_pylist():
                 first, tokens = _array(row, "first", np.int64), _array(row, "tokens", np.int32)
-                seen = np.concatenate([np.frombuffer(p["totals"], np.int64)
-                                       for p in sorted(row["replies"], key=lambda p: p["range"])])
-                count = seen[tokens]
+                count = _joined(row["replies"], "words", np.int64)[tokens]
                 word = (count + 1) / mass
-                left, right, _ = _bigrams(row, False)
-                pairs, place = np.unique(pair_hash(left, right), return_inverse=True)
+                _, place = _distinct_bigrams(row, ranges)
                 before = np.empty(len(count))
                 before[1:] = count[:-1]
                 before[first[:-1]] = documents
-                both = np.minimum(table_.count(pairs)[place], np.minimum(before, count))
+                both = np.minimum(level_count(_joined(row["replies"], "bigrams", np.uint8))[place], np.minimum(before, count))
                 chance = (both + PRIOR * word) / (before + PRIOR)
                 sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(word), np.log10(chance))]
                 known = np.add.reduceat((count > 0).astype(np.int64), first[:-1])
@@ -292,18 +320,15 @@ def score(docs: DataFrame) -> DataFrame:
     sums = [np.frombuffer(r["totals"], np.int64) for r in
             replies.where("block = -1").select("totals").collect()]          # one row a range
     total, distinct = (int(sum(s[i] for s in sums)) for i in (0, 1))
-    ranges2 = _ranges(int(tokens or 0))
-    pairs = own.select("held", "first", "tokens", "words").mapInArrow(
-        _bigram_ranges(ranges2), "range int, pairs binary, counts binary")
-    segments = pairs.groupBy("range").applyInArrow(
-        _segment(FILTER_BITS // ranges2), "range int, size long, least long, bits binary")
-    # at most FILTER_BITS bits in all
-    filter_ = Filter(ranges2, [(r["range"], r["size"], bytes(r["bits"])) for r in segments.collect()])
-    shared = spark.sparkContext.broadcast(filter_)
-    answers = (replies.where("block >= 0").groupBy("block")
-               .agg(F.collect_list(F.struct("range", "totals")).alias("replies")))
+    ranges2 = _ranges(int(tokens or 0), BIGRAMS_A_RANGE)
+    pairs = own.select("block", "held", "first", "tokens", "words").mapInArrow(
+        _ask_bigrams(ranges2), "range int, block long, pairs binary, counts binary")
+    levels_ = pairs.groupBy("range").applyInArrow(_reply_bigrams, "block long, range int, levels binary")
+    both = (replies.where("block >= 0").select("block", F.lit("words").alias("kind"), "range", F.col("totals").alias("data"))
+            .unionByName(levels_.select("block", F.lit("bigrams").alias("kind"), "range", F.col("levels").alias("data"))))
+    answers = both.groupBy("block").agg(F.collect_list(F.struct("kind", "range", "data")).alias("replies"))
     return own.drop("counts").join(answers, "block").mapInArrow(
-        _score(shared, total, distinct, learned or 0),
+        _score(ranges2, total, distinct, learned or 0),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
