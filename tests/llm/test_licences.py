@@ -51,3 +51,39 @@ def test_empty_table_and_plan(spark, docs_of):
     assert empty.count() == 0
     plan = licences.query(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+BSD = ("# Redistribution and use in source and binary forms, with or without\n"
+       "# modification, are permitted provided that the following conditions\n# are met:")
+ISC = (" * Permission to use, copy, modify, and/or distribute this software for\n"
+       " * any purpose with or without fee is hereby granted, provided that the\n * above notice appears.")
+GPL = ("// This program is free software: you can redistribute it and/or modify\n"
+       "// it under the terms of the GNU General Public License as published by\n"
+       "// the Free Software Foundation, either version 3 of the License, or\n// (at your option) any later version.")
+LGPL = ("This library is free software; you can redistribute it and/or modify it\nunder the terms of the GNU Lesser General"
+        " Public\nLicense as published by the Free Software\nFoundation.")
+LONG = "the end of the day was in the hall and of the city " * 400
+WRAPPED = [
+    (BSD, "bsd"), (ISC, "isc"), (GPL, "gpl-3.0"), (LGPL, "lgpl"), ("int x;\n\n" + BSD + "\n#\n" + GPL + "\n\nint y;", "bsd,gpl-3.0"),
+    ("Released under the MIT License. Licensed under the Mozilla Public License, version 2.0.", "mit,mpl-2.0"),
+    (LONG + "This work is licensed under the GNU General Public License, version 2. " + LONG, "gpl-2.0"),
+    (LONG + "Licensed under CC BY-NC 4.0. " + LONG + "Released under the ISC License. " + LONG, "cc-by-nc,isc"),
+    ("This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("Released under the\n\nMIT License of old.", ""), (LONG, ""),
+]
+
+
+def test_wrapped_and_long_one_line_notices(docs_of):
+    got = {r.doc_id: r.families for r in licences.scan(docs_of([(i, t) for i, (t, _) in enumerate(WRAPPED)])).collect()}
+    assert got == {i: f for i, (_, f) in enumerate(WRAPPED)}
+
+
+def test_no_template_reaches_the_share_without_a_telling_word():
+    """The prefilter loses nothing: grams without a telling word are fewer than CONFIRM of every template."""
+    import re
+
+    for t in (t for ts in licences.TEMPLATES.values() for t in ts):
+        w = ["^", *re.findall(r"[^\W_]+", t.lower()), "$"]
+        grams = {tuple(w[i:i + n]) for n in (2, 3) for i in range(len(w) - n + 1)}
+        plain = [g for g in grams if not set(g) & set(licences.TELLING)]
+        assert len(plain) / len(grams) < licences.CONFIRM, t

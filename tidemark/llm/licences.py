@@ -1,19 +1,26 @@
 """Licence scans: a trained paragraph classifier, in DataFrame operations only.
 
-Each line of a text is a paragraph. Its features are the word pairs and triples (with a mark
-at either end) that occur in the licence templates; a multinomial logistic regression
-over these sparse counts gives each licence family and the class ``unknown`` a
-probability. Its training rows are the templates, alone and among other words, with
-words left out, and a bounded sample of the corpus's own paragraphs as unknown. A
+A text is cut into blocks at lines without words. What is judged is each line of up to
+``LINE`` words, and overlapping windows of ``WINDOWS`` words over the block's joined lines
+(marks of comments fall away with all that is no word), so that notices wrapped over lines
+and those in long lines are found. The features are the word pairs and triples (with a mark
+at either end of a line or sentence) that occur in the licence templates; a multinomial
+logistic regression over these sparse counts gives each licence family and the class
+``unknown`` a probability. Its training rows are the templates, alone and among other words,
+with words left out, and a bounded sample of the corpus's own lines as unknown. A
 temperature fitted on rows kept apart calibrates the probabilities. A prediction stands
-only if the paragraph holds at least ``CONFIRM`` of the grams of a template of its family.
+only if the line or window holds at least ``CONFIRM`` of the grams of a template of its family,
+and not all it holds of it is also in a template of another family that the block holds
+more of (a window that ends before the version of the GPL). Every family that stands is reported.
 
-Scoring explodes the grams of every paragraph and joins them with the weights (a few
-thousand rows, fixed by the templates, hence broadcast); what is left is summed by paragraph,
-then by document. Texts are not shuffled.
+Only texts, blocks and windows with a word of ``TELLING`` are scored: without one, no template
+can reach ``CONFIRM`` (see the tests). Their grams are exploded and joined with the weights (a
+few thousand rows, fixed by the templates, hence broadcast); what is left is summed by line or
+window, then by block and document. Texts are not shuffled.
 
-Defined cases: null and empty texts have no paragraphs (a paragraph has a word at least)
-and no licences. Rows with the same doc_id and text are judged together, each has its
+Defined cases: null and empty texts have no paragraphs (n_paragraphs counts the lines with
+a word) and no licences. n_licences counts, for each block and family, the lines that
+hold it, or one if only windows do. Rows with the same doc_id and text are judged together, each has its
 row; a null doc_id is judged like others. Only doc_id and text are read.
 """
 
@@ -32,6 +39,19 @@ SAMPLE = 2000            # corpus paragraphs that stand for unknown text, about
 CONFIRM = 0.6
 LEAST = 0.5              # probability that a family needs
 UNKNOWN = "unknown"
+LINE = 64                # words of a line that is judged as a whole
+WINDOWS = (5, 7, 10, 15, 22, 33, 50)   # words; a quarter of it apart, so that 3 / 4 of it are whole in one
+PIECE = 512              # words of a block that are cut into windows together
+TELLING = ["licensed", "license", "spdx", "permission", "granted", "copy", "software", "obtaining", "associated", "documentation",
+           "gnu", "foundation", "redistribute", "modify", "redistribution", "binary", "permitted", "conditions", "hereby",
+           "distribute", "purpose", "cc", "cc0", "creative", "reserved", "rights", "unauthorized", "copying", "prohibited",
+           "proprietary", "mozilla", "gpl", "domain", "apache", "file", "use", "compliance", "free", "charge", "public", "mit", "isc",
+           "bsd", "released", "source", "subject", "terms"]
+
+# Lines that may be part of a notice, also of one wrapped over lines, and so do not stand for unknown text.
+NOTICE = ("licen[sc]|copyright|rights reserved|cc by|public domain|hereby granted|permission to use|redistribut|free software"
+          "|software foundation|general public|source and binary|with or without|this software|free of charge"
+          "|conditions are met|associated documentation|creative commons|any purpose")
 
 # Notices of each family, and texts that speak of licences without being one.
 TEMPLATES = {
@@ -88,15 +108,50 @@ def grams(of: Column) -> Column:
     return F.concat(pairs, triples)
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, place, grams of every line.
+def _marked(text: Column) -> Column:
+    """Words of joined lines, with the marks at the ends of sentences too."""
+    plain = F.regexp_replace(F.lower(text), "[$^]", " ")
+    ends = F.regexp_replace(plain, "[.!?]+[\"')\\]]*(?=\\s|$)", " \\$ ^ ")
+    found = F.filter(F.split(ends, "[^\\p{L}\\p{N}$^]+"), lambda w: w != "")
+    return F.concat(F.array(F.lit("^")), found, F.array(F.lit("$")))
+
+
+def _slice(of: Column, size: int):
+    return lambda i: F.slice(of, i, size)
 
-    The outer forms of explode keep the optimizer from testing the arrays first, which would
-    evaluate them twice; lines without words have no weighted gram."""
-    line = F.posexplode_outer(F.split("text", "\n")).alias("place", "line")
-    return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), line)
-            .withColumn("words", words(F.col("line")))
-            .select("doc_id", "text_hash", "place", grams(F.col("words")).alias("grams")))
+
+def _windows(of: Column) -> Column:
+    """Overlapping slices of every size; sizes that a smaller one makes needless are left out."""
+    made = []
+    for size, less in zip(WINDOWS, (0, *WINDOWS), strict=False):
+        step = size // 4
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(of) - size + step), F.lit(step))
+        made.append(F.when(F.size(of) > less, F.transform(starts, _slice(of, size)))
+                    .otherwise(F.array().cast("array<array<string>>")))
+    return F.concat(*made)
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, block, unit, grams of the lines (unit from 0) and windows (below 0) with a telling word."""
+    hint = "|".join(TELLING)
+    telling = F.array(*map(F.lit, TELLING))
+    texts = docs.where(F.lower("text").rlike(hint)).select(
+        "doc_id", F.xxhash64("text").alias("text_hash"),
+        F.posexplode_outer(F.split("text", "\n(?:[^\\p{L}\\p{N}\n]*\n)+")).alias("block", "body"))
+    blocks = texts.where(F.lower("body").rlike(hint))
+    own = ["doc_id", "text_hash", "block"]
+    lines = (blocks.select(*own, F.posexplode_outer(F.split("body", "\n")).alias("unit", "line"))
+             .where(F.lower("line").rlike(hint)).select(*own, F.col("unit").cast("long"), words(F.col("line")).alias("words"))
+             .where(F.size("words") <= LINE + 2))
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("all") - max(WINDOWS)), F.lit(PIECE - max(WINDOWS))),
+                      lambda i: F.slice("all", i, PIECE))
+    pieces = (blocks.select(*own, _marked(F.col("body")).alias("all"))
+              .select(*own, F.posexplode_outer(cut).alias("piece", "piece_words"))
+              .where(F.arrays_overlap("piece_words", telling)))
+    windows = (pieces.select(*own, "piece", F.posexplode_outer(_windows(F.col("piece_words"))).alias("at", "words"))
+               .where(F.arrays_overlap("words", telling))
+               .select(*own, (-1 - F.col("piece").cast("long") * 8192 - F.col("at")).alias("unit"), "words"))
+    return lines.unionByName(windows).select(*own, "unit", grams(F.col("words")).alias("grams"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -108,7 +163,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
     # document: counted first, so that no task has to sort them
     lines = (docs.select("doc_id", F.explode_outer(F.split("text", "\n")).alias("line"))
              .where(F.length("line").between(20, 2000))
-             .where(~F.lower("line").rlike("licen[sc]|copyright|rights reserved|cc by|public domain"))
+             .where(~F.lower("line").rlike(NOTICE))
              .withColumn("h", F.xxhash64("line", "doc_id")))
     lines = lines.where(F.pmod("h", F.lit(max(1, lines.count() // SAMPLE))) == 0).select("line", F.shiftright("h", 40).alias("h"))
     unknown = lines.select(F.lit(UNKNOWN).alias("family"), words(F.col("line")).alias("words"), (F.col("h") % 4 == 0).alias("apart"))
@@ -180,28 +235,45 @@ class Classifier:
         return min(zip([math.inf if x is None else x for x in loss], grid, strict=True))[1]
 
     def predict(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        """keys, family, probability of the paragraphs whose prediction is a confirmed family."""
+        """keys, family, probability, template, held (its grams), share of the rows whose prediction is a confirmed
+        family, for each template that confirms it."""
         sums = self.sums(rows, keys)
         all_ = F.array(*map(F.lit, self.classes))
         best = F.array_position("logits", F.lit(0.0)).cast("int") - 1
         scored = self.with_logits(sums).select(*keys, "held", F.get(all_, best).alias("family"),
                                                (1 / _mass(self.temperature)).alias("probability"))
         likely = stored(scored.where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST)), "licence-likely")
-        # share of each template of the family that the paragraph holds
+        # share of each template of the family that the row holds
         shares = (likely.select(*keys, "family", "probability", F.explode("held").alias("gram"))
                   .join(F.broadcast(self.templates), ["family", "gram"])
-                  .groupBy(*keys, "family", "probability", "template", "size").count())
-        return (shares.groupBy(*keys, "family", "probability").agg(F.max(F.col("count") / F.col("size")).alias("share"))
-                .where(F.col("share") >= CONFIRM))
+                  .groupBy(*keys, "family", "probability", "template", "size").agg(F.collect_set("gram").alias("held")))
+        return shares.withColumn("share", F.size("held") / F.col("size")).where(F.col("share") >= CONFIRM)
+
+    def standing(self, found: DataFrame, keys: list[str]) -> DataFrame:
+        """keys, family, n (lines, or 1), probability of the families that stand in each block."""
+        best = found.groupBy(*keys, "family", "template").agg(
+            F.max("share").alias("share"), F.max_by("held", "share").alias("held"), F.max("probability").alias("probability"),
+            F.collect_set(F.when(F.col("unit") >= 0, F.col("unit"))).alias("lines"))
+        whole = self.templates.groupBy("template").agg(F.collect_set("gram").alias("whole"))
+        best = best.join(F.broadcast(whole), "template")
+        # at most one entry a template
+        every = best.groupBy(*keys).agg(F.collect_list(
+            F.struct("family", "share", "held", "whole", "probability", "lines")).alias("all"))
+        stands = F.filter("all", lambda x: ~F.exists("all", lambda y: (y["family"] != x["family"]) & (y["share"] > x["share"])
+                                                     & (F.size(F.array_except(x["held"], y["whole"])) == 0)))
+        return (every.select(*keys, F.explode(stands).alias("x")).groupBy(*keys, F.col("x.family").alias("family"))
+                .agg(F.greatest(F.lit(1), F.size(F.array_distinct(F.flatten(F.collect_list("x.lines"))))).alias("n"),
+                     F.max("x.probability").alias("probability")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs, n_licences, families (sorted, comma-joined), probability (of the least sure one) of every row."""
     docs = docs.select("doc_id", "text")
-    keys = ["doc_id", "text_hash", "place"]
-    found = Classifier(docs).predict(paragraphs(docs), keys)
+    keys = ["doc_id", "text_hash", "block"]
+    model = Classifier(docs)
+    found = model.standing(model.predict(paragraphs(docs), [*keys, "unit"]), keys)
     per_text = found.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
-        F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("found"),
+        F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("found"),
         F.min("probability").alias("least"))
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike("[\\p{L}\\p{N}]"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(lines).cast("long").alias("n_paragraphs"))
