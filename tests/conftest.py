@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 
@@ -9,8 +8,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,16 +18,6 @@ def spark():
     s.stop()
 
 
-def ms(text: str) -> int:
-    """'2024-01-01 10:00' (or with seconds) -> epoch ms, UTC."""
-    fmt = "%Y-%m-%d %H:%M:%S" if text.count(":") == 2 else "%Y-%m-%d %H:%M"
-    return int(dt.datetime.strptime(text, fmt).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
-
-
-def day(h: str, d: int = 1) -> int:
-    return ms(f"2024-01-{d:02d} {h}")
-
-
 @pytest.fixture
 def mk(spark):
     """Builders for hand-written trades and infos."""

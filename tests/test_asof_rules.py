@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import day
+from support import day
 
 from tidemark.operators import asof, events
 

@@ -11,7 +11,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 import __spark_entry__ as E
 from tidemark.plans import catalog

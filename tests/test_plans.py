@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from tidemark.operators import asof, latest, metrics
 from tidemark.plans import catalog

@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import day
+from support import day
 from pyspark.sql import functions as F
 
 from tidemark.operators import constraints, metrics

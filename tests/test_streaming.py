@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import day, ms
+from support import day, ms
 from pyspark.sql import functions as F
 
 from tidemark.plans import pipelines as P
@@ -226,7 +226,7 @@ def test_metrics_with_null_sector_are_rejected(spark, mk):
 def test_history_batchwise_exact_for_any_trade_order(spark):
     """Infos first, then trade slices newest-first: every trade is late, and the
     history mode still equals the batch as-of on the whole fixture."""
-    from conftest import SF_SMALL
+    from support import SF_SMALL
 
     from tidemark.operators import asof
     from tidemark.plans import catalog
