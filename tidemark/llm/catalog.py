@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, jaccard, licences, lm, quality, sharding, toxicity, warc, winnow
+from . import bpe, codes, forest, jaccard, licences, lm, quality, sharding, toxicity, warc, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm": lm.query,
         "op9_jaccard": jaccard.query,
         "op10_toxicity": toxicity.query,
+        "op11_codes": codes.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op11_codes": codes.ORACLE}
