@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, codes, forest, jaccard, licences, lm, quality, sharding, toxicity, warc, winnow
+from . import bpe, codes, forest, jaccard, licences, lm, quality, sharding, spelling, suffixes, toxicity, warc, winnow
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard": jaccard.query,
         "op10_toxicity": toxicity.query,
         "op11_codes": codes.query,
+        "op12_suffixes": suffixes.query,
+        "op13_spelling": spelling.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE, "op11_codes": codes.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op11_codes": codes.ORACLE, "op12_suffixes": suffixes.ORACLE,
+            "op13_spelling": spelling.ORACLE}
