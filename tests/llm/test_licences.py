@@ -87,3 +87,46 @@ def test_no_template_reaches_the_share_without_a_telling_word():
         grams = {tuple(w[i:i + n]) for n in (2, 3) for i in range(len(w) - n + 1)}
         plain = [g for g in grams if not set(g) & set(licences.TELLING)]
         assert len(plain) / len(grams) < licences.CONFIRM, t
+
+
+def test_units_equal_plain_python(spark, docs_of):
+    """Every line's and window's weighted grams, against slices of words in plain Python."""
+    import random
+    import re
+    from collections import Counter
+
+    r = random.Random(4)
+    vocabulary = ["license", "the", "mit", "under", "of", "terms", "word", "day"]
+    bodies = [" ".join(r.choice(vocabulary) for _ in range(n)) for n in (1, 2, 3, 5, 6, 7, 9, 40, 66, 67, 513, 1100)]
+    docs = [(i, b) for i, b in enumerate(bodies)]
+    docs += [(50, "the license\n# of the mit.\nunder terms\n\n--\n\nthe license of day"), (51, None), (52, "")]
+    telling = set(licences.TELLING)
+    weight = {"the license": 2.0, "license of the": 3.0, "mit under": 5.0, "^ the license": 7.0, "terms $": 11.0}
+
+    def grams(w):
+        return [" ".join(w[i:i + n]) for n in (2, 3) for i in range(len(w) - n + 1)]
+
+    want = {}
+    for i, text in docs:
+        for b, body in enumerate(re.split(r"\n(?:[^a-z0-9\n]*\n)+", text or "")):
+            for u, line in enumerate(body.split("\n")):
+                w = ["^", *re.findall("[a-z0-9]+", line.lower()), "$"]
+                if len(w) <= licences.LINE + 2 and telling & set(w):
+                    want[i, b, u] = Counter(g for g in grams(w) if g in weight)
+            ends = re.sub(r"[.!?]+(?=\s|$)", " $ ^ ", re.sub("[$^]", " ", body.lower()))
+            every = ["^", *re.findall("[a-z0-9$^]+", ends), "$"]
+            most = max(licences.WINDOWS)
+            for p, at in enumerate(range(0, max(1, len(every) - most), licences.PIECE - most)):
+                w = every[at:at + licences.PIECE]
+                for k, (size, less) in enumerate(zip(licences.WINDOWS, (0, *licences.WINDOWS))):
+                    if len(w) > less and telling & set(w):
+                        for n, start in enumerate(range(0, max(1, len(w) - size + size // 4), size // 4)):
+                            want[i, b, -1 - p * 8192 - (k << 10) - n] = Counter(
+                                g for g in grams(w[start:start + size]) if g in weight)
+    want = {k: (sum(weight[g] * n for g, n in c.items()), sorted(c)) for k, c in want.items() if c}
+
+    model = licences.Classifier.__new__(licences.Classifier)
+    model.columns = ["w0"]
+    model.weights = spark.createDataFrame(list(weight.items()), "gram string, w0 double")
+    got = {(u.doc_id, u.block, u.unit): (u.w0, sorted(u.held)) for u in model.units(docs_of(docs)).collect()}
+    assert len(want) > 500 and got == want

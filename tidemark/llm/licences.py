@@ -13,10 +13,11 @@ only if the line or window holds at least ``CONFIRM`` of the grams of a template
 and not all it holds of it is also in a template of another family that the block holds
 more of (a window that ends before the version of the GPL). Every family that stands is reported.
 
-Only texts, blocks and windows with a word of ``TELLING`` are scored: without one, no template
-can reach ``CONFIRM`` (see the tests). Their grams are exploded and joined with the weights (a
-few thousand rows, fixed by the templates, hence broadcast); what is left is summed by line or
-window, then by block and document. Texts are not shuffled.
+Only texts, blocks and lines with a word of ``TELLING`` are scored: without one, no template
+can reach ``CONFIRM`` (see the tests). Their grams are exploded once and joined with the
+weights (a few thousand rows, fixed by the templates, hence broadcast); what is left goes to
+the windows around it and is summed by line or window, then by block and document. Texts are
+not shuffled.
 
 Defined cases: null and empty texts have no paragraphs (n_paragraphs counts the lines with
 a word) and no licences. n_licences counts, for each block and family, the lines that
@@ -102,10 +103,16 @@ def words(text: Column) -> Column:
 
 def grams(of: Column) -> Column:
     """Pairs and triples of consecutive words."""
-    pairs = F.transform(F.sequence(F.lit(0), F.size(of) - 2), lambda i: F.concat_ws(" ", F.get(of, i), F.get(of, i + 1)))
-    triples = F.transform(F.sequence(F.lit(0), F.size(of) - 3),
-                          lambda i: F.concat_ws(" ", F.get(of, i), F.get(of, i + 1), F.get(of, i + 2)))
-    return F.concat(pairs, triples)
+    return F.transform(placed_grams(of), lambda x: x["gram"])
+
+
+def placed_grams(of: Column) -> Column:
+    """The same with the place of the first word (from 0) and the number of words."""
+    def runs(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(of) - n), lambda i: F.struct(
+            F.concat_ws(" ", *(F.get(of, i + k) for k in range(n))).alias("gram"), i.alias("place"), F.lit(n).alias("n")))
+    none = F.array().cast("array<struct<gram:string,place:int,n:int>>")
+    return F.concat(*(F.when(F.size(of) >= n, runs(n)).otherwise(none) for n in (2, 3)))
 
 
 def _marked(text: Column) -> Column:
@@ -116,23 +123,28 @@ def _marked(text: Column) -> Column:
     return F.concat(F.array(F.lit("^")), found, F.array(F.lit("$")))
 
 
-def _slice(of: Column, size: int):
-    return lambda i: F.slice(of, i, size)
-
+def windows_around(size: Column, place: Column, n: Column) -> Column:
+    """Numbers of the windows over ``size`` words that hold the ``n`` words from ``place`` on.
 
-def _windows(of: Column) -> Column:
-    """Overlapping slices of every size; sizes that a smaller one makes needless are left out."""
+    Windows of every size of ``WINDOWS`` start a quarter of it apart, the last at or before the
+    place where the rest fits; sizes that a smaller one makes needless are left out."""
     made = []
-    for size, less in zip(WINDOWS, (0, *WINDOWS), strict=False):
-        step = size // 4
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(of) - size + step), F.lit(step))
-        made.append(F.when(F.size(of) > less, F.transform(starts, _slice(of, size)))
-                    .otherwise(F.array().cast("array<array<string>>")))
+    for k, (width, less) in enumerate(zip(WINDOWS, (0, *WINDOWS), strict=False)):
+        step = width // 4
+        last = F.floor((F.greatest(F.lit(1), size - width + step) - 1) / step)
+        lo = F.greatest(F.lit(0), F.ceil((place + n - width) / step))
+        hi = F.least(last, F.floor(place / step))
+        # numbered by size, then by start (fewer than 1024)
+        made.append(F.when((size > less) & (lo <= hi), F.sequence(lo + (k << 10), hi + (k << 10)))
+                    .otherwise(F.array().cast("array<bigint>")))
     return F.concat(*made)
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, block, unit, grams of the lines (unit from 0) and windows (below 0) with a telling word."""
+def placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every gram of the lines and of the pieces of blocks that hold a telling word, once each.
+
+    Lines: doc_id, text_hash, block, unit (from 0), gram. Pieces: doc_id, text_hash, block,
+    piece, size (words), gram, place, n."""
     hint = "|".join(TELLING)
     telling = F.array(*map(F.lit, TELLING))
     texts = docs.where(F.lower("text").rlike(hint)).select(
@@ -142,16 +154,16 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     own = ["doc_id", "text_hash", "block"]
     lines = (blocks.select(*own, F.posexplode_outer(F.split("body", "\n")).alias("unit", "line"))
              .where(F.lower("line").rlike(hint)).select(*own, F.col("unit").cast("long"), words(F.col("line")).alias("words"))
-             .where(F.size("words") <= LINE + 2))
+             .where(F.size("words") <= LINE + 2)
+             .select(*own, "unit", F.explode(grams(F.col("words"))).alias("gram")))
     cut = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("all") - max(WINDOWS)), F.lit(PIECE - max(WINDOWS))),
                       lambda i: F.slice("all", i, PIECE))
     pieces = (blocks.select(*own, _marked(F.col("body")).alias("all"))
               .select(*own, F.posexplode_outer(cut).alias("piece", "piece_words"))
-              .where(F.arrays_overlap("piece_words", telling)))
-    windows = (pieces.select(*own, "piece", F.posexplode_outer(_windows(F.col("piece_words"))).alias("at", "words"))
-               .where(F.arrays_overlap("words", telling))
-               .select(*own, (-1 - F.col("piece").cast("long") * 8192 - F.col("at")).alias("unit"), "words"))
-    return lines.unionByName(windows).select(*own, "unit", grams(F.col("words")).alias("grams"))
+              .where(F.arrays_overlap("piece_words", telling))
+              .select(*own, "piece", F.size("piece_words").alias("size"),
+                      F.inline(placed_grams(F.col("piece_words")))))
+    return lines, pieces
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -159,13 +171,13 @@ def training_rows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     templates = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in OTHER],
                                       "family string, line string")
-    # lines of the corpus without the templates' telling words, chosen by the hash of line and
-    # document: counted first, so that no task has to sort them
+    # lines of the corpus chosen by the hash of line and document (counted first, so that no
+    # task has to sort them), less those that may be part of a notice
     lines = (docs.select("doc_id", F.explode_outer(F.split("text", "\n")).alias("line"))
-             .where(F.length("line").between(20, 2000))
-             .where(~F.lower("line").rlike(NOTICE))
-             .withColumn("h", F.xxhash64("line", "doc_id")))
-    lines = lines.where(F.pmod("h", F.lit(max(1, lines.count() // SAMPLE))) == 0).select("line", F.shiftright("h", 40).alias("h"))
+             .where(F.length("line").between(20, 2000)))
+    every = max(1, lines.count() // SAMPLE)
+    lines = (lines.withColumn("h", F.xxhash64("line", "doc_id")).where(F.pmod("h", F.lit(every)) == 0)
+             .where(~F.lower("line").rlike(NOTICE)).select("line", F.shiftright("h", 40).alias("h")))
     unknown = lines.select(F.lit(UNKNOWN).alias("family"), words(F.col("line")).alias("words"), (F.col("h") % 4 == 0).alias("apart"))
     own = templates.withColumn("words", words(F.col("line")))
     inner = F.slice("words", 2, F.size("words") - 2)
@@ -220,24 +232,38 @@ class Classifier:
         out = sums.withColumn("logits", logits).drop(*self.columns)
         return out.withColumn("logits", F.transform("logits", lambda x: x - F.array_max("logits")))
 
-    def sums(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        """Summed weights of the rows that hold a weighted gram."""
-        found = rows.select(*keys, F.explode_outer("grams").alias("gram")).join(F.broadcast(self.weights), "gram")
+    def weighted(self, rows: DataFrame) -> DataFrame:
+        """The rows of one gram each whose gram has a weight, with its weights."""
+        return rows.join(F.broadcast(self.weights), "gram")
+
+    def sums(self, found: DataFrame, keys: list[str]) -> DataFrame:
+        """Summed weights, and the grams held, of weighted grams."""
         return found.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in self.columns), F.collect_set("gram").alias("held"))
 
     def _temperature(self, rows: DataFrame) -> float:
         """The temperature with the least log loss on rows kept apart."""
-        sums = self.with_logits(rows.select("id", "label").join(self.sums(rows, ["id"]), "id", "left"))
+        found = self.weighted(rows.select("id", F.explode_outer("grams").alias("gram")))
+        sums = self.with_logits(rows.select("id", "label").join(self.sums(found, ["id"]), "id", "left"))
         grid = [0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
         losses = [F.avg(F.log(_mass(t)) - F.get("logits", F.col("label").cast("int")) / t).alias(f"t{k}")
                   for k, t in enumerate(grid)]
         loss = sums.agg(*losses).first()
         return min(zip([math.inf if x is None else x for x in loss], grid, strict=True))[1]
 
-    def predict(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        """keys, family, probability, template, held (its grams), share of the rows whose prediction is a confirmed
+    def units(self, docs: DataFrame) -> DataFrame:
+        """doc_id, text_hash, block, unit and the summed weights and grams of every line (unit from 0)
+        and window (below 0). A weighted gram goes to the windows around it, other words to none."""
+        lines, pieces = placed(docs)
+        around = windows_around(F.col("size"), F.col("place"), F.col("n"))
+        own = ["doc_id", "text_hash", "block", "unit", "gram", *self.columns]
+        windows = (self.weighted(pieces).withColumn("window", F.explode(around))
+                   .withColumn("unit", -1 - F.col("piece").cast("long") * 8192 - F.col("window")))
+        found = self.weighted(lines).select(*own).unionByName(windows.select(*own))
+        return self.sums(found, own[:4])
+
+    def predict(self, sums: DataFrame, keys: list[str]) -> DataFrame:
+        """keys, family, probability, template, held (its grams), share of the units whose prediction is a confirmed
         family, for each template that confirms it."""
-        sums = self.sums(rows, keys)
         all_ = F.array(*map(F.lit, self.classes))
         best = F.array_position("logits", F.lit(0.0)).cast("int") - 1
         scored = self.with_logits(sums).select(*keys, "held", F.get(all_, best).alias("family"),
@@ -271,7 +297,7 @@ def scan(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     keys = ["doc_id", "text_hash", "block"]
     model = Classifier(docs)
-    found = model.standing(model.predict(paragraphs(docs), [*keys, "unit"]), keys)
+    found = model.standing(model.predict(model.units(docs), [*keys, "unit"]), keys)
     per_text = found.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(
         F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("found"),
         F.min("probability").alias("least"))
