@@ -32,9 +32,20 @@ def plan(df) -> str:
 def test_bucketed_asof_plan_shape(spark, big_plan):
     t, i = catalog.event_inputs(spark, SF_SMALL)
     p = plan(asof.enrich_asof(t, i, bucket="1 hour"))
+    # trade buckets, infos' buckets, the carry by symbol, and one exchange of the rows themselves
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 4 and "Join" not in p
+    # the in-bucket window is partitioned by symbol AND bucket (a hot symbol is split)
+    assert re.search(r"Window \[.*\], \[symbol#\d+, _b#\d+L\]", p)
+    # what crosses by symbol alone has been combined to a row a bucket before
+    by_symbol = re.search(r"Exchange hashpartitioning\(symbol#\d+, \d+\)", p)
+    assert "Aggregate" in p[by_symbol.end():].split("Scan", 1)[0]
+
+
+def test_bucketed_ttl_plan_splits_hot_symbols(spark, big_plan):
+    t, i = catalog.event_inputs(spark, SF_SMALL)
+    p = plan(asof.enrich_asof(t, i, bucket="1 hour", ttl="24 hours"))
     # the trades are shuffled once, by (symbol, ms), to meet their answers
     assert re.search(r"Exchange hashpartitioning\(symbol#\d+, trade_timestamp#\d+L", p)
-    # the in-bucket window is partitioned by symbol AND bucket (a hot symbol is split)
     m = re.search(r"Window \[.*\], \[symbol#\d+, _b#\d+L\]", p)
     assert m
     # ... and reads its (symbol, bucket) join directly: no exchange in between

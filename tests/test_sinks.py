@@ -103,20 +103,44 @@ def test_latest_per_key_and_newest_n(spark):
     assert sorted((r.k, r.t, r.rank) for r in top) == [("a", 2, 2), ("a", 3, 1), ("b", 1, 1)]
 
 
-def test_retention_drops_old_folders_without_rewrite(spark):
+def test_retention_drops_old_folders_unread(spark):
     path = scratch_path(spark, "t-retain2")
     now = dt.datetime(2024, 1, 10, 12, 0)
     schema = "id int, ingestion_time timestamp"
-    tbl.write_batch(spark.createDataFrame([(1, now - dt.timedelta(days=5))], schema), path, 0, stamp_ingestion=False)
-    tbl.write_batch(spark.createDataFrame([(2, now - dt.timedelta(days=3)), (3, now - dt.timedelta(hours=1))],
-                                          schema), path, 1, stamp_ingestion=False)
-    tbl.write_batch(spark.createDataFrame([(4, now), (5, None)], schema), path, 2, stamp_ingestion=False)
+    rows = [[(1, now - dt.timedelta(days=5))], [(2, now - dt.timedelta(days=3)), (3, now - dt.timedelta(hours=1))],
+            [(4, now), (5, None), (6, now - dt.timedelta(days=2, hours=1))]]
+    for b, part in enumerate(rows):
+        tbl.write_batch(spark.createDataFrame(part, schema), path, b, stamp_ingestion=False, day_of="ingestion_time")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("retain", "retain")
     tbl.retain(spark, path, "ingestion_time", "2 days", now=now)
+    assert list(jobs.getJobIdsForGroup("retain")) == []                  # nothing is read
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert sorted(r.id for r in tbl.read_table(spark, path).collect()) == [3, 4, 5]
-    live = tbl.live_dirs(spark, path)
-    assert "data/batch_id=2" in live and "data/batch_id=0" not in live and "data/batch_id=1" not in live
+    days = {b: tbl._values(spark, f"{path}/data/batch_id={b}", "day") for b in range(3)}
+    assert [len(days[b]) for b in range(3)] == [0, 1, 3]                 # the day of the limit stays, filtered
     last = tbl.recent_history(spark, path, 1).first()
-    assert last.operation == "delete" and last.rows == 1
+    assert last.operation == "delete" and last.version == 3
+    tbl.retain(spark, path, "ingestion_time", "0 days", now=now + dt.timedelta(days=9))
+    assert [r.id for r in tbl.read_table(spark, path).collect()] == [5]
+    tbl.compact(spark, path)
+    assert [(r.id, r.batch_id) for r in tbl.read_table(spark, path).collect()] == [(5, 2)]
+
+
+def test_reads_after_a_rewrite_take_its_rows_and_later_batches(spark, mk):
+    path = scratch_path(spark, "t-base")
+    for b in range(3):
+        tbl.write_batch(mk.trades([("S", day("10:00"), b)]), path, b)
+    tbl.compact(spark, path)
+    tbl.write_batch(mk.trades([("S", day("10:00"), 3)]), path, 3)
+    tbl.fold_before(spark, path, 3, lambda rows: rows.where("seq <> 1"))
+    got = sorted((r.seq, r.batch_id) for r in tbl.read_table(spark, path).collect())
+    assert got == [(0, 2), (2, 2), (3, 3)]
+    assert tbl.live_dirs(spark, path) == ["base/upto=2/gen=1", "data/batch_id=3"]
+    plan = tbl.read_table(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan                # earlier batches are pruned
+    seen = sorted(r.batch_id for r in spark.read.parquet(f"{path}/data").collect())
+    assert seen == [0, 1, 2, 3]                                           # streams still find all
 
 
 def test_compaction_leaves_large_files(spark, mk):
@@ -176,6 +200,6 @@ def test_batch_id_of_another_query_is_an_error(spark, monkeypatch):
 def test_batchwise_refuses_what_it_cannot_do(spark):
     from tidemark.plans.pipelines import layout, start_enrichment
 
-    for kw in ({"ttl": "24 hours"}, {"watermark": "5 minutes"}):
-        with pytest.raises(ValueError, match="batchwise"):
+    for kw in ({"ttl": "24 hours", "late": "history"}, {"watermark": "5 minutes"}):
+        with pytest.raises(ValueError, match="ttl|batchwise"):
             start_enrichment(spark, layout(spark, "refuse"), **kw)

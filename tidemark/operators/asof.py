@@ -23,19 +23,27 @@ but a hot symbol is a single task.
 ``bucket='auto'`` (default) picks the plain plan for inputs Catalyst estimates
 at most 64 MB and the bucketed plan above that.
 
-``bucket='1 hour'``:
+``bucket='1 hour'`` (without ``ttl``), four exchanges, the trades in one of them:
+1. the distinct (symbol, ``floor(ms / w)``) of the trades, a map-side-combined aggregate;
+2. each (symbol, bucket)'s last info, another, over infos only;
+3. a running max over these bucket rows carries the info across buckets (per
+   symbol at most span/w rows twice, whatever the event count); what a bucket
+   starts with becomes a row of that bucket, its seed;
+4. trades, infos and seeds meet by (symbol, bucket), and one window per such
+   group takes the running max. A hot symbol is as many groups as it has buckets;
+   a narrower bucket makes smaller ones.
+
+With ``ttl``:
 0. trades are reduced to distinct (symbol, ms) - every trade of a symbol at
    one ms sees the same info - with a map-side-combined aggregate;
 1. those times and the infos are keyed by ``(symbol, floor(ms / w))``; a hash
    aggregate gives each bucket's extent, a map-side-combined aggregate over
    infos only gives its last info;
-2. a running max over that *bucket* table carries the info across buckets
-   (per symbol it has at most span/w rows, whatever the event count);
+2. a running max over that *bucket* table carries the info and the session's
+   start across buckets;
 3. the seed is equi-joined back on (symbol, bucket) and the in-bucket running
-   max is taken over ``partitionBy(symbol, bucket)`` (the join's exchange
-   already satisfies the window); a group holds at most w distinct ms;
-4. the answers are equi-joined to the trades on (symbol, ms): AQE broadcasts
-   them when their measured size allows, else splits skewed partitions.
+   max is taken over ``partitionBy(symbol, bucket)``;
+4. the answers are equi-joined to the trades on (symbol, ms).
 """
 
 from __future__ import annotations
@@ -53,7 +61,7 @@ _MIN_LONG = -(2**63)
 # plain per-symbol window (even if every row belonged to one symbol, one task
 # could sort it); larger inputs use the skew-safe bucketed plan.
 AUTO_PLAIN_MAX_BYTES = 64 * 1024 * 1024
-AUTO_BUCKET = "1 hour"
+AUTO_BUCKET = "10 minutes"
 
 
 def estimated_bytes(*dfs: DataFrame) -> int:
@@ -91,8 +99,8 @@ def union_for_asof(trades: DataFrame, info: DataFrame, seq: str = "seq",
     """Trades and infos as one stream ordered by ``(_ms, _ord, _seq)``.
 
     ``seed`` rows (a carried ``latest_info`` state) are placed ahead of every
-    event of the batch (``_ms`` = Long.MIN) but keep their real key inside the
-    struct, so any newer in-batch info still wins.
+    event of the batch (``_ms`` = Long.MIN, or their own ``at_ms``) but keep their
+    real key inside the struct, so any newer in-batch info still wins.
     """
     t = trades.select(
         *[F.col(c) for c in trades.columns],
@@ -112,10 +120,11 @@ def union_for_asof(trades: DataFrame, info: DataFrame, seq: str = "seq",
         vs = _valid_info(seed)
         parts.append(vs.select(
             "symbol",
-            F.lit(_MIN_LONG).cast("bigint").alias("_ms"),
+            (F.col("at_ms") if "at_ms" in seed.columns else F.lit(_MIN_LONG).cast("bigint")).alias("_ms"),
             F.lit(0).alias("_ord"),
             F.col(seq).alias("_seq"),
             info_key_struct(vs, seq).alias("_info"),
+            F.lit(True).alias("_carried"),
         ))
     out = t
     for p in parts:
@@ -144,7 +153,9 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
     size is at most ``AUTO_PLAIN_MAX_BYTES``, else ``AUTO_BUCKET``.
     ``ttl``: a gap longer than this between consecutive events of a symbol
     starts a new session that carries no info (the 24 h expiry rule).
-    ``seed``: carried state from earlier batches (``latest_info`` output).
+    ``seed``: carried state from earlier batches (``latest_info`` output). With
+    ``ttl`` it says in ``at_ms`` when its symbol's last event before this batch
+    was (not after the batch's first), so that a gap before the batch counts too.
 
     NULL keys, the same in every plan: a trade with a NULL symbol or a NULL
     timestamp matches no info; an info with either is never used.
@@ -159,12 +170,12 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
         w = Window.partitionBy("symbol").orderBy(*order).rowsBetween(*upto_here)
         return _finish(u.withColumn("_cur", F.max("_info").over(w)), trade_cols, F.col("_cur"), missing)
 
-    width = interval_ms(bucket) if bucket is not None else interval_ms(ttl)
-    ttl_ms = interval_ms(ttl) if ttl is not None else None
-    if ttl_ms is not None:
-        # With width <= ttl no in-bucket gap can exceed the ttl, so a session can
-        # only start at a bucket's first event and is decided on the bucket table.
-        width = min(width, ttl_ms)
+    if ttl is None:
+        return _bucketed(trades, info, interval_ms(bucket), trade_cols, missing, seq, seed)
+    # With width <= ttl no in-bucket gap can exceed the ttl, so a session can
+    # only start at a bucket's first event and is decided on the bucket table.
+    ttl_ms = interval_ms(ttl)
+    width = min(interval_ms(bucket), ttl_ms) if bucket is not None else ttl_ms
     # 0. All trades of a symbol at one ms see the same info: solve the as-of once
     #    per distinct (symbol, ms) - map-side combined - and join the answers back.
     times = (trades.select("symbol", "trade_timestamp").distinct()
@@ -174,6 +185,34 @@ def enrich_asof(trades: DataFrame, info: DataFrame, *, missing: str = "sentinel"
     return _project(joined, trade_cols, F.col("_cur"), missing)
 
 
+def _bucketed(trades: DataFrame, info: DataFrame, width: int, trade_cols: list[str], missing: str, seq: str,
+              seed: DataFrame | None) -> DataFrame:
+    """The bucketed plan without sessions (see the module docstring)."""
+    known = F.col("symbol").isNotNull() & F.col("trade_timestamp").isNotNull()
+    u = union_for_asof(trades.where(known), info, seq, seed)
+    u = u.withColumn("_b", F.floor(F.col("_ms") / F.lit(width)))
+    infos = u.where(F.col("_ord") == 0)
+    last = infos.groupBy("symbol", "_b").agg(F.max("_info").alias("_info"))
+    wanted = (trades.where(known)
+              .select("symbol", F.floor(F.col("trade_timestamp") / F.lit(width)).alias("_b")).distinct())
+    before = (Window.partitionBy("symbol").orderBy("_b", "_wanted")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # of one bucket the wanted row comes first: it takes what earlier buckets have left
+    carried = (wanted.withColumn("_wanted", F.lit(0))
+               .unionByName(last.withColumn("_wanted", F.lit(1)), allowMissingColumns=True)
+               .withColumn("_info", F.max("_info").over(before)))
+    seeds = carried.where((F.col("_wanted") == 0) & F.col("_info").isNotNull()).select(
+        "symbol", "_b", F.lit(_MIN_LONG).cast("bigint").alias("_ms"), F.lit(0).alias("_ord"),
+        F.lit(0).cast("bigint").alias("_seq"), "_info")
+    in_bucket = (Window.partitionBy("symbol", "_b").orderBy("_ms", "_ord", "_seq")
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = u.unionByName(seeds, allowMissingColumns=True).withColumn("_cur", F.max("_info").over(in_bucket))
+    found = _finish(rows, trade_cols, F.col("_cur"), missing)
+    # a trade without a symbol or a time matches nothing and is not shuffled
+    none = trades.where(~known).withColumn("_cur", F.lit(None).cast(infos.schema["_info"].dataType))
+    return found.unionByName(_project(none, trade_cols, F.col("_cur"), missing))
+
+
 def _bucketed_answers(u: DataFrame, width: int, ttl_ms: int | None) -> DataFrame:
     """(symbol, trade_timestamp, _cur) for every trade time in ``u``."""
     order = [F.col("_ms"), F.col("_ord"), F.col("_seq")]
@@ -198,10 +237,10 @@ def _bucketed_answers(u: DataFrame, width: int, ttl_ms: int | None) -> DataFrame
     seed_col = F.max("_blast").over(before)
     cols = [F.col("symbol"), F.col("_b"), seed_col.alias("_seed")]
     if ttl_ms is not None:
-        prev_max = F.max("_bmax").over(before)
-        starts = F.when(prev_max.isNull() | (prev_max == _MIN_LONG) | (F.col("_bmin") - prev_max > ttl_ms),
-                        F.col("_bmin"))
-        bk = bk.withColumn("_bstart", starts)
+        if "_carried" in u.columns:
+            carried = u.where("_carried").select("symbol", "_b", "_carried")
+            bk = bk.join(carried, ["symbol", "_b"], "left")
+        bk = bk.withColumn("_bstart", _session_start(before, ttl_ms, "_carried" in u.columns))
         cols.append(F.max("_bstart").over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
                     .alias("_sstart"))
     seeds = bk.select(*cols)
@@ -221,6 +260,50 @@ def _bucketed_answers(u: DataFrame, width: int, ttl_ms: int | None) -> DataFrame
     return j.where(F.col("_ord") == 1).select("symbol", F.col("_ms").alias("trade_timestamp"), "_cur")
 
 
+def _session_start(before, ttl_ms: int, carried: bool):
+    """On the bucket table: the bucket's first event if a session starts there, that is, if no
+    event of the symbol lies before it (a carried one goes on) or the last too long ago."""
+    prev_max = F.max("_bmax").over(before)
+    first = prev_max.isNull() | (prev_max == _MIN_LONG)
+    if carried:
+        first = first & F.col("_carried").isNull()
+    return F.when(first | (F.col("_bmin") - prev_max > ttl_ms), F.col("_bmin"))
+
+
+def carry_sessions(trades: DataFrame, info: DataFrame, ttl: str | int, seed: DataFrame | None = None,
+                   seq: str = "seq") -> DataFrame:
+    """What each symbol of a batch carries on under ``ttl`` (E6): ``latest_info`` columns, NULL
+    where its last session has had no info, and ``last_ms``, its newest event.
+
+    ``seed``: the same from earlier batches, with ``at_ms`` as in ``enrich_asof``. Sessions are
+    told on a table of one row per symbol and ttl-wide bucket."""
+    ttl_ms = interval_ms(ttl)
+    valid = _valid_info(info)
+    times = (trades.select("symbol", F.col("trade_timestamp").alias("_ms"))
+             .unionByName(valid.select("symbol", F.col("info_timestamp").alias("_ms")))
+             .where(F.col("symbol").isNotNull() & F.col("_ms").isNotNull()))
+    extent = (times.groupBy("symbol", F.floor(F.col("_ms") / F.lit(ttl_ms)).alias("_b"))
+              .agg(F.min("_ms").alias("_bmin"), F.max("_ms").alias("_bmax"))
+              .withColumn("_carried", F.lit(None).cast("boolean")))
+    if seed is not None:
+        held = seed.select("symbol", F.floor(F.col("at_ms") / F.lit(ttl_ms)).alias("_b"), F.col("at_ms").alias("_bmin"),
+                           F.col("at_ms").alias("_bmax"), F.lit(True).alias("_carried"))
+        extent = extent.unionByName(held).groupBy("symbol", "_b").agg(
+            F.min("_bmin").alias("_bmin"), F.max("_bmax").alias("_bmax"), F.max("_carried").alias("_carried"))
+    before = Window.partitionBy("symbol").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    last = (extent.withColumn("_start", _session_start(before, ttl_ms, True)).groupBy("symbol")
+            .agg(F.max("_start").alias("_start"), F.max("_bmax").alias("last_ms")))
+    known = valid.select("symbol", *INFO_FIELDS, seq).join(last, "symbol").where(
+        F.col("_start").isNull() | (F.col("info_timestamp") >= F.col("_start")))
+    if seed is not None:
+        old = seed.withColumnRenamed("last_ms", "_last")
+        last = (last.join(old.select("symbol", "_last"), "symbol", "left")
+                .withColumn("last_ms", F.greatest("last_ms", "_last")).drop("_last"))
+        known = known.unionByName(_valid_info(seed).select("symbol", *INFO_FIELDS, seq)
+                                  .join(last.where("_start IS NULL"), "symbol"))
+    return last.join(latest_info(known, seq), "symbol", "left").select("symbol", *INFO_FIELDS, seq, "last_ms")
+
+
 def latest_info(info: DataFrame, seq: str = "seq", seed: DataFrame | None = None) -> DataFrame:
     """Newest info per symbol; of equal timestamps the first by ``seq``.
 

@@ -2,18 +2,18 @@
 
 NOT NULL, VARCHAR(n), DECIMAL(p,s) range and UNIQUE keys are evaluated as
 columns; rows that fail are returned with the reason instead of being written.
-UNIQUE keeps the first row per key (by ``seq``) and rejects the other copies.
+UNIQUE keeps the first valid row per key (by ``seq``, then by every other column) and rejects
+the other copies. One pass: the reason is a column of each row, and rows of a key are numbered
+in one window over the key, so the input is computed and shuffled once for both results.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .latest import dedup_first, duplicates
-
 
 @dataclass
 class Constraints:
@@ -63,10 +63,9 @@ def check_constraints(df: DataFrame, spec: Constraints) -> tuple[DataFrame, Data
         checks.append(F.when(missing, F.lit(f"{c} out of decimal({p},{s})")))
     reason = F.concat_ws("; ", *checks) if checks else F.lit("")
     tagged = df.withColumn("reason", reason)
-    bad_rows = tagged.where(F.col("reason") != "")
-    good = tagged.where(F.col("reason") == "").drop("reason")
-    if not spec.unique:
-        return good, bad_rows
-    kept = dedup_first(good, list(spec.unique), list(spec.order))
-    dups = duplicates(good, kept).withColumn("reason", F.lit("duplicate key"))
-    return kept, bad_rows.unionByName(dups)
+    if spec.unique:
+        rest = [c for c in df.columns if c not in spec.unique and c not in spec.order]
+        of_key = Window.partitionBy(*spec.unique, F.col("reason") == "").orderBy(*spec.order, *rest)
+        again = (F.col("reason") == "") & (F.row_number().over(of_key) > 1)
+        tagged = tagged.withColumn("reason", F.when(again, F.lit("duplicate key")).otherwise(F.col("reason")))
+    return tagged.where(F.col("reason") == "").drop("reason"), tagged.where(F.col("reason") != "")

@@ -161,9 +161,11 @@ def q_valid_trades(spark, sf_dir):
 
 
 @register("constraint_rejects",
-          O.with_ctes(O.TIES_CTE, O.asof_ctes(), O.ENRICHED_SENTINEL) + O.constraint_rejects_sql())
+          O.with_ctes(O.OVERFLOW_CTE, O.asof_ctes(), O.ENRICHED_TRY) + O.constraint_rejects_sql())
 def q_constraint_rejects(spark, sf_dir):
-    _ok, rejects = constraints.check_constraints(_ties_enriched(spark, sf_dir), constraints.ENRICHED_CONSTRAINTS)
+    """Second and later rows of a key, and trades whose value does not fit."""
+    t, i = fx.trades_with_overflow(spark, sf_dir), fx.info_from_orders(spark, sf_dir)
+    _ok, rejects = constraints.check_constraints(asof.enrich_asof(t, i), constraints.ENRICHED_CONSTRAINTS)
     return rejects
 
 
@@ -279,6 +281,22 @@ def q_stream_enrich_ttl(spark, sf_dir):
     return P.enriched_rows(spark, lay)
 
 
+@register("stream_enrich_ttl_batchwise", O.enriched_sql(ttl_ms=86_400_000) + "\nSELECT * FROM enriched")
+def q_stream_enrich_ttl_batchwise(spark, sf_dir):
+    """The same on the foreachBatch engine: each symbol's last event is part of its state."""
+    t, i = event_inputs(spark, sf_dir)
+    return P.enriched_rows(spark, P.run_enrichment_only(spark, t, i, k=4, ttl="24 hours", name="enrich-ttl"))
+
+
+@register("stream_enrich_counters", _ENRICHED_SQL + O.batch_counters_sql(3))
+def q_stream_enrich_counters(spark, sf_dir):
+    """Enriched and unknown trades of every micro-batch of the default engine."""
+    t, i = event_inputs(spark, sf_dir)
+    lay = P.run_enrichment_only(spark, t, i, k=3, name="enrich-counters")
+    return tbl.read_table(spark, lay.counters).select(
+        F.col("batch_id").cast("long").alias("batch_id"), "enriched_count", "unknown_count")
+
+
 @register("stream_enrich_history", _ENRICHED_SQL + "\nSELECT * FROM enriched")
 def q_stream_enrich_history(spark, sf_dir):
     t, i = event_inputs(spark, sf_dir)
@@ -330,6 +348,49 @@ def q_early_results(spark, sf_dir):
     return tbl.read_table(spark, lay.metrics).select(*P.METRIC_COLS)
 
 
+_DENSE_SQL = O.enriched_sql(fixture=O.DENSE_CTE)
+_LATE_METRICS = _DENSE_SQL + O.watermarked_sql(4, O.LATE_ARRIVAL)
+
+
+@register("stream_enrich_late_history", _DENSE_SQL + "\nSELECT * FROM enriched")
+def q_stream_enrich_late_history(spark, sf_dir):
+    """Late trades get the info as of their own time, from the infos kept by day."""
+    t, i = fx.dense_events(spark, sf_dir)
+    lay = P.run_enrichment_only(spark, t, i, k=4, late="history", arrival="arrival_ms", name="late-history")
+    return P.enriched_rows(spark, lay)
+
+
+@register("pipeline_staged_late", _LATE_METRICS)
+def q_pipeline_staged_late(spark, sf_dir):
+    """Rows behind the watermark of 5 minutes are not counted."""
+    t, i = fx.dense_events(spark, sf_dir)
+    return P.latest_metrics(spark, P.run_staged(spark, t, i, k=4, arrival="arrival_ms", late="history"))
+
+
+@register("pipeline_unified_late", _LATE_METRICS)
+def q_pipeline_unified_late(spark, sf_dir):
+    """The one-query form leaves out the same rows."""
+    t, i = fx.dense_events(spark, sf_dir)
+    return P.latest_metrics(spark, P.run_unified(spark, t, i, k=4, arrival="arrival_ms", late="history"))
+
+
+@register("early_event_results", _DENSE_SQL + O.firing_sql(3))
+def q_early_event_results(spark, sf_dir):
+    """Every emission of one-minute windows that fire at each half minute of event time."""
+    t, i = fx.dense_events(spark, sf_dir)
+    lay = P.run_firing(spark, t, i, k=3, name="early-event")
+    return tbl.read_table(spark, lay.metrics).select(*P.METRIC_COLS, "kind")
+
+
+@register("late_corrections", _DENSE_SQL + O.firing_sql(3, O.LATE_ARRIVAL))
+def q_late_corrections(spark, sf_dir):
+    """The same with late trades: into open windows, into closed ones (corrections up to five
+    minutes after the end), and later still (dropped)."""
+    t, i = fx.dense_events(spark, sf_dir)
+    lay = P.run_firing(spark, t, i, k=3, arrival="arrival_ms", name="late-corrections")
+    return tbl.read_table(spark, lay.metrics).select(*P.METRIC_COLS, "kind")
+
+
 # ---- keyed sinks, latest views, retention, compaction, history -------------------
 
 def _ties_enriched(spark, sf_dir):
@@ -403,7 +464,8 @@ def q_retention_kept(spark, sf_dir):
     """Metrics stamped with ingestion_time = window_end, then rows older than 2 days deleted."""
     m = metrics.sector_metrics(enriched(spark, sf_dir), "1 minute")
     path = scratch_path(spark, "retain")
-    tbl.write_batch(m.withColumn("ingestion_time", F.col("window_end")), path, 0, stamp_ingestion=False)
+    tbl.write_batch(m.withColumn("ingestion_time", F.col("window_end")), path, 0, stamp_ingestion=False,
+                    day_of="ingestion_time")
     now = m.agg(F.max("window_end")).first()[0]
     tbl.retain(spark, path, "ingestion_time", "2 days", now=now)
     return tbl.read_table(spark, path).drop("batch_id")

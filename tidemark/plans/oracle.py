@@ -160,6 +160,17 @@ SELECT symbol, price, volume, trade_timestamp, seq, f_company AS company, f_sect
 FROM ff WHERE ord = 1"""
 
 
+#: Trades whose value does not fit DECIMAL(28,8): every 997th has the largest price and volume.
+OVERFLOW_CTE = TIES_CTE.replace(
+    "CAST(l_extendedprice AS DECIMAL(18,2)) AS price",
+    "CASE WHEN (l_orderkey * 8 + l_linenumber) % 997 = 0 THEN CAST(9999999999999999.99 AS DECIMAL(18,2))"
+    " ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS price").replace(
+    "CAST(l_quantity AS INTEGER) AS volume",
+    "CASE WHEN (l_orderkey * 8 + l_linenumber) % 997 = 0 THEN 2147483647 ELSE CAST(l_quantity AS INTEGER) END AS volume")
+ENRICHED_TRY = ENRICHED_SENTINEL.replace(
+    "CAST(price * volume", "TRY_CAST(CAST(price AS DECIMAL(28,2)) * volume")
+
+
 def constraint_rejects_sql() -> str:
     return """,
 chk AS (
@@ -171,17 +182,15 @@ chk AS (
       CASE WHEN length(symbol) > 8 THEN 'symbol longer than 8' END,
       CASE WHEN length(company) > 20 THEN 'company longer than 20' END,
       CASE WHEN length(sector) > 20 THEN 'sector longer than 20' END,
-      CASE WHEN price IS NOT NULL AND TRY_CAST(price AS DECIMAL(28,8)) IS NULL THEN 'price out of decimal(28,8)' END,
-      CASE WHEN trade_value IS NOT NULL AND TRY_CAST(trade_value AS DECIMAL(28,8)) IS NULL
+      CASE WHEN trade_value IS NULL AND price IS NOT NULL AND volume IS NOT NULL
            THEN 'trade_value out of decimal(28,8)' END) AS reason
   FROM enriched),
-good AS (
-  SELECT *, row_number() OVER (PARTITION BY symbol, trade_timestamp, volume
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol, trade_timestamp, volume, reason = ''
                                ORDER BY seq, price, company, sector, market_cap, info_timestamp, trade_value) AS rn
-  FROM chk WHERE reason = '')
-SELECT * EXCLUDE (rn) REPLACE ('duplicate key' AS reason) FROM good WHERE rn > 1
-UNION ALL
-SELECT * FROM chk WHERE reason <> ''"""
+  FROM chk)
+SELECT * EXCLUDE (rn) REPLACE (CASE WHEN reason = '' THEN 'duplicate key' ELSE reason END AS reason)
+FROM numbered WHERE reason <> '' OR rn > 1"""
 
 
 def metrics_cte(width_ms: int) -> str:
@@ -250,3 +259,68 @@ HOT_CTE = TIES_CTE.replace(
     "'H' || CAST(l_suppkey * 3 // (SELECT n FROM nsup) AS VARCHAR) AS symbol").replace(
     "'U' || CAST(o_custkey % (SELECT n FROM nsup) AS VARCHAR) AS symbol",
     "'H' || CAST((o_custkey % (SELECT n FROM nsup)) * 3 // (SELECT n FROM nsup) AS VARCHAR) AS symbol")
+
+
+#: Times divided by 200, and when each trade is delivered (sources/fixtures.py).
+DENSE_CTE = FIXTURE_CTE.replace("epoch_us(ts) // 1000", "epoch_us(ts) // 200000")
+LATE_ARRIVAL = """trade_timestamp + CASE seq % 10 WHEN 0 THEN 90000 WHEN 1 THEN 200000 WHEN 2 THEN 700000 ELSE 0 END"""
+
+
+def firing_sql(k: int, arrival: str = "trade_timestamp", width: int = 60_000, every: int = 30_000, delay: int = 5_000,
+               lateness: int = 300_000) -> str:
+    """Emissions of firing windows fed in k slices of equal width in arrival time. ``old`` and
+    ``clock`` are the closing clock before a slice and after it."""
+    return f""",
+arrived AS (SELECT *, {arrival} AS arrival, (trade_timestamp // {width} + 1) * {width} AS w_end FROM enriched),
+b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM arrived),
+cuts AS (SELECT lo + (hi - lo) * i // {k} AS c FROM b, range(1, {k}) r(i)),
+sl AS (SELECT a.*, (SELECT count(*) FROM cuts WHERE a.arrival >= c) AS s FROM arrived a),
+newest AS (SELECT s, max(max(trade_timestamp)) OVER (ORDER BY s) - {delay} AS clock FROM sl GROUP BY s),
+clocks AS (SELECT s, clock, coalesce(lag(clock) OVER (ORDER BY s), 0) AS old FROM newest),
+kept AS (SELECT sl.*, c.old FROM sl JOIN clocks c ON sl.s = c.s WHERE sl.w_end + {lateness} > c.old),
+parts AS (SELECT sector, w_end, s, old, min(trade_timestamp) AS first_ms FROM kept GROUP BY sector, w_end, s, old),
+begun AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY sector, w_end ORDER BY s) = 1),
+marks AS (
+  SELECT g.sector, g.w_end, c.s, c.clock,
+         least(g.w_end, greatest((g.first_ms // {every} + 1) * {every}, (c.old // {every} + 1) * {every})) AS mark
+  FROM begun g JOIN clocks c ON c.s >= g.s AND c.old < g.w_end),
+fired AS (
+  SELECT m.sector, m.w_end, m.s, CASE WHEN m.w_end <= m.clock THEN 'final' ELSE 'early' END AS kind, count(*) AS n
+  FROM marks m JOIN kept x ON x.sector = m.sector AND x.w_end = m.w_end AND x.s <= m.s
+  WHERE m.mark <= m.clock GROUP BY m.sector, m.w_end, m.s, m.clock),
+changed AS (SELECT *, lag(n) OVER (PARTITION BY sector, w_end ORDER BY s) AS had FROM fired),
+emissions AS (
+  SELECT sector, w_end, s, kind FROM changed WHERE kind = 'final' OR had IS NULL OR had <> n
+  UNION ALL
+  SELECT sector, w_end, s, 'correction' FROM parts WHERE w_end <= old)
+SELECT epoch_ms(e.w_end - {width}) AS window_start, epoch_ms(e.w_end) AS window_end, e.sector,
+       count(*) AS trade_count,
+       CAST(sum(x.trade_value) AS DECIMAL(28,8)) AS total_value,
+       CAST(round(CAST(sum(x.price) AS DECIMAL(28,12)) / count(*), 8) AS DECIMAL(28,8)) AS avg_price,
+       CAST(sum(x.volume) AS BIGINT) AS total_volume, e.kind
+FROM emissions e JOIN kept x ON x.sector = e.sector AND x.w_end = e.w_end AND x.s <= e.s
+GROUP BY e.sector, e.w_end, e.s, e.kind"""
+
+
+def watermarked_sql(k: int, arrival: str, width: int = 60_000, delay: int = 300_000) -> str:
+    """Window metrics of the rows that are not too late: their window ends after the newest time of
+    all earlier slices less the delay."""
+    return f""",
+arrived AS (SELECT *, {arrival} AS arrival, (trade_timestamp // {width} + 1) * {width} AS w_end FROM enriched),
+b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM arrived),
+cuts AS (SELECT lo + (hi - lo) * i // {k} AS c FROM b, range(1, {k}) r(i)),
+sl AS (SELECT a.*, (SELECT count(*) FROM cuts WHERE a.arrival >= c) AS s FROM arrived a),
+newest AS (SELECT s, max(max(trade_timestamp)) OVER (ORDER BY s) AS t FROM sl GROUP BY s),
+kept AS (SELECT sl.* FROM sl LEFT JOIN newest n ON n.s = sl.s - 1 WHERE n.t IS NULL OR sl.w_end > n.t - {delay})
+""" + metrics_select(width, "kept")
+
+
+def batch_counters_sql(k: int) -> str:
+    """Enriched and unknown trades of each of k slices of equal width."""
+    return f""",
+b AS (SELECT min(trade_timestamp) AS lo, max(trade_timestamp) AS hi FROM enriched),
+cuts AS (SELECT lo + (hi - lo) * i // {k} AS c FROM b, range(1, {k}) r(i)),
+sl AS (SELECT e.*, (SELECT count(*) FROM cuts WHERE e.trade_timestamp >= c) AS batch_id FROM enriched e)
+SELECT batch_id, count(*) AS enriched_count,
+       CAST(sum(CASE WHEN info_timestamp = 0 THEN 1 ELSE 0 END) AS BIGINT) AS unknown_count
+FROM sl GROUP BY batch_id"""

@@ -32,6 +32,7 @@ from ..operators.stats import observe_enrichment
 from ..streaming.enrich_batches import enrich_micro_batch, enrich_micro_batch_history
 from ..streaming.enrich_stream import enrich_stream, stream_union
 from ..streaming.feed import feed_in_slices
+from ..streaming.window_state import firing_metrics
 
 # Serving-table row checks (NOT NULL, VARCHAR widths, DECIMAL range); uniqueness
 # of the serving rows is the upsert's job, not a per-batch check.
@@ -83,23 +84,25 @@ def start_enrichment(spark: SparkSession, lay: Layout, *, engine: str = "batchwi
     """Query A: enriched trades appended to the enriched table, one folder per batch.
 
     ``engine='batchwise'`` (default): foreachBatch + seeded as-of, state in a
-    table (no Python on the data path); ``late='history'`` keeps an info log and
-    is exact for any lateness. ``engine='state'``: the
+    table (no Python on the data path), with ``ttl``; ``late='history'`` keeps the
+    infos by day and is exact for any lateness. Each batch's counters (E10) go to
+    a table of their own. ``engine='state'``: the
     ``transformWithStateInPandas`` operator (TTL timers; its ``late='history'``
     is exact up to the watermark delay).
     """
     if engine == "batchwise":
-        ignored = [k for k in ("ttl", "watermark") if kw.get(k) is not None]
-        if ignored:
-            raise ValueError(f"engine='batchwise' has no {' or '.join(ignored)}; use engine='state'")
+        history, ttl = kw.get("late", "current_state") == "history", kw.get("ttl")
+        if kw.get("watermark") is not None:
+            raise ValueError("engine='batchwise' drops no row, so it has no watermark; use engine='state'")
+        if history and ttl is not None:
+            raise ValueError("ttl is supported with late='current_state'")
         t, i = _parsed_topics(spark, lay, kw.get("max_files"))
-        history = kw.get("late", "current_state") == "history"
 
         def fb(df: DataFrame, batch_id: int) -> None:
             if history:
                 enrich_micro_batch_history(df, batch_id, lay.enriched, lay.info_log)
             else:
-                enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state)
+                enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state, ttl=ttl, counters_path=lay.counters)
 
         return (stream_union(t, i).writeStream.foreachBatch(fb)
                 .option("checkpointLocation", lay.ckpt_enrich).trigger(availableNow=True).start())
@@ -133,6 +136,31 @@ def start_metrics(spark: SparkSession, lay: Layout, width: str = "1 minute", wat
             .option("checkpointLocation", lay.ckpt_metrics).trigger(availableNow=True).start())
 
 
+def start_firing_metrics(spark: SparkSession, lay: Layout, width: str = "1 minute", every: str = "30 seconds",
+                         delay: str = "5 seconds", lateness: str = "5 minutes"):
+    """Query C with early results and corrections by event time (W4, W7): each emission is
+    upserted by (window_start, sector), so the newest one is the window's result."""
+    src = tbl.read_table_stream(spark, lay.enriched, _ENRICHED_TABLE_SCHEMA)
+    m = firing_metrics(src, width, every=every, delay=delay, lateness=lateness)
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        write_checked(df, lay.metrics, batch_id, METRICS_CONSTRAINTS,
+                      lambda ok: upsert(ok, lay.metrics, batch_id, METRIC_KEYS, policy="update"))
+
+    return (m.writeStream.foreachBatch(sink).outputMode("append")
+            .option("checkpointLocation", lay.ckpt_metrics).trigger(availableNow=True).start())
+
+
+def run_firing(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: int, arrival: str = "trade_timestamp",
+               name: str = "firing", **windows) -> Layout:
+    """Enrichment by event time, then firing windows; trades are delivered in the order of ``arrival``."""
+    lay = layout(spark, name)
+    feed_in_slices({"trades": (trades, arrival, lay.in_trades), "info": (info, "info_timestamp", lay.in_info)}, k,
+                   [lambda: start_enrichment(spark, lay, late="history"),
+                    lambda: start_firing_metrics(spark, lay, **windows)])
+    return lay
+
+
 def start_rejects(spark: SparkSession, lay: Layout, raw: dict[str, DataFrame] | None = None, **trigger):
     """Every document that the parsers turn down (malformed, or a NULL key), kept with its
     topic, text and reason in the rejects table."""
@@ -163,23 +191,24 @@ def start_serving_copy(spark: SparkSession, lay: Layout):
 
 def run_staged(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: int = 3, width: str = "1 minute",
                name: str = "staged", serving: bool = False, output_mode: str = "update",
-               rejects: bool = False) -> Layout:
+               rejects: bool = False, arrival: str = "trade_timestamp", late: str = "current_state") -> Layout:
     lay = layout(spark, name)
-    runs = [lambda: start_enrichment(spark, lay),
+    runs = [lambda: start_enrichment(spark, lay, late=late),
             lambda: start_metrics(spark, lay, width, output_mode=output_mode)]
     if serving:
         runs.append(lambda: start_serving_copy(spark, lay))
     if rejects:
         runs.append(lambda: start_rejects(spark, lay))
-    feed_in_slices({"trades": (trades, "trade_timestamp", lay.in_trades),
+    feed_in_slices({"trades": (trades, arrival, lay.in_trades),
                     "info": (info, "info_timestamp", lay.in_info)}, k, runs)
     return lay
 
 
 def run_enrichment_only(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: int = 3,
-                        name: str = "enrich", engine: str = "batchwise", **kw) -> Layout:
+                        name: str = "enrich", engine: str = "batchwise", arrival: str = "trade_timestamp",
+                        **kw) -> Layout:
     lay = layout(spark, name)
-    feed_in_slices({"trades": (trades, "trade_timestamp", lay.in_trades),
+    feed_in_slices({"trades": (trades, arrival, lay.in_trades),
                     "info": (info, "info_timestamp", lay.in_info)}, k,
                    [lambda: start_enrichment(spark, lay, engine=engine, **kw)])
     return lay
@@ -187,6 +216,15 @@ def run_enrichment_only(spark: SparkSession, trades: DataFrame, info: DataFrame,
 
 # ---- unified: one query, two sinks --------------------------------------------------
 
+def not_too_late(fresh: DataFrame, before: DataFrame | None, width: str, delay: str) -> DataFrame:
+    """The rows whose window is still open: what a watermark of ``delay`` over the rows of earlier
+    batches (``before``) keeps in a window aggregation."""
+    newest = before.agg(F.max("event_timestamp")).first()[0] if before is not None else None
+    if newest is None:
+        return fresh
+    return fresh.where(F.window("event_timestamp", width)["end"] > F.lit(newest) - F.expr(f"INTERVAL {delay}"))
+
+
 def merge_metrics(batch: DataFrame, path: str, batch_id: int, width: str) -> int:
     """Fold a batch's partial sums into the metrics log (update policy).
 
@@ -220,26 +258,33 @@ def merge_metrics(batch: DataFrame, path: str, batch_id: int, width: str) -> int
         part.unpersist()
 
 
-def start_unified(spark: SparkSession, lay: Layout, width: str = "1 minute"):
+def start_unified(spark: SparkSession, lay: Layout, width: str = "1 minute", watermark: str = "5 minutes",
+                  late: str = "current_state"):
     """One query, two sinks: each micro-batch is enriched (seeded, bucketed plan),
-    written to the enriched table, and its partial metrics merged into the log."""
+    written to the enriched table, and its partial metrics merged into the log.
+    Rows too late for their window are left out of the metrics as in the staged form."""
     t, i = _parsed_topics(spark, lay)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state)
+        if late == "history":
+            enrich_micro_batch_history(df, batch_id, lay.enriched, lay.info_log)
+        else:
+            enrich_micro_batch(df, batch_id, lay.enriched, lay.enrich_state, counters_path=lay.counters)
         fresh = spark.read.parquet(f"{lay.enriched}/data/batch_id={batch_id}")
-        merge_metrics(fresh, lay.metrics, batch_id, width)
+        rows = tbl.read_table(spark, lay.enriched)
+        before = rows.where(F.col("batch_id") < batch_id) if batch_id else None
+        merge_metrics(not_too_late(fresh, before, width, watermark), lay.metrics, batch_id, width)
 
     return (stream_union(t, i).writeStream.foreachBatch(sink)
             .option("checkpointLocation", lay.ckpt_unified).trigger(availableNow=True).start())
 
 
 def run_unified(spark: SparkSession, trades: DataFrame, info: DataFrame, *, k: int = 3,
-                width: str = "1 minute", name: str = "unified") -> Layout:
+                width: str = "1 minute", name: str = "unified", arrival: str = "trade_timestamp", **kw) -> Layout:
     lay = layout(spark, name)
-    feed_in_slices({"trades": (trades, "trade_timestamp", lay.in_trades),
+    feed_in_slices({"trades": (trades, arrival, lay.in_trades),
                     "info": (info, "info_timestamp", lay.in_info)}, k,
-                   [lambda: start_unified(spark, lay, width)])
+                   [lambda: start_unified(spark, lay, width, **kw)])
     return lay
 
 

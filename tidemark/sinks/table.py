@@ -1,21 +1,19 @@
-"""A replay-safe, append-oriented lake table on plain Parquet.
+"""A lake table of micro-batches on plain Parquet.
 
-Layout under ``path``::
+    data/batch_id=N/[day=D/]            the rows of batch N, published whole by one rename
+    base/upto=N/gen=G/op=X/[day=D/]     all live rows of batches up to N rewritten (compaction, folding)
+    retained/column=C/from=US/upto=N    rows with C before that microsecond are gone
 
-    data/batch_id=N/        one folder per write, overwritten on replay of batch N
-    compacted/v=V/          rewrites (compaction, retention) - never streamed
-    _history/V.json         one JSON object per commit: version, operation,
-                            timestamp, batch_id, rows, adds, removes
-
-Batch readers take the live folders from the history; streaming readers follow
-``data/`` only, so a compaction (which changes no data) is never seen as new
-rows by a downstream stream. One writer per table is assumed.
+There is no log: folder names say all there is to know, and Spark's partition pruning reads
+what they say. Batch readers take the newest base and the batches after it; streaming
+readers follow ``data/`` only, which no rewrite touches, so a compaction is never seen as
+new rows. Days are those of a column chosen by the writer, so retention can drop whole
+folders unread. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import math
 import uuid
 
@@ -23,17 +21,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HISTORY_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("rows", T.LongType()),
-    T.StructField("adds", T.ArrayType(T.StringType())),
-    T.StructField("removes", T.ArrayType(T.StringType())),
-])
+from ..functions.time import interval_ms
 
 TARGET_FILE_BYTES = 134_217_728  # 128 MB
+DAY_US = 86_400_000_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -47,158 +38,142 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-# Commit files are immutable once written, so their parsed content is cached.
-_ENTRY_CACHE: dict[str, dict] = {}
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
-
-
-def _entries(spark: SparkSession, path: str) -> list[dict]:
-    """The commit log, oldest first. It is metadata (one small file per commit),
-    read on the driver through the Hadoop FileSystem API - no Spark job."""
-    fs, hp = _fs(spark, f"{path}/_history")
-    if not fs.exists(hp):
-        return []
-    out = []
-    for st in fs.listStatus(hp):
-        name = st.getPath().getName()
-        if not name.endswith(".json"):
-            continue
-        key = f"{path}/_history/{name}"
-        if key not in _ENTRY_CACHE:
-            _ENTRY_CACHE[key] = json.loads(_read_text(spark, key))
-        out.append(_ENTRY_CACHE[key])
-    return sorted(out, key=lambda e: e["version"])
+def _values(spark: SparkSession, path: str, key: str) -> list[str]:
+    """The values V of the folders ``key=V`` of a path."""
+    return [n.split("=", 1)[1] for n in _names(spark, path) if n.startswith(f"{key}=")]
 
 
-def history(spark: SparkSession, path: str) -> DataFrame:
-    """Every commit of the table, one row each (M2)."""
-    rows = [(e["version"], dt.datetime.fromisoformat(e["timestamp"]), e["operation"], e.get("batch_id"),
-             e.get("rows"), e.get("adds", []), e.get("removes", [])) for e in _entries(spark, path)]
-    return spark.createDataFrame(rows, HISTORY_SCHEMA)
+# --- what is there -------------------------------------------------------------------------------
 
+def committed_batches(spark: SparkSession, path: str) -> set[int]:
+    return {int(v) for v in _values(spark, f"{path}/data", "batch_id")}
 
-def recent_history(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    """The last ``n`` commits, newest first: version, operation, timestamp (L3)."""
-    return history(spark, path).orderBy(F.col("version").desc()).limit(n).select(
-        "version", "operation", "timestamp", "batch_id", "rows")
+
+def _base(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """(upto, generation) of the newest base."""
+    upto = max((int(v) for v in _values(spark, f"{path}/base", "upto")), default=None)
+    if upto is None:
+        return None
+    return upto, max(int(v) for v in _values(spark, f"{path}/base/upto={upto}", "gen"))
 
 
 def live_dirs(spark: SparkSession, path: str) -> list[str]:
-    live: dict[str, None] = {}
-    for e in _entries(spark, path):
-        for r in e.get("removes") or []:
-            live.pop(r, None)
-        for a in e.get("adds") or []:
-            live[a] = None
-    return list(live)
-
-
-def _commit(spark: SparkSession, path: str, operation: str, rows: int | None, adds: list[str],
-            removes: list[str], batch_id: int | None = None, query: str | None = None) -> int:
-    """Append one commit file; a version that already exists is never overwritten."""
-    entries = _entries(spark, path)
-    version = (entries[-1]["version"] + 1) if entries else 0
-    entry = {"version": version, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(),
-             "operation": operation, "batch_id": batch_id, "query": query, "rows": rows, "adds": adds, "removes": removes}
-    fs, p = _fs(spark, f"{path}/_history/{version:020d}.json")
-    # Write under a temporary name (readers skip it) and rename into place, so a
-    # crash mid-write never leaves a half-written commit that readers would parse.
-    _, tmp = _fs(spark, f"{path}/_history/.{version:020d}.json.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, False)
-    try:
-        out.write(bytearray(json.dumps(entry).encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p) or not fs.rename(tmp, p):
-        fs.delete(tmp, False)
-        raise RuntimeError(f"commit {version} of {path} was taken by another writer")
-    return version
+    """The folders that batch readers take."""
+    base = _base(spark, path)
+    dirs = [f"base/upto={base[0]}/gen={base[1]}"] if base else []
+    return dirs + [f"data/batch_id={b}" for b in sorted(committed_batches(spark, path)) if not base or b > base[0]]
 
 
-def committed_batches(spark: SparkSession, path: str) -> set[int]:
-    return {e["batch_id"] for e in _entries(spark, path)
-            if e["operation"] == "append" and e.get("batch_id") is not None}
+def _limits(spark: SparkSession, path: str) -> dict[str, int]:
+    """Column -> epoch microsecond before which rows are gone."""
+    return {c: max(int(v) for v in _values(spark, f"{path}/retained/column={c}", "from"))
+            for c in _values(spark, f"{path}/retained", "column")}
+
+
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """Every write of the table, one row each (M2): an aggregate over its batches and its newest
+    base (a rewrite of batches up to N is version N + 1), and its retentions."""
+    parts = []
+    changed = F.max("_metadata.file_modification_time").alias("timestamp")
+    n = F.count(F.lit(1)).alias("rows")
+    if committed_batches(spark, path):
+        data = spark.read.parquet(f"{path}/data")
+        parts.append(data.groupBy(F.col("batch_id").cast("long").alias("version")).agg(changed, n).select(
+            "version", "timestamp", F.lit("append").alias("operation"), F.col("version").alias("batch_id"), "rows"))
+    if base := _base(spark, path):
+        rewritten = spark.read.parquet(f"{path}/base/upto={base[0]}/gen={base[1]}")
+        parts.append(rewritten.groupBy(F.col("op").alias("operation")).agg(changed, n).select(
+            F.lit(base[0] + 1).cast("long").alias("version"), "timestamp", "operation",
+            F.lit(None).cast("long").alias("batch_id"), "rows"))
+    fs = _fs(spark, path)[0]
+    gone = []
+    for c in _values(spark, f"{path}/retained", "column"):
+        for v in _values(spark, f"{path}/retained/column={c}", "from"):
+            for name in _names(spark, f"{path}/retained/column={c}/from={v}"):
+                made = fs.getFileStatus(_fs(spark, f"{path}/retained/column={c}/from={v}/{name}")[1]).getModificationTime()
+                gone.append((int(name.split("=")[1]) + 1, dt.datetime.fromtimestamp(made / 1000), "delete", None, None))
+    parts.append(spark.createDataFrame(gone, "version long, timestamp timestamp, operation string, batch_id long, rows long"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def recent_history(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
+    """The last ``n`` writes, newest first: version, operation, timestamp (L3)."""
+    return history(spark, path).orderBy(F.col("version").desc(), F.col("timestamp").desc()).limit(n).select(
+        "version", "operation", "timestamp", "batch_id", "rows")
 
 
-def _write_counted(df: DataFrame, target: str) -> int:
+# --- writing -------------------------------------------------------------------------------------
+
+def _publish(df: DataFrame, path: str, target: str, day_of: str | None = None, mark: str | None = None) -> int:
+    """Writes beside the table and renames into place (``mark``: an empty file, which readers skip); the
+    number of rows."""
+    spark = df.sparkSession
+    staged = f"{path}/_staging/{uuid.uuid4().hex}"
     obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+    out = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    if day_of:
+        out.withColumn("day", F.floor(F.unix_micros(day_of) / F.lit(DAY_US)).cast("long")).write.partitionBy("day").parquet(staged)
+    else:
+        out.write.parquet(staged)
+    fs, to = _fs(spark, f"{path}/{target}")
+    if mark:
+        fs.create(_fs(spark, f"{staged}/{mark}")[1], False).close()
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(_fs(spark, staged)[1], to):
+        raise RuntimeError(f"{target} of {path} could not be published")
     return int(obs.get["n"])
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *, stamp_ingestion: bool = True,
-                operation: str = "append") -> int:
-    """Write one micro-batch (K1), once.
-
-    A replayed batch is already there and is not written again, so a stream that
-    reads the table's files never sees its rows twice. Rows are written outside the
-    streamed folder and published by one rename; a batch that was published but not
-    committed is only committed. A batch id that another streaming query has
-    committed (a new checkpoint on an old table) is an error, not an overwrite.
+                day_of: str | None = None) -> int:
+    """Write one micro-batch (K1), once; the number of rows, or -1 if it is there already.
+
+    A replayed batch is not written again, so a stream that reads the table's files never
+    sees its rows twice. A batch id that another streaming query has written (a new
+    checkpoint on an old table) is an error. ``day_of``: a timestamp column whose day
+    (days since 1970, UTC) becomes a folder level, for ``retain``.
     """
     spark = df.sparkSession
     query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    done = [e for e in _entries(spark, path) if e["operation"] == "append" and e.get("batch_id") == batch_id]
-    if done:
-        if query and done[0].get("query") and done[0]["query"] != query:
+    target = f"data/batch_id={batch_id}"
+    if _exists(spark, f"{path}/{target}"):
+        by = [n.removeprefix("_query-") for n in _names(spark, f"{path}/{target}") if n.startswith("_query-")]
+        if query and by and by[0] != query:
             raise ValueError(f"batch {batch_id} of {path} was written by another query; a new checkpoint needs a new table")
         return -1
-    rel = f"data/batch_id={batch_id}"
-    fs, target = _fs(spark, f"{path}/{rel}")
-    if fs.exists(target):
-        rows = spark.read.parquet(f"{path}/{rel}").count()
-    else:
-        out = df.withColumn("ingestion_time", F.current_timestamp()) if stamp_ingestion else df
-        staged = f"{path}/_staging/batch_id={batch_id}-{uuid.uuid4().hex}"
-        rows = _write_counted(out, staged)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(_fs(spark, staged)[1], target):
-            raise RuntimeError(f"batch {batch_id} of {path} could not be published")
-    return _commit(spark, path, operation, rows, [rel], [], batch_id, query)
+    out = df.withColumn("ingestion_time", F.current_timestamp()) if stamp_ingestion else df
+    return _publish(out, path, target, day_of, f"_query-{query}" if query else None)
 
 
-def _read_dirs(spark: SparkSession, path: str, dirs: list[str], with_dir: bool = False) -> DataFrame | None:
-    """Rows of the given folders; ``with_dir`` adds the folder each row came from."""
-    parts = []
-    raw = [d for d in dirs if d.startswith("data/")]
-    rewritten = [d for d in dirs if not d.startswith("data/")]
-    if raw:
-        parts.append(spark.read.option("basePath", f"{path}/data").parquet(*[f"{path}/{d}" for d in raw]))
-    if rewritten:
-        parts.append(spark.read.parquet(*[f"{path}/{d}" for d in rewritten]))
-    if with_dir:
-        parts = [p.withColumn("_dir", F.regexp_extract(
-            F.col("_metadata.file_path"), r"((?:data/batch_id=|compacted/v=)[^/]+)/[^/]*$", 1)) for p in parts]
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
-
+# --- reading -------------------------------------------------------------------------------------
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Batch handle on the live rows (S3). ``batch_id`` is a column everywhere."""
-    out = _read_dirs(spark, path, live_dirs(spark, path))
-    if out is None:
+    base, parts, limits = _base(spark, path), [], _limits(spark, path)
+    batches = committed_batches(spark, path)
+    if limits and not base and not table_bytes(spark, path)[1]:
+        batches = set()             # all of it is gone
+    if base:
+        parts.append(spark.read.parquet(f"{path}/base/upto={base[0]}/gen={base[1]}").drop("op"))
+    if any(not base or b > base[0] for b in batches):
+        data = spark.read.parquet(f"{path}/data")
+        parts.append(data.where(F.col("batch_id") > base[0]) if base else data)
+    if not parts:
         if schema is None:
             raise FileNotFoundError(f"empty table at {path}")
         return spark.createDataFrame([], schema)
+    parts = [p.withColumn("batch_id", F.col("batch_id").cast("long")).drop("day") for p in parts]
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    for column, us in limits.items():
+        out = out.where(F.col(column).isNull() | (F.col(column) >= F.timestamp_micros(F.lit(us))))
     return out
 
 
@@ -212,128 +187,89 @@ def read_table_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.parquet(f"{path}/data")
 
 
-def folder_sizes(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
-    """Live folder -> (bytes, data files), from the file system listing."""
-    out = {}
+def table_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(total bytes, data file count) of the live folders, from the file system listing."""
+    total, files = 0, 0
     for d in live_dirs(spark, path):
         fs, p = _fs(spark, f"{path}/{d}")
-        total, files = 0, 0
         it = fs.listFiles(p, True)
         while it.hasNext():
             st = it.next()
-            name = st.getPath().getName()
-            if name.startswith("_") or name.startswith("."):
-                continue
-            total += st.getLen()
-            files += 1
-        out[d] = (total, files)
-    return out
+            if not st.getPath().getName().startswith(("_", ".")):
+                total, files = total + st.getLen(), files + 1
+    return total, files
 
 
-def table_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(total bytes, data file count) of the live folders."""
-    sizes = folder_sizes(spark, path).values()
-    return sum(b for b, _ in sizes), sum(f for _, f in sizes)
+# --- rewriting -----------------------------------------------------------------------------------
 
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, upto: int, operation: str, target_bytes: int) -> int:
+    """A new base of batches up to ``upto`` in files of about the target size; the version it makes."""
+    size, _ = table_bytes(spark, path)
+    gens = [int(v) for v in _values(spark, f"{path}/base/upto={upto}", "gen")]
+    gen = max(gens, default=-1) + 1
+    _publish(rows.repartition(max(1, math.ceil(size / target_bytes))), path, f"base/upto={upto}/gen={gen}/op={operation}")
+    return upto + 1
 
-def _rewrite(spark: SparkSession, path: str, df: DataFrame | None, n_files: int, operation: str,
-             removes: list[str]) -> int:
-    entries = _entries(spark, path)
-    version = (entries[-1]["version"] + 1) if entries else 0
-    adds, rows = [], 0
-    if df is not None:
-        rel = f"compacted/v={version}"
-        rows = _write_counted(df.repartition(n_files), f"{path}/{rel}")
-        adds = [rel]
-    return _commit(spark, path, operation, rows, adds, removes)
+
+def _upto(spark: SparkSession, path: str) -> int:
+    base = _base(spark, path)
+    return max([*committed_batches(spark, path), *([base[0]] if base else [])], default=-1)
 
 
 def fold_before(spark: SparkSession, path: str, batch_id: int, transform, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Replace every live row of batches ``< batch_id`` by ``transform(rows)``,
-    tagged ``batch_id - 1``, in one rewrite. Reads "as of before N" are unchanged,
-    so a replay of batch N still sees the same rows."""
-    df = _read_dirs(spark, path, live_dirs(spark, path))
-    if df is None:
+    """Replace every live row of batches ``< batch_id`` by ``transform(rows)``, tagged
+    ``batch_id - 1``. Reads "as of before N" are unchanged, so a replay of batch N still
+    sees the same rows."""
+    if not live_dirs(spark, path):
         return -1
-    old = df.where(F.col("batch_id") < batch_id)
-    dirs = [d for d in live_dirs(spark, path)]
-    keep_dirs = [d for d in dirs if d.startswith("data/batch_id=") and int(d.split("=")[1]) >= batch_id]
-    folded = transform(old.drop("batch_id")).withColumn("batch_id", F.lit(batch_id - 1).cast("bigint"))
-    sizes = folder_sizes(spark, path)
-    n = max(1, math.ceil(sum(b for d, (b, _) in sizes.items() if d not in keep_dirs) / target_bytes))
-    return _rewrite(spark, path, folded, n, "fold", [d for d in dirs if d not in keep_dirs])
+    old = read_table(spark, path).where(F.col("batch_id") < batch_id)
+    folded = transform(old).withColumn("batch_id", F.lit(batch_id - 1).cast("bigint"))
+    return _rewrite(spark, path, folded, batch_id - 1, "fold", target_bytes)
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES,
             keys: list[str] | None = None, order: list[str] | None = None) -> int:
     """Rewrite small files into about ``target_bytes`` files (M1).
 
-    Only folders whose average file is under half the target are rewritten
-    (large files are left alone), into ``ceil(bytes / target)`` files by a
-    round-robin repartition. With ``keys`` every folder is read and the table
+    A table whose files average half the target or more is left alone. With ``keys`` it
     is folded to its latest row per key (ordered by ``order``), which is how an
-    update-policy table is cleaned up. Returns the new version, or -1 when
-    there is nothing to do.
+    update-policy table is cleaned up. Returns the new version, or -1 when there is
+    nothing to do. Data folders stay for the streams that read them.
     """
     from ..operators.latest import latest_per_key
 
-    sizes = folder_sizes(spark, path)
-    if keys:
-        chosen = list(sizes)
-    else:
-        chosen = [d for d, (b, f) in sizes.items() if f and b / f < target_bytes / 2]
-        if len(chosen) < 2 and sum(sizes[d][1] for d in chosen) < 2:
-            return -1
-    if not chosen:
+    size, files = table_bytes(spark, path)
+    if not files or not keys and (files < 2 or size / files >= target_bytes / 2):
         return -1
-    n = max(1, math.ceil(sum(sizes[d][0] for d in chosen) / target_bytes))
-    df = _read_dirs(spark, path, chosen)
+    rows = read_table(spark, path)
     if keys:
-        df = latest_per_key(df, keys, order or ["batch_id", "ingestion_time"])
-    return _rewrite(spark, path, df, n, "compact", chosen)
+        rows = latest_per_key(rows, keys, order or ["batch_id", "ingestion_time"])
+    return _rewrite(spark, path, rows, _upto(spark, path), "compact", target_bytes)
 
 
-def retain(spark: SparkSession, path: str, column: str, keep: str, now: dt.datetime | None = None,
-           target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Delete rows with ``column < now - keep`` (K11), touching as little as possible.
+def retain(spark: SparkSession, path: str, column: str, keep: str, now: dt.datetime | None = None) -> int:
+    """Delete rows with ``column < now - keep`` (K11) without reading any.
 
-    One pass over the retention column gives each folder's min/max (a
-    per-folder aggregate: one small row per folder). Folders entirely older
-    than the cutoff are dropped by a metadata-only commit, folders entirely
-    newer are kept, and only folders straddling the cutoff are rewritten.
-    ``now`` defaults to the current time; pass it to make the cut reproducible.
-    A row exactly ``keep`` old stays; NULLs stay (``NULL < x`` is not true).
+    The limit is noted as a folder name, and readers filter by it (pushed down to Parquet
+    statistics). Day folders of ``column`` (``write_batch(day_of=column)``) that lie before it are
+    removed; what is left before the limit goes with the next compaction. ``now`` defaults to
+    the current time; pass it to make the cut reproducible. A row exactly ``keep`` old
+    stays; NULLs stay (``NULL < x`` is not true).
     """
-    cutoff = retention_cutoff(now, keep)
-    live = live_dirs(spark, path)
-    df = _read_dirs(spark, path, live, with_dir=True)
-    if df is None:
+    since = retention_cutoff(now, keep).astimezone(dt.timezone.utc) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    us = since // dt.timedelta(microseconds=1)
+    upto = _upto(spark, path)
+    if upto < 0:
         return -1
-    c = F.col(column)
-    stats = df.groupBy("_dir").agg(
-        F.min(c).alias("lo"), F.max(c).alias("hi"),
-        F.count(F.lit(1)).alias("n"), F.count(c).alias("n_set")).collect()
-    drop, straddle = [], []
-    for r in stats:
-        if r.lo is None or r.lo >= cutoff:
-            continue  # nothing to delete in this folder
-        if r.hi < cutoff and r.n_set == r.n:
-            drop.append(r._dir)
-        else:
-            straddle.append(r._dir)
-    if not drop and not straddle:
-        return -1
-    kept = None
-    if straddle:
-        sizes = folder_sizes(spark, path)
-        n = max(1, math.ceil(sum(sizes[d][0] for d in straddle) / target_bytes))
-        kept = _read_dirs(spark, path, straddle).where(c.isNull() | (c >= F.lit(cutoff)))
-        return _rewrite(spark, path, kept, n, "delete", drop + straddle)
-    return _rewrite(spark, path, None, 1, "delete", drop)
+    fs, note = _fs(spark, f"{path}/retained/column={column}/from={us}/upto={upto}")
+    fs.mkdirs(note)
+    for b in committed_batches(spark, path):
+        for day in _values(spark, f"{path}/data/batch_id={b}", "day"):
+            if day.lstrip("-").isdigit() and int(day) < us // DAY_US:       # NULLs have a folder of another name
+                fs.delete(_fs(spark, f"{path}/data/batch_id={b}/day={day}")[1], True)
+    return upto + 1
 
 
 def retention_cutoff(now: dt.datetime | None, keep: str) -> dt.datetime:
-    from ..functions.time import interval_ms
-
     now = now or dt.datetime.now(dt.timezone.utc)
     return now - dt.timedelta(milliseconds=interval_ms(keep))

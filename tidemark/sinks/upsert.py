@@ -32,20 +32,24 @@ def upsert(batch: DataFrame, path: str, batch_id: int, keys: list[str], *, polic
         return tbl.write_batch(batch, path, batch_id)
     if policy != "ignore":
         raise ValueError(f"policy must be 'ignore' or 'update', not {policy!r}")
-    fresh = dedup_first(batch, list(keys), list(order))
     if batch_id in tbl.committed_batches(spark, path):
         # Replay of a committed batch: the anti join would now drop every row,
         # so leave the committed folder as it is.
         return -1
-    if tbl.live_dirs(spark, path):
+    fresh = dedup_first(batch, list(keys), list(order))
+    if not tbl.live_dirs(spark, path):
+        return tbl.write_batch(fresh, path, batch_id)
+    fresh = fresh.persist()     # for the range and for the write
+    try:
         target = tbl.read_table(spark, path).select(*keys)
         if prune_on is not None:
             lo, hi = fresh.agg(F.min(prune_on), F.max(prune_on)).first()
             if lo is None:
                 return -1
             target = target.where(F.col(prune_on).between(lo, hi))
-        fresh = fresh.join(target, list(keys), "left_anti")
-    return tbl.write_batch(fresh, path, batch_id)
+        return tbl.write_batch(fresh.join(target, list(keys), "left_anti"), path, batch_id)
+    finally:
+        fresh.unpersist()
 
 
 def latest_view(log: DataFrame, keys: list[str], order: list[str] = ("batch_id", "ingestion_time")) -> DataFrame:

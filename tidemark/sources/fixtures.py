@@ -50,6 +50,26 @@ def info_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The dense form has a month of events in a few hours: a trade every second or so at sf0.01.
+DENSE = 200
+
+
+def dense_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(trades, infos) of ``events`` with all times divided by ``DENSE``, for windows of minutes.
+
+    Trades carry ``arrival_ms``, the time at which they are delivered: most at once, a tenth
+    each 90 s, 200 s and 700 s late."""
+    t, i = trades_from_events(spark, sf_dir), info_from_events(spark, sf_dir)
+    late = F.element_at(F.array(*map(F.lit, LATE_MS)), (F.pmod("seq", F.lit(10)) + 1).cast("int"))
+    t = t.withColumn("trade_timestamp", F.expr(f"trade_timestamp div {DENSE}"))
+    return (t.withColumn("arrival_ms", F.col("trade_timestamp") + late),
+            i.withColumn("info_timestamp", F.expr(f"info_timestamp div {DENSE}")))
+
+
+#: By the last digit of ``seq``.
+LATE_MS = [90_000, 200_000, 700_000, 0, 0, 0, 0, 0, 0, 0]
+
+
 def _n_suppliers(spark: SparkSession, sf_dir: str) -> int:
     return table(spark, sf_dir, "supplier").count()
 
@@ -75,6 +95,15 @@ def trades_from_lineitem(spark: SparkSession, sf_dir: str, hot: int | None = Non
     )
 
 
+def trades_with_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same; every 997th trade has the largest price and volume, whose product does not fit."""
+    t = trades_from_lineitem(spark, sf_dir)
+    big = F.col("seq") % 997 == 0
+    return t.withColumns({
+        "price": F.when(big, F.lit("9999999999999999.99").cast("decimal(18,2)")).otherwise(F.col("price")),
+        "volume": F.when(big, F.lit(2**31 - 1)).otherwise(F.col("volume"))})
+
+
 def info_from_orders(spark: SparkSession, sf_dir: str, n_symbols: int | None = None,
                      hot: int | None = None) -> DataFrame:
     """Day-granular info: one per order, symbol = customer key modulo the supplier count
