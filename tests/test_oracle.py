@@ -22,7 +22,7 @@ SLOW = {"stream_ingest_trades", "stream_enrich", "stream_enrich_history", "strea
         "latest_metrics", "view_sector_latest", "stream_enrich_ttl", "stream_enrich_batchwise",
         "pipeline_unified", "stream_enrich_history_batchwise", "stream_dedup_keys",
         "early_event_results", "late_corrections", "stream_enrich_ttl_batchwise", "stream_enrich_counters",
-        "stream_enrich_late_history", "pipeline_staged_late", "pipeline_unified_late"}
+        "stream_enrich_late_history", "pipeline_staged_late", "pipeline_unified_late", "stream_rejects"}
 FAST = sorted(k for k in catalog.oracle_sql() if k not in SLOW)
 STREAM_SAMPLE = ["stream_enrich", "stream_sector_metrics", "stream_enrich_history", "late_corrections",
                  "stream_enrich_ttl_batchwise", "pipeline_unified_late"]

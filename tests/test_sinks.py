@@ -203,3 +203,17 @@ def test_batchwise_refuses_what_it_cannot_do(spark):
     for kw in ({"ttl": "24 hours", "late": "history"}, {"watermark": "5 minutes"}):
         with pytest.raises(ValueError, match="ttl|batchwise"):
             start_enrichment(spark, layout(spark, "refuse"), **kw)
+
+
+def test_sorted_layout_skips_files_of_other_symbols(spark, mk):
+    path = scratch_path(spark, "t-sorted")
+    for b in range(2):
+        tbl.write_batch(mk.trades([(f"S{i % 40:02d}", day("10:00") + i * 7 % 1000, b * 4000 + i) for i in range(4000)]), path, b)
+    size, _ = tbl.table_bytes(spark, path)
+    tbl.compact(spark, path, target_bytes=size // 8, sort_by=["symbol", "trade_timestamp"])
+    spans = spark.read.parquet(f"{path}/base").groupBy(F.input_file_name()).agg(
+        F.min("symbol").alias("lo"), F.max("symbol").alias("hi")).orderBy("lo").collect()
+    assert len(spans) >= 6 and all(a.hi <= b.lo for a, b in zip(spans, spans[1:]))
+    wanted = tbl.read_table(spark, path).where("symbol = 'S07'")
+    assert "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,S07)]" in wanted._jdf.queryExecution().executedPlan().toString()
+    assert wanted.count() == 200 and sum(s.lo <= "S07" <= s.hi for s in spans) <= 2

@@ -215,6 +215,22 @@ def q_enrich_stats(spark, sf_dir):
     return stats.enrich_stats(enriched(spark, sf_dir))
 
 
+@register("enrich_asof_nulls", O.ENRICHED_NULLS)
+def q_enrich_asof_nulls(spark, sf_dir):
+    """Trades without a symbol or a time match no info; infos without a symbol serve no trade."""
+    t, i = fx.events_with_nulls(spark, sf_dir)
+    return asof.enrich_asof(t, i, bucket="1 hour")
+
+
+@register("forward_fill_nulls", O.FORWARD_FILL_NULLS)
+def q_forward_fill_nulls(spark, sf_dir):
+    """Rows without a key belong to no series: they keep their values and fill no other row."""
+    t, i = fx.events_with_nulls(spark, sf_dir)
+    filled = asof.forward_fill(events.union_events(t, i), list(INFO_FIELDS), ["symbol"],
+                               ["event_ms", "record_type", "seq"], bucket_on="event_ms", bucket="1 hour")
+    return events.trades_only(filled).select(*t.columns, *INFO_FIELDS)
+
+
 # ---- streaming: S1, S2, E7, W2-W9, K1, K5, K7 --------------------------------------
 
 _M1 = O.metrics_select(60_000)
@@ -236,6 +252,19 @@ def q_stream_ingest_trades(spark, sf_dir):
     return tbl.read_table(spark, lay.trades).select(*t.columns)
 
 
+@register("stream_rejects", O.with_ctes(O.FIXTURE_CTE) + O.STREAM_REJECTS)
+def q_stream_rejects(spark, sf_dir):
+    """Documents that the parsers turn down, by topic and reason, as the rejects stream keeps them."""
+    lay = P.layout(spark, "rejects")
+    for rows, folder in zip(event_inputs(spark, sf_dir), (lay.in_trades, lay.in_info), strict=True):
+        kind = F.col("seq") % 20
+        feed.append_json(rows.where(kind > 1), folder)
+        feed.append_json(rows.where(kind == 1).withColumn("symbol", F.lit(None).cast("string")), folder)
+        topic.to_json_lines(rows.where(kind == 0)).select(F.substring("value", 1, 10)).write.mode("append").text(folder)
+    feed.run_available(lambda: P.start_rejects(spark, lay))
+    return tbl.read_table(spark, lay.rejects).groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("stream_dedup_keys", O.with_ctes(O.TIES_CTE) +
           "\nSELECT DISTINCT symbol, trade_timestamp, volume FROM trades")
 def q_stream_dedup_keys(spark, sf_dir):
@@ -448,7 +477,8 @@ def q_latest_metrics(spark, sf_dir):
           "\nSELECT window_start, window_end, sector, trade_count, total_value, avg_price FROM metrics")
 def q_view_sector_latest(spark, sf_dir):
     lay = _metrics_log(spark, sf_dir)
-    P.latest_metrics(spark, lay).createOrReplaceTempView("view_sector_latest")
+    P.latest_sector_view(spark, lay).createOrReplaceTempView("view_sector_latest")
+    # ingestion_time, the view's last column, is wall-clock
     return spark.sql("SELECT window_start, window_end, sector, trade_count, total_value, avg_price "
                      "FROM view_sector_latest")
 
@@ -458,6 +488,19 @@ def q_symbol_recent_trades(spark, sf_dir):
     return latest.newest_per_key(enriched(spark, sf_dir), ["symbol"], ["trade_timestamp", "seq"], 5)
 
 
+@register("symbol_recent_trades_sorted", _ENRICHED_SQL + O.RECENT_TRADES + " AND symbol LIKE '%7'")
+def q_symbol_recent_trades_sorted(spark, sf_dir):
+    """Newest trades of some symbols from a table laid out by symbol and time: its files and row
+    groups of other symbols are skipped by their statistics."""
+    e = enriched(spark, sf_dir)
+    path = scratch_path(spark, "laid-out")
+    tbl.write_batch(e, path, 0)
+    tbl.compact(spark, path, sort_by=["symbol", "trade_timestamp"])
+    symbols = [r[0] for r in e.where(F.col("symbol").like("%7")).select("symbol").distinct().orderBy("symbol").collect()]
+    rows = tbl.read_table(spark, path).where(F.col("symbol").isin(symbols)).select(*e.columns)
+    return latest.newest_per_key(rows, ["symbol"], ["trade_timestamp", "seq"], 5)
+
+
 @register("retention_kept", _ENRICHED_SQL + O.metrics_cte(60_000) +
           O.RETENTION_KEPT)
 def q_retention_kept(spark, sf_dir):

@@ -324,3 +324,34 @@ sl AS (SELECT e.*, (SELECT count(*) FROM cuts WHERE e.trade_timestamp >= c) AS b
 SELECT batch_id, count(*) AS enriched_count,
        CAST(sum(CASE WHEN info_timestamp = 0 THEN 1 ELSE 0 END) AS BIGINT) AS unknown_count
 FROM sl GROUP BY batch_id"""
+
+
+#: Some trades without symbol or time and infos without symbol (sources/fixtures.py); t_ok and i_ok are the others.
+NULLS_CTE = (FIXTURE_CTE
+             .replace("SELECT 'U' ||", "SELECT CASE WHEN event_id % 50 <> 0 THEN 'U' ||", 1)
+             .replace("AS VARCHAR) AS symbol", "AS VARCHAR) END AS symbol", 1)
+             .replace("ms AS trade_timestamp", "CASE WHEN event_id % 50 <> 1 THEN ms END AS trade_timestamp")
+             .replace("SELECT 'U' ||", "SELECT CASE WHEN event_id % 40 <> 0 THEN 'U' ||", 1)
+             .replace("AS VARCHAR) AS symbol", "AS VARCHAR) END AS symbol", 1)) + """,
+t_ok AS (SELECT * FROM trades WHERE symbol IS NOT NULL AND trade_timestamp IS NOT NULL),
+i_ok AS (SELECT * FROM info WHERE symbol IS NOT NULL)"""
+WITHOUT_KEY = "FROM trades WHERE symbol IS NULL OR trade_timestamp IS NULL"
+
+ENRICHED_NULLS = with_ctes(NULLS_CTE, asof_ctes("t_ok", "i_ok"), ENRICHED_SENTINEL) + f"""
+SELECT * FROM enriched
+UNION ALL
+SELECT symbol, price, volume, trade_timestamp, seq, 'UNKNOWN', 'UNKNOWN', 0, 0, CAST(price * volume AS DECIMAL(28,8))
+{WITHOUT_KEY}"""
+
+FORWARD_FILL_NULLS = with_ctes(NULLS_CTE) + FORWARD_FILL.replace("FROM trades", "FROM t_ok").replace(
+    "FROM info", "FROM i_ok") + f"""
+UNION ALL
+SELECT symbol, price, volume, trade_timestamp, seq, NULL, NULL, NULL, NULL {WITHOUT_KEY}"""
+
+#: Every 20th event cut off after ten characters, the next ones without a symbol.
+STREAM_REJECTS = """
+SELECT topic, reason, count(*) AS n FROM (
+  SELECT 'trades' AS topic, CASE seq % 20 WHEN 0 THEN 'malformed' WHEN 1 THEN 'null symbol' END AS reason FROM trades
+  UNION ALL
+  SELECT 'info', CASE seq % 20 WHEN 0 THEN 'malformed' WHEN 1 THEN 'null symbol' END FROM info)
+WHERE reason IS NOT NULL GROUP BY topic, reason"""

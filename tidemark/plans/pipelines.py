@@ -293,5 +293,11 @@ def latest_metrics(spark: SparkSession, lay: Layout) -> DataFrame:
     return latest_view(tbl.read_table(spark, lay.metrics), METRIC_KEYS).select(*METRIC_COLS)
 
 
+def latest_sector_view(spark: SparkSession, lay: Layout) -> DataFrame:
+    """The serving view (L2): the newest emission of each window and sector, and when it came in."""
+    return latest_view(tbl.read_table(spark, lay.metrics), METRIC_KEYS).select(
+        "window_start", "window_end", "sector", "trade_count", "total_value", "avg_price", "ingestion_time")
+
+
 def enriched_rows(spark: SparkSession, lay: Layout) -> DataFrame:
     return tbl.read_table(spark, lay.enriched).select(*[f.name for f in ENRICHED_SCHEMA.fields])

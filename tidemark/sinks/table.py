@@ -202,12 +202,15 @@ def table_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
 
 # --- rewriting -----------------------------------------------------------------------------------
 
-def _rewrite(spark: SparkSession, path: str, rows: DataFrame, upto: int, operation: str, target_bytes: int) -> int:
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, upto: int, operation: str, target_bytes: int,
+             sort_by: list[str] | None = None) -> int:
     """A new base of batches up to ``upto`` in files of about the target size; the version it makes."""
     size, _ = table_bytes(spark, path)
+    n = max(1, math.ceil(size / target_bytes))
+    rows = rows.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by) if sort_by else rows.repartition(n)
     gens = [int(v) for v in _values(spark, f"{path}/base/upto={upto}", "gen")]
     gen = max(gens, default=-1) + 1
-    _publish(rows.repartition(max(1, math.ceil(size / target_bytes))), path, f"base/upto={upto}/gen={gen}/op={operation}")
+    _publish(rows, path, f"base/upto={upto}/gen={gen}/op={operation}")
     return upto + 1
 
 
@@ -228,23 +231,24 @@ def fold_before(spark: SparkSession, path: str, batch_id: int, transform, target
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES,
-            keys: list[str] | None = None, order: list[str] | None = None) -> int:
+            keys: list[str] | None = None, order: list[str] | None = None, sort_by: list[str] | None = None) -> int:
     """Rewrite small files into about ``target_bytes`` files (M1).
 
     A table whose files average half the target or more is left alone. With ``keys`` it
     is folded to its latest row per key (ordered by ``order``), which is how an
-    update-policy table is cleaned up. Returns the new version, or -1 when there is
-    nothing to do. Data folders stay for the streams that read them.
+    update-policy table is cleaned up. With ``sort_by`` rows are dealt to files by range
+    and sorted in them (L5), so that a reader of some keys skips the other files and row
+    groups by their statistics. Returns the new version, or -1 when there is nothing to do. Data folders stay for the streams that read them.
     """
     from ..operators.latest import latest_per_key
 
     size, files = table_bytes(spark, path)
-    if not files or not keys and (files < 2 or size / files >= target_bytes / 2):
+    if not files or not keys and not sort_by and (files < 2 or size / files >= target_bytes / 2):
         return -1
     rows = read_table(spark, path)
     if keys:
         rows = latest_per_key(rows, keys, order or ["batch_id", "ingestion_time"])
-    return _rewrite(spark, path, rows, _upto(spark, path), "compact", target_bytes)
+    return _rewrite(spark, path, rows, _upto(spark, path), "compact", target_bytes, sort_by)
 
 
 def retain(spark: SparkSession, path: str, column: str, keep: str, now: dt.datetime | None = None) -> int:

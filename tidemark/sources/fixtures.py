@@ -66,6 +66,16 @@ def dense_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
             i.withColumn("info_timestamp", F.expr(f"info_timestamp div {DENSE}")))
 
 
+def events_with_nulls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(trades, infos) of ``events``; every 50th trade has no symbol, the next one no time, and every
+    40th event, if an info, no symbol."""
+    t, i = trades_from_events(spark, sf_dir), info_from_events(spark, sf_dir)
+    without = lambda c, cond: F.when(~cond, F.col(c)).alias(c)
+    return (t.withColumns({"symbol": without("symbol", F.col("seq") % 50 == 0),
+                           "trade_timestamp": without("trade_timestamp", F.col("seq") % 50 == 1)}),
+            i.withColumn("symbol", without("symbol", F.col("seq") % 40 == 0)))
+
+
 #: By the last digit of ``seq``.
 LATE_MS = [90_000, 200_000, 700_000, 0, 0, 0, 0, 0, 0, 0]
 
