@@ -8,15 +8,19 @@ and counts if the run of equal words reaches ``SPAN``. As every shared span of S
 holds a hit, the runs together are exactly the words inside shared windows. A benchmark
 item shorter than SPAN is one window of all its words, found by the hash of its length.
 
-A document's words, its grams and its count go through in one pass of one row each, so texts
-are not shuffled; only the extended hits of contaminated documents are, by document.
-The benchmark's grams are broadcast in parts of at most ``PART`` rows, told by
-a count; a larger benchmark takes one pass over the documents for each part.
+A text is cut into pieces of ``PIECE`` windows, which overlap by the rest of a window, so a
+piece holds its windows whole and a text's cost is linear in its length. Each fingerprint
+leaves its piece with the few words around it, and no other words go through the join; texts
+are not shuffled, only the extended hits of contaminated documents are, by document.
+The benchmark's grams, of long items and of all lengths of short ones, are broadcast in
+parts of at most ``PART`` rows, told by a count; a larger benchmark takes one pass over the
+documents for each part.
 
 Defined cases: null has no words and no hits. Texts are told apart by doc_id and text hash,
 so rows that share an id are judged by their own text, a null id included. Items with a
-null id or without words have no window; equal items are found each. Only doc_id,
-text and item_id, text are read.
+null id or without words have no window; equal items are found each. Texts of any length are
+read whole; empty tables give no rows and no hits. Of equal least hashes in a window the first
+counts. Only doc_id, text and item_id, text are read.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from .common import key_bitmap, marked, stored, table
 
 SPAN = 10
 GRAM = 5
+PIECE = 1024             # windows of a text that are handled in one row
 PART = 250_000           # rows of the benchmark's grams that are broadcast at once (about 50 MB)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,12 +51,12 @@ def grams(of: Column, size: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def fingerprints(hashes: Column, window: int) -> Column:
-    """The distinct least hashes of all windows of ``window`` consecutive hashes."""
-    if window == 1:
-        return F.array_distinct(hashes)
-    least = F.transform(F.sequence(F.lit(1), F.size(hashes) - (window - 1)),
-                        lambda i: F.array_min(F.slice(hashes, i, window)))
+def fingerprint_places(hashes: Column, window: int) -> Column:
+    """The places (from 0) of the first least hash of every window of consecutive hashes."""
+    def first_least(i: Column) -> Column:
+        part = F.slice(hashes, i, window)
+        return i + F.array_position(part, F.array_min(part)) - 2
+    least = F.transform(F.sequence(F.lit(1), F.size(hashes) - (window - 1)), first_least)
     return F.when(F.size(hashes) >= window, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -61,61 +66,78 @@ def _reach(own: Column, other: Column, step: int, most: int) -> Column:
         (n == i - 1) & F.get(own, i - 1).isNotNull() & (F.get(own, i - 1) == F.get(other, i - 1)), i).otherwise(n))
 
 
-def _around(of: Column, place: Column, gram: int, most: int) -> tuple[Column, Column]:
-    """The words before a place (nearest first) and after its gram, at most ``most`` each."""
-    before = F.reverse(F.slice(of, F.greatest(place - most, F.lit(0)) + 1, F.least(place, F.lit(most))))
-    return before, F.slice(of, place + gram + 1, F.lit(most))
+def _placed(prints: Column, place: Column, of: Column, gram: int) -> Column:
+    """print, place, lead (words before it, at most SPAN - GRAM) and the words around."""
+    lead = F.least(place, F.lit(SPAN - GRAM).cast("bigint"))
+    around = F.slice(of, (place - lead + 1).cast("int"), (lead + gram + SPAN - GRAM).cast("int"))
+    return F.struct(prints.alias("print"), place.alias("place"), lead.cast("int").alias("lead"), around.alias("around"))
 
 
-def _hits(docs: DataFrame, part: DataFrame, gram: int, span: int) -> DataFrame:
-    """Per document and gram found: doc_id, text_hash, n_words, item_id, from, to (words of a shared run).
+def _every_place(of: Column, gram: int) -> Column:
+    return F.transform(F.slice(grams(of, gram), 1, PIECE), lambda h, i: _placed(h, i.cast("bigint"), of, gram))
 
-    One more row for each document, without an item, carries its number of words."""
-    most = span - gram
+
+def _prints(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """doc_id, text_hash, n_words, print, place, lead, around of every fingerprint, and of every gram
+    that short items may equal. One more row for each document, without a print, carries n_words."""
     own = F.col("words")
-    rows = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
-            .withColumn("hashes", grams(own, gram))
-            .withColumn("print", F.explode(F.concat(fingerprints(F.col("hashes"), most + 1),
-                                                    F.array(F.lit(None).cast("bigint"))))))
-    found = rows.join(F.broadcast(part), "print", "left").where(F.col("print").isNull() | F.col("item_id").isNotNull())
-    at = F.when(F.col("print").isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.filter(
-        F.sequence(F.lit(0), F.size("hashes") - 1), lambda i: F.get(F.col("hashes"), i) == F.col("print")))
-    found = found.withColumn("place", F.explode(at))
-    before, after = _around(own, F.col("place"), gram, most)
-    same = F.slice(own, F.col("place") + 1, F.lit(gram)) == F.col("gram_words")
-    left = _reach(before, F.col("before"), 1, most) if most else F.lit(0)
-    right = _reach(after, F.col("after"), 1, most) if most else F.lit(0)
-    hit = F.when(same & (left + right + gram >= span),
-                 F.struct((F.col("place") - left).alias("from"), (F.col("place") + (gram - 1) + right).alias("to")))
-    return (found.select("doc_id", "text_hash", F.size(own).alias("n_words"), "item_id", hit.alias("hit"), "print")
+    none = F.struct(F.lit(None).cast("bigint").alias("print"), F.lit(None).cast("bigint").alias("place"),
+                    F.lit(None).cast("int").alias("lead"), F.lit(None).cast("array<string>").alias("around"))
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(PIECE)),
+                      lambda i: F.slice("all", i + 1, PIECE + SPAN - 1))
+    pieces = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("all"))
+              .select("doc_id", "text_hash", F.size("all").alias("n_words"), F.posexplode(cut).alias("piece", "words"))
+              .withColumn("hashes", grams(own, GRAM)))
+    found = [F.transform(fingerprint_places(F.col("hashes"), SPAN - GRAM + 1), lambda p: _placed(
+        F.get(F.col("hashes"), p.cast("int")), p, own, GRAM))]
+    for n in lengths:       # of the words that two pieces share, the later piece has those past PIECE
+        found.append(_every_place(own, n))
+    found.append(F.when(F.col("piece") == 0, F.array(none)).otherwise(F.array().cast(
+        "array<struct<print:bigint,place:bigint,lead:int,around:array<string>>>")))
+    return (pieces.select("doc_id", "text_hash", "n_words", "piece", F.inline(F.concat(*found)))
+            .withColumn("place", F.col("place") + F.col("piece") * PIECE))
+
+
+def _hits(prints: DataFrame, part: DataFrame) -> DataFrame:
+    """Per document and gram found: doc_id, text_hash, n_words, item_id, from, to (words of a shared run)."""
+    most = SPAN - GRAM
+    found = prints.join(F.broadcast(part), "print", "left").where(F.col("print").isNull() | F.col("item_id").isNotNull())
+    gram = F.size("gram_words")
+    same = F.slice("around", F.col("lead") + 1, gram) == F.col("gram_words")
+    left = _reach(F.reverse(F.slice("around", F.lit(1), F.col("lead"))), F.col("before"), 1, most)
+    right = _reach(F.slice("around", F.col("lead") + gram + 1, F.lit(most)), F.col("after"), 1, most)
+    hit = F.when(same & (left + right + gram >= F.col("span")),
+                 F.struct((F.col("place") - left).alias("from"), (F.col("place") + gram - 1 + right).alias("to")))
+    return (found.select("doc_id", "text_hash", "n_words", "item_id", hit.alias("hit"), "print")
             .where("print is null or hit is not null")
             .select("doc_id", "text_hash", "n_words", F.when(F.col("hit").isNotNull(), F.col("item_id")).alias("item_id"),
                     "hit.from", "hit.to"))
 
 
 def _item_grams(items: DataFrame, gram: int, span: int) -> DataFrame:
-    """print, item_id, gram_words, before, after of every place of every item."""
+    """print, item_id, span, gram_words, before (nearest first), after of every place of every item."""
     own, most = F.col("words"), span - gram
+    place = F.col("place")
     rows = items.withColumn("hashes", grams(own, gram)).select("item_id", "words", F.posexplode("hashes").alias("place", "print"))
-    before, after = _around(own, F.col("place"), gram, most)
-    empty = F.array().cast("array<string>")
-    return rows.select("print", "item_id", F.slice(own, F.col("place") + 1, F.lit(gram)).alias("gram_words"),
-                       (before if most else empty).alias("before"), (after if most else empty).alias("after")).distinct()
+    before = F.reverse(F.slice(own, F.greatest(place - most, F.lit(0)) + 1, F.least(place, F.lit(most))))
+    return rows.select("print", "item_id", F.lit(span).alias("span"), F.slice(own, place + 1, F.lit(gram)).alias("gram_words"),
+                       before.alias("before"), F.slice(own, place + gram + 1, F.lit(most)).alias("after")).distinct()
 
 
 def contaminated_runs(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """All rows of ``_hits`` for long items and for each length of shorter ones."""
+    """All rows of ``_hits``, one pass over the documents for each part of the benchmark's grams."""
     items = items.select("item_id", words(F.col("text")).alias("words")).where("item_id is not null")
     items = stored(items.withColumn("n", F.size("words")).where("n > 0"), "benchmark-words")
     lengths = [r["n"] for r in items.where(F.col("n") < SPAN).select("n").distinct().orderBy("n").collect()]  # under SPAN
-    tasks = [(items.where(F.col("n") >= SPAN), GRAM, SPAN)] + [(items.where(F.col("n") == n), n, n) for n in lengths]
-    out = None
-    for own, gram, span in tasks:
-        found = stored(_item_grams(own, gram, span), "benchmark-grams")
-        parts = max(1, -(-found.count() // PART))
-        for k in range(parts):
-            one = _hits(docs, found.where(F.pmod("print", F.lit(parts)) == k), gram, span)
-            out = one if out is None else out.unionByName(one)
+    grams_ = _item_grams(items.where(F.col("n") >= SPAN), GRAM, SPAN)
+    for n in lengths:
+        grams_ = grams_.unionByName(_item_grams(items.where(F.col("n") == n), n, n))
+    found = stored(grams_, "benchmark-grams")
+    parts = max(1, -(-found.count() // PART))
+    prints = _prints(docs, lengths)
+    out = _hits(prints, found.where(F.pmod("print", F.lit(parts)) == 0))
+    for k in range(1, parts):
+        out = out.unionByName(_hits(prints, found.where(F.pmod("print", F.lit(parts)) == k)))
     return out
 
 
