@@ -16,7 +16,18 @@ def test_one_of_each_group(spark, docs_of):
     docs = docs_of(rows)
     kept = jaccard.one_of_each_group(docs)
     assert kept.columns == docs.columns
-    assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([3, 9, None, None, 7, 8], key=str)
+    assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([3, 9, 9, None, None, 7, 8], key=str)
+
+
+def test_a_text_goes_only_if_one_of_its_own_group_stays(spark, docs_of):
+    text, near = "a b c d e f g h i j k l m n o p q r s t", "a b c d e f g h i j k l m n o p q r s t u"
+    other = "one two three four five six seven eight nine ten"
+    rows = [(9, text), (9, other), (10, text), (11, near), (11, "alone in the whole wide world of texts"), (12, other + " more"),
+            (13, text), (13, text), (4, "x"), (4, "y")]
+    kept = sorted((r.doc_id, r.text) for r in jaccard.one_of_each_group(docs_of(rows)).collect())
+    texts = [t for _, t in kept]
+    assert len([t for t in texts if t in (text, near)]) == 1 and len([t for t in texts if t.startswith(other)]) == 1
+    assert {(4, "x"), (4, "y"), (11, "alone in the whole wide world of texts")} <= set(kept) and len(kept) == 5
 
 
 def test_stages_against_brute_force(spark):

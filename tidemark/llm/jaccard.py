@@ -24,7 +24,9 @@ shuffle, and its run is dealt to several buckets.
 Defined cases: a null text, or one without words, has an empty set and no links (its
 component is its own id). A null doc_id links with nothing and has a null component.
 Rows with the same doc_id are one node and link by any of their texts. Shingles are
-compared by 64-bit hash. Only doc_id and text are read.
+compared by 64-bit hash. Texts of any length are read whole; an empty table gives no rows. The
+operator gives groups, not links: within a group not all pairs are compared. Only doc_id and
+text are read.
 """
 
 from __future__ import annotations
@@ -40,8 +42,9 @@ from .common import (NOT_SPACE, blocks, components, key_bitmap, marked, mix, shi
 SHINGLE = 5
 SKETCH_BITS = 18          # the frequency table has 2 ** 18 counts
 SKETCH_CHUNKS = 16
-BUCKETS = 1024
-HOT = 20_000              # sets with one shingle that go to one bucket
+POSTINGS = 100_000        # prefix shingles that a bucket is wanted to hold
+HOT = 20_000              # sets with one shingle that go to one bucket, at least
+ABOVE = 4                 # times the mean count of the frequency table that a frequent shingle must reach too
 FLUSH = 500_000           # postings that a task holds before it deals them out
 TILE = 512                # sets on either side of a tile
 ROUNDS = 2                # rounds with the most similar set only
@@ -125,15 +128,23 @@ def frequencies(read: DataFrame) -> np.ndarray:
     return np.concatenate([pieces[c] for c in range(SKETCH_CHUNKS)])
 
 
-def _postings(shared):
+def hot_count(counts: np.ndarray) -> int:
+    """The count in the frequency table from which a shingle's sets are dealt to several buckets.
+
+    The table has a fixed size, so in a large corpus all its counts are sums over many shingles;
+    only one well above their mean tells of a frequent shingle."""
+    return max(HOT, int(ABOVE * counts.mean()))
+
+
+def _postings(shared, buckets: int):
     """Deals (shingle, doc_id, set size) of every prefix to buckets, packed by bucket."""
     schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary())])
 
-    def deal(keys, docs, sizes, counts):
+    def deal(keys, docs, sizes, counts, hot):
         keys, docs, sizes = np.concatenate(keys), np.concatenate(docs), np.concatenate(sizes)
-        ways = 1 + counts[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] // HOT
+        ways = 1 + counts[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] // hot
         salt = mix(docs.view(np.uint64)) % ways.astype(np.uint64)
-        bucket = (mix(keys + salt) % np.uint64(BUCKETS)).astype(np.int64)
+        bucket = (mix(keys + salt) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         keys, docs, sizes, bucket = keys[order], docs[order], sizes[order], bucket[order]
         cut = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
@@ -145,6 +156,7 @@ def _postings(shared):
 
     def run(batches):
         counts = shared.value
+        hot = hot_count(counts)
         keys, docs, sizes, held = [], [], [], 0
         for block in blocks(batches):
             for doc, own in zip(block.column("doc_id").to_pylist(), text_sets(block.column("text")), strict=True):
@@ -159,10 +171,10 @@ def _postings(shared):
                 sizes.append(np.full(len(prefix), n, np.int32))
                 held += len(prefix)
                 if held >= FLUSH:
-                    yield deal(keys, docs, sizes, counts)
+                    yield deal(keys, docs, sizes, counts, hot)
                     keys, docs, sizes, held = [], [], [], 0
         if held:
-            yield deal(keys, docs, sizes, counts)
+            yield deal(keys, docs, sizes, counts, hot)
     return run
 
 
@@ -181,7 +193,7 @@ def _runs(shared):
         again = np.zeros(len(keys), bool)      # the same id with one shingle in two of its texts
         again[1:] = (keys[1:] == keys[:-1]) & (docs[1:] == docs[:-1]) & (sizes[1:] == sizes[:-1])
         keys, docs, sizes = keys[~again], docs[~again], sizes[~again]
-        hot = counts[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= HOT
+        hot = counts[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= hot_count(counts)
         new = np.ones(len(keys), bool)
         apart = 3 * sizes[1:].astype(np.int64) > 4 * sizes[:-1].astype(np.int64)
         new[1:] = (keys[1:] != keys[:-1]) | (apart & ~hot[1:])
@@ -231,7 +243,7 @@ def _near_bitmaps(batches):
 
 def _exact(batches):
     for batch in batches:
-        for block in blocks([batch], "x", 2 << 20):
+        for block in blocks([batch], "x"):
             keep = [links(x, y) for x, y in zip(text_sets(block.column("x")), text_sets(block.column("y")), strict=True)]
             yield from block.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).to_batches()
 
@@ -357,7 +369,8 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     firsts = (marked(docs, F.col("doc_id"), flags, "left_semi")
               .join(copies, F.col("doc_id") == F.col("id"), "left_anti")
               .unionByName(marked(docs, F.col("doc_id"), flags, "left_anti")))
-    packed = firsts.mapInArrow(_postings(counts), "bucket int, keys binary, docs binary, sizes binary")
+    prefixes = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 0.75) + 1)).first()[0] or 0
+    packed = firsts.mapInArrow(_postings(counts, max(64, -(-int(prefixes) // POSTINGS))), "bucket int, keys binary, docs binary, sizes binary")
     runs = stored(packed.groupBy("bucket").applyInArrow(_runs(counts), RUN_DDL), "jaccard-runs")
     members = stored(runs.where("kind = 1").select("run", "salted", F.col("a").alias("doc"), "n").distinct(),
                      "jaccard-members")
@@ -383,21 +396,35 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def _with_keys(docs: DataFrame) -> DataFrame:
+    """Adds ``_row_key``: the doc_id, but a hash of id and text where an id has several texts."""
+    own = F.xxhash64("text")
+    several = stored(docs.groupBy(F.col("doc_id").alias("_id")).agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
+                     .where("lo <> hi").select("_id"), "jaccard-several")
+    flags = key_bitmap(F.col("_id"), several)
+    maybe = marked(docs, F.col("doc_id"), flags, "left_semi").join(several, F.col("doc_id") == F.col("_id"), "left")
+    key = F.when(F.col("_id").isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", own))
+    return (maybe.withColumn("_row_key", key).drop("_id")
+            .unionByName(marked(docs, F.col("doc_id"), flags, "left_anti").withColumn("_row_key", F.col("doc_id"))))
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The row with the smallest doc_id of each group, all columns kept; of rows that repeat
-    an id one stays. Rows with a null doc_id stay. Texts of rows that surely stay are not shuffled."""
-    known = docs.where("doc_id is not null")
-    out = stored(jaccard_groups(known), "jaccard-out")
-    gone = out.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
-    again = out.groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id")
-    either = stored(gone.withColumn("gone", F.lit(True)).unionByName(again.withColumn("gone", F.lit(False)))
-                    .groupBy("id").agg(F.max("gone").alias("gone")), "jaccard-gone")
-    flags = key_bitmap(F.col("id"), either)
-    maybe = marked(known, F.col("doc_id"), flags, "left_semi").join(either, F.col("doc_id") == F.col("id"), "left")
-    untouched = maybe.where("id is null").select(docs.columns)
-    first = maybe.where("not gone").select(docs.columns).dropDuplicates(["doc_id"])
-    stay = marked(known, F.col("doc_id"), flags, "left_anti").unionByName(untouched).unionByName(first)
-    return stay.unionByName(docs.where("doc_id is null"))
+    """One row of each group, all columns kept: that with the smallest doc_id. Rows that share an
+    id but not their text are judged apart (by a hash in place of the id), so a text goes only
+    if one of its own group stays; of rows that repeat id and text one stays. Rows with a
+    null doc_id stay. Texts of rows that surely stay are not shuffled."""
+    known = _with_keys(docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")))
+    out = stored(jaccard_groups(known.select(F.col("_row_key").alias("doc_id"), "text")), "jaccard-out")
+    gone = out.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    again = out.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    either = stored(gone.withColumn("_gone", F.lit(True)).unionByName(again.withColumn("_gone", F.lit(False)))
+                    .groupBy("_id").agg(F.max("_gone").alias("_gone")), "jaccard-gone")
+    flags = key_bitmap(F.col("_id"), either)
+    maybe = marked(known, F.col("_row_key"), flags, "left_semi").join(either, F.col("_row_key") == F.col("_id"), "left")
+    untouched = maybe.where("_id is null").drop("_id", "_gone")
+    first = maybe.where("not _gone").drop("_id", "_gone").dropDuplicates(["_row_key"])
+    stay = marked(known, F.col("_row_key"), flags, "left_anti").unionByName(untouched).unionByName(first)
+    return stay.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
