@@ -45,7 +45,8 @@ from .common import _BYTES, _powers, blocks, key_bitmap, marked, mix, signed, st
 LENGTH = 400
 STRETCH = (1 << 20) - 1024   # windows hashed at once
 HOT = 4096                   # different pieces of one core that are sorted together at most
-BUCKET = 1 << 18             # symbols of a bucket, about
+BUCKET = 1 << 16             # symbols of a bucket, about
+TASK = 1 << 18               # symbols that a task sorts, about
 PLACE_BITS = 21              # of an anchor's key: its place in the stretch, to take the last of equals
 
 
@@ -280,7 +281,8 @@ def repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataF
     docs = _text_id(documents).where(F.octet_length("text") >= length).select("tid", "text")
     marks = stored(docs.mapInArrow(_anchors(length), "tid binary, gram long, anchor int, first int, last int"),
                    "suffix-anchors", "zstd")
-    shared = marks.groupBy("gram").count().where("count > 1").select("gram")
+    # stored ahead of the join, as Spark splits a skewed join of two plain exchanges only
+    shared = stored(marks.groupBy("gram").count().where("count > 1").select("gram"), "suffix-shared")
     places = stored(marks.join(shared, "gram").groupBy("tid")
                     .agg(F.collect_set(F.struct("anchor", "first", "last")).alias("found")), "suffix-places", "zstd")
     some = marked(docs, F.col("tid"), key_bitmap(F.col("tid"), places), "left_semi")
@@ -289,22 +291,23 @@ def repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataF
         "suffix-pieces", "zstd")
     kinds = stored(pieces.groupBy("piece").agg(F.count("*").alias("n"), *(
         F.first(c).alias(c) for c in ("core", "before", "after"))), "suffix-kinds", "zstd")
-    mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    mixed = stored(kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-mixed", "zstd")
     groups = stored(kinds.join(mixed, "core"), "suffix-groups", "zstd")
     few, many = groups.where(F.col("kinds") <= hot), groups.where(F.col("kinds") > hot)
     symbols, n_many = groups.agg(F.sum(F.when(F.col("kinds") <= hot, F.length("before") + F.length("after") + 2)),
                                  F.count_if(F.col("kinds") > hot)).first()
-    buckets = F.lit(-(-(symbols or 0) // BUCKET) or 1)
-    verdicts = (few.withColumn("bucket", F.pmod(F.xxhash64("core"), buckets)).groupBy("bucket")
-                .applyInArrow(_sorted(width), "piece binary, bits long"))
+    buckets, tasks = (-(-(symbols or 0) // n) or 1 for n in (BUCKET, TASK))
+    # dealt to a stated number of tasks: by their bytes too many would go together
+    verdicts = (few.withColumn("bucket", F.pmod(F.xxhash64("core"), F.lit(buckets))).repartition(tasks, "bucket")
+                .groupBy("bucket").applyInArrow(_sorted(width), "piece binary, bits long"))
     if n_many:
         verdicts = verdicts.unionByName(_hot_windows(many, width))
     # equal pieces are copies in all their windows
     windows = F.length("before") + F.length("after") + 2 - width
     whole = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), F.lit(64) - windows)
     copied = kinds.where("n > 1").select("piece", whole.alias("bits"))
-    verdicts = (verdicts.unionByName(copied).groupBy("piece").agg(F.bit_or("bits").alias("bits"))
-                .where("bits <> 0"))
+    verdicts = stored(verdicts.unionByName(copied).groupBy("piece").agg(F.bit_or("bits").alias("bits"))
+                      .where("bits <> 0"), "suffix-verdicts", "zstd")
     return (pieces.select("piece", "tid", "at").join(verdicts, "piece").groupBy("tid")
             .agg(F.collect_set(F.struct("at", "bits")).alias("found")))
 
