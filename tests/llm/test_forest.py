@@ -74,3 +74,21 @@ def test_recall_on_the_table(spark):
     want = brute(rows)
     assert sum(n for n, _ in got.values()) >= 0.9 * sum(n for n, _ in want.values())
     assert got == want
+
+
+def test_recall_with_production_parameters_where_trees_split(spark):
+    """8,000 vectors of one label: depth 4 at LEAF 512, pairs just above the threshold."""
+    r = np.random.default_rng(8)
+    n, dim = 8000, 64
+    x = r.standard_normal((n, dim))
+    x[n // 2:] = x[:n // 2] + 0.38 * r.standard_normal((n // 2, dim))     # cosine about 0.935
+    x = x.astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    close = np.zeros(n, np.int64)
+    for s in range(0, n, 1000):
+        close[s:s + 1000] = (unit[s:s + 1000] @ unit.T >= CLOSE).sum(1) - 1
+    assert close.sum() > 4000
+    got = run(spark, [(i, [float(v) for v in row], 1) for i, row in enumerate(x)])
+    links = np.array([got[i][0] for i in range(n)])
+    assert (links <= close).all()
+    assert links.sum() / close.sum() >= 0.99

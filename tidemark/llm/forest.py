@@ -10,13 +10,16 @@ precision. A pair that meets in several leaves is counted in the first of them o
 which each side knows from its own list of leaves; so links are summed per vector
 and pairs are never written. A leaf above ``TILE`` vectors is compared in tiles.
 
-Recall against brute force is measured in tests/llm (at least 0.9; above 0.99 there).
+Recall against brute force is measured in tests/llm (at least 0.9; above 0.99 there), also on
+8,000 vectors of one label, where the trees split at the production LEAF.
 
 Defined cases: equal vectors of a label are one class, compared once and counted by
 weight. A null label, a null vec_id, and a vector that is null, empty, zero, or holds
 null or non-finite components link with nothing: n_links is 0, and the component is
 the row's own vec_id (null stays null, and is not kept). Vectors of different lengths
-link with nothing. Only vec_id, embedding and label are read.
+link with nothing. Rows that repeat a vec_id with another vector are compared each, and share
+the id's name in components; an empty table gives no rows. Only vec_id, embedding and label
+are read.
 """
 
 from __future__ import annotations

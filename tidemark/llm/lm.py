@@ -18,7 +18,8 @@
 Defined cases: null is an empty text, whose only token is the end. A null doc_id is not
 held out, and is learned from. Words are compared by 64-bit hash, bigrams by the
 bits of theirs that the packing keeps (48 at least). With no training text all
-probabilities are 1. Only doc_id and text are read.
+probabilities are 1. Repeated rows are learned from and scored each; texts of any length are read
+whole; an empty table gives no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations

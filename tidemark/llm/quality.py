@@ -13,7 +13,8 @@ source and doc_id never enter a score.
 Defined cases: null text counts as ''; it has a score like any other. A null doc_id is
 not held out and has no label. Several labels of one id count as their maximum, null
 labels as none. Without labels of both kinds every score is the share of label 1
-(0.5 without labels). Repeated rows are scored alike.
+(0.5 without labels). Repeated rows are scored alike. Texts of any length are read whole; an empty
+table gives no rows. Only doc_id and text are read for a score, other columns may have any name.
 """
 
 from __future__ import annotations

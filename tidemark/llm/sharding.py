@@ -11,9 +11,10 @@ The second level searches the smallest capacity at which the items fit into the
 wanted number of shards. An item above an even share takes a shard alone, and the
 rest is packed evenly into the other shards.
 
-Defined cases: null text is a group of its own with no text bytes, like ''
-(sizes 8); its crc32 is that of no bytes. Null doc_ids are rows like others.
-Repeated rows are rows like others. An empty table gives no rows.
+Defined cases: null text counts as '' and is in its group (size 8, the crc32 of
+no bytes). Null doc_ids are rows like others, and so are repeated rows. A text of any length is
+one row of its size. An empty table gives no rows. Only doc_id and text are read, other
+columns may have any name.
 """
 
 from __future__ import annotations

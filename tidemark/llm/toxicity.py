@@ -18,8 +18,12 @@ source and doc_id never enter a score.
 
 Defined cases: null text counts as ''; a text without words is one window without words,
 which the network scores by its bias alone. A null doc_id is not held out and has no
-label. Several labels of one id count as their maximum, null labels as none. Without
-labels of both kinds every score is the share of label 1 (0 without labels).
+label. Several labels of one id count as their maximum, null labels as none; of an id's
+several texts the one with the least hash is learned from, and each row is scored by its
+own text (repeated rows alike). The sample's limits count labelled texts of the given
+documents that are short enough. Without labels of both kinds every score is the share of label 1
+(0 without labels); an empty table gives no rows. Ties between windows give the same
+score. Only doc_id and text are read for a score, other columns may have any name.
 """
 
 from __future__ import annotations
@@ -325,11 +329,14 @@ def fit(docs: DataFrame, labels: DataFrame):
     counts = dict(map(tuple, label.groupBy("label").count().collect()))
     if len(counts) < 2:
         return Constant(1.0 if 1 in counts else 0.0)
+    # the limits apply to labelled texts that can be used; of an id's several texts the one with the least hash
+    texts = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+             .where(F.octet_length("text") <= TRAIN_BYTES).withColumn("h", F.xxhash64("text")))
+    usable = texts.groupBy("doc_id").agg(F.min("h").alias("h")).join(label, "doc_id")
     order = F.xxhash64("doc_id")
-    chosen = label.where("label = 1").orderBy(order).limit(TOXIC_ROWS).unionByName(
-        label.where("label = 0").orderBy(order).limit(CLEAN_ROWS))
-    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .where(F.octet_length("text") <= TRAIN_BYTES).join(F.broadcast(chosen), "doc_id")
+    chosen = usable.where("label = 1").orderBy(order).limit(TOXIC_ROWS).unionByName(
+        usable.where("label = 0").orderBy(order).limit(CLEAN_ROWS))
+    rows = (texts.join(F.broadcast(chosen), ["doc_id", "h"])
             .select("doc_id", "text", "label").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
     truth = rows.column("label").to_numpy().astype(np.float64)
     if len(set(truth.tolist())) < 2:
@@ -353,7 +360,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches):
-        for block in blocks(batches, limit=2 << 20):
+        for block in blocks(batches):
             yield pa.RecordBatch.from_arrays([block.column("doc_id").combine_chunks().cast(pa.int64()),
                                               pa.array(shared.value.score(block.column("text")))], ["doc_id", "score"])
     return (docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
@@ -366,7 +373,7 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches):
-        for block in blocks(batches, limit=2 << 20):
+        for block in blocks(batches):
             keep = shared.value.score(block.column("text")) < threshold
             yield from block.filter(pa.array(keep)).to_batches()
     return docs.mapInArrow(run, docs.schema)
