@@ -5,9 +5,11 @@ Each stage takes (spark, docs, sf_dir) and returns the rows that it keeps; the n
 works on these. ``run`` writes each stage's rows to shared scratch and rereads them, so a
 lost executor costs its tasks only.
 
-A stage handles null and empty texts, repeated rows and null ids as its operator's
-docstring says: texts without words pass the near-duplicate and the benchmark stage;
-models are fitted on the labels of the documents that a stage gets.
+A stage handles null and empty texts and null ids as its operator's docstring says: texts
+without words pass the near-duplicate and the benchmark stage; models are fitted on the
+labels of the documents that a stage gets. Of rows that repeat id and text the near-duplicate
+stage keeps one; of rows that share an id each text is judged by itself. Other columns are
+kept as they are, and an empty table goes through all stages.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, jaccard, quality, toxicity, winnow
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import small_batches, stored, table
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +39,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of what is left."""
+    small_batches(spark)
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

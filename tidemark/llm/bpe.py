@@ -8,7 +8,9 @@ neighbours. Blocks are bounded in bytes. No rows are shuffled, so equal texts or
 frequent words need no care and a lost task is simply run again.
 
 Defined cases: null is an empty text, which has no ids; there are no special tokens
-(their strings are ordinary text). Only doc_id and text are read.
+(their strings are ordinary text). Repeated rows are rows like others; an empty table gives no
+rows; a text longer than a block is a block of its own, and words of any length are merged
+whole. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import blocks, table
 
-BLOCK = 12 << 20         # bytes of text whose words are merged together
+BLOCK = 4 << 20          # bytes of text whose words are merged together
 NONE = np.int32(2**31 - 1)
 
 

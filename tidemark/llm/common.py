@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 BLOCK_BYTES = (2 << 20) - 1    # texts handled at once in a Python worker
+BATCH_ROWS = 500               # rows sent to a Python worker at once: documents are long
 BITMAP_WORDS = 1 << 18         # rows of a key bitmap; 63 bits each, 4 MB in all
 
 SPACE = np.zeros(256, bool)    # \x20 and \x09-\x0D
@@ -31,13 +32,21 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches between Spark and its Python workers by rows, as buffers of the usual
+    10,000 documents take hundreds of MB a task on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to a new folder under spark.checkpoint.dir and read back:
     later jobs reread the files, also after executors are lost."""
+    small_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -94,13 +103,17 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]   # powers of the base
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0], _POWERS[1]
+    """At least ``n`` powers of each; those a usual block needs are kept, longer tables are not."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    size, made = 1 << (n - 1).bit_length(), []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(size, base, np.uint64)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p, out=p))
+    if size <= BLOCK_BYTES + 1:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 class Words(NamedTuple):

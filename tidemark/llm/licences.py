@@ -22,7 +22,9 @@ not shuffled.
 Defined cases: null and empty texts have no paragraphs (n_paragraphs counts the lines with
 a word) and no licences. n_licences counts, for each block and family, the lines that
 hold it, or one if only windows do. Rows with the same doc_id and text are judged together, each has its
-row; a null doc_id is judged like others. Only doc_id and text are read.
+row; a null doc_id is judged like others. An empty table gives no rows. Of classes that are
+equally likely the first counts, and of templates of one family all that stand. Only doc_id and
+text are read.
 """
 
 from __future__ import annotations
