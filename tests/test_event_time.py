@@ -150,3 +150,14 @@ def test_metrics_leave_out_the_same_late_rows_in_both_forms(spark, mk):
                 feed.run_available(s)
         got.append(sorted(map(tuple, P.latest_metrics(spark, lay).collect())))
     assert got[0] == got[1] and sorted(r[-1] for r in got[0]) == [1, 2, 8]
+
+
+def test_windows_fire_in_a_session_with_the_default_state_store(spark, mk):
+    """A session that is not built here names no state store; the operator needs RocksDB."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    had = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        assert _emissions(spark, mk, [[(5 * SEC, 1), (40 * SEC, 2)]]) == [[(0, 2, 3, "early")]]
+    finally:
+        spark.conf.set(key, had)

@@ -33,6 +33,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..functions.scalar import round_half_up_div
 from ..functions.time import epoch_ms_to_ts, interval_ms
 from ..schemas import DEC_28_8
+from ..session import rocksdb_state
 
 TOTALS = ["trade_count", "total_value", "sum_price", "total_volume"]
 _TOTAL_TYPES = "trade_count bigint, total_value decimal(38,8), sum_price decimal(38,2), total_volume bigint"
@@ -138,6 +139,7 @@ def firing_metrics(enriched: DataFrame, width: str = "1 minute", *, every: str =
     The newest emission of a (window_start, sector) holds its totals. Rows without a time
     belong to no window; a NULL sector is a sector of its own.
     """
+    rocksdb_state(enriched.sparkSession)
     width_ms, late_ms = interval_ms(width), interval_ms(lateness)
     declared = interval_ms(delay) + late_ms + width_ms
     parts = (enriched.where(F.col("trade_timestamp").isNotNull())
