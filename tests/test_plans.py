@@ -110,3 +110,16 @@ def test_auto_plan_choice_is_size_checked(spark, monkeypatch):
     monkeypatch.setattr(asof, "AUTO_PLAIN_MAX_BYTES", 0)
     assert asof.choose_bucket(t, i, "auto") == asof.AUTO_BUCKET
     assert asof.choose_bucket(t, i, "2 hours") == "2 hours"
+
+
+def test_auto_plan_stays_plain_where_no_symbol_is_large(spark, mk, monkeypatch):
+    """Past the size limit the largest symbol's share decides, so volume per row does not jump with the size."""
+    day_ms = 86_400_000
+    i = mk.info([(f"S{k}", day_ms, k, "a") for k in range(100)])
+    even = mk.trades([(f"S{k % 100}", day_ms * (k // 100 + 1), k) for k in range(400)])
+    hot = mk.trades([("S1" if k % 2 else f"S{k % 100}", day_ms * (k // 100 + 1), k) for k in range(400)])
+    monkeypatch.setattr(asof, "AUTO_PLAIN_MAX_BYTES", asof.estimated_bytes(even, i) // 20)
+    assert asof.choose_bucket(even, i, "auto") is None
+    assert asof.choose_bucket(hot, i, "auto") == asof.AUTO_BUCKET
+    p = plan(latest.dedup_first(asof.enrich_asof(even, i), ["symbol", "trade_timestamp", "volume"]))
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1
