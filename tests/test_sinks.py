@@ -29,6 +29,21 @@ def test_insert_ignore_within_and_across_batches(spark, mk):
     assert tbl.read_table(spark, path).count() == 2
 
 
+def test_insert_ignore_joins_only_where_keys_can_meet(spark, mk, monkeypatch):
+    """A batch whose range the table does not reach is written without a join, and no row of it is lost."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    path, keys, joins = scratch_path(spark, "t-ignore-range"), ["symbol", "trade_timestamp", "volume"], []
+    join = DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda self, *a, **k: joins.append(a[-1]) or join(self, *a, **k))
+    batches = [[("S", day("10:00"), 1)], [("S", day("11:00"), 2), ("S", day("11:00"), 3), ("S", None, 4)],
+               [("S", None, 5)], [("S", day("10:30"), 6), ("S", day("11:00"), 7)]]
+    for n, rows in enumerate(batches):
+        upsert.upsert(mk.trades(rows), path, n, keys, prune_on="trade_timestamp")
+        assert joins.count("left_anti") == (n == 3)
+    assert sorted(r.seq for r in tbl.read_table(spark, path).collect()) == [1, 2, 4, 5, 6]
+
+
 def test_upsert_update_latest_wins_and_replay(spark):
     path = scratch_path(spark, "t-update")
     w = dt.datetime(2024, 1, 1, 10, 0)
