@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import jaccard
+from tidemark.llm import common, jaccard
 
 
 def word_sets(text):
@@ -112,3 +112,21 @@ def test_whole_table(spark):
 
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     assert got(jaccard.query(spark, "/root/testdata/sf0.001")) == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_rounds_take_few_exchanges(spark, monkeypatch):
+    """Every exchange is a stage with a task a partition, so a run's time on a small table is their number."""
+    seen, keep = [], common.stored
+
+    def stored(df, name, codec="snappy"):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((name, len(re.findall(r"\bExchange ", plan))))
+        return keep(df, name, codec)
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    monkeypatch.setattr(common, "stored", stored)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(d, " ".join(words[:50 - d % 7] + [f"x{d % 7}"])) for d in range(40)] + [(99, "alone here")]
+    out = jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in out if r.doc_id != 99} == {0}
+    assert sum(n for _, n in seen) <= 85, seen

@@ -47,7 +47,7 @@ HOT = 20_000              # sets with one shingle that go to one bucket, at leas
 ABOVE = 4                 # times the mean count of the frequency table that a frequent shingle must reach too
 FLUSH = 500_000           # postings that a task holds before it deals them out
 TILE = 512                # sets on either side of a tile
-ROUNDS = 2                # rounds with the most similar set only
+ROUNDS = 1                # rounds with the most similar set only
 
 
 def text_sets(column, size: int = SHINGLE) -> list[np.ndarray]:
@@ -248,21 +248,24 @@ def _exact(batches):
             yield from block.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).to_batches()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (a, b) that link: by bitmaps, then by exact intersection.
-
-    Texts are fetched only for pairs that pass the bitmaps."""
+def near_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that may link by their bitmaps."""
     bits = sets.select(F.col("doc_id").alias("id"), "n", "bits")
     both = (pairs.join(bits.withColumnsRenamed({"id": "a", "n": "na", "bits": "x"}), "a")
             .join(bits.withColumnsRenamed({"id": "b", "n": "nb", "bits": "y"}), "b"))
-    near = stored(both.select("a", "b", "na", "nb", "x", "y").mapInArrow(_near_bitmaps, "a long, b long").distinct(),
-                  "near-pairs")
+    return both.select("a", "b", "na", "nb", "x", "y").mapInArrow(_near_bitmaps, "a long, b long")
+
+
+def verified(near: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that link, by exact intersection. Texts are fetched for pairs only
+    that have passed the bitmaps."""
+    near = stored(near, "near-pairs")
     ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     texts = (marked(docs, F.col("doc_id"), key_bitmap(F.col("id"), ids), "left_semi")
              .join(ids, F.col("doc_id") == F.col("id"), "left_semi"))
     two = (near.join(texts.withColumnsRenamed({"doc_id": "a", "text": "x"}), "a")
            .join(texts.withColumnsRenamed({"doc_id": "b", "text": "y"}), "b"))
-    return two.select("a", "b", "x", "y").mapInArrow(_exact, "a long, b long").distinct()
+    return two.select("a", "b", "x", "y").mapInArrow(_exact, "a long, b long")
 
 
 def _compare_tile(docs, sizes, groups, sides, bits, nearest):
@@ -359,7 +362,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     full = own.where("n > 0 and doc_id is not null")
     classes = stored(full.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("first"), F.first("bits").alias("bits")),
                      "jaccard-classes")
-    sets = stored(classes.select(F.col("first").alias("doc_id"), "n", "bits").distinct(), "jaccard-bits")
+    sets = classes.select(F.col("first").alias("doc_id"), "n", "bits")
     # ids that are a copy in every class of theirs need no comparison
     copies = (full.join(classes.select("d1", "d2", "n", "first"), ["d1", "d2", "n"]).where("doc_id > first")
               .select(F.col("doc_id").alias("id")).distinct()
@@ -380,10 +383,10 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     center = bridge.groupBy("run").agg(F.min("doc").alias("to"))
     bridge = bridge.join(center, "run").where("doc <> to").select(F.col("to").alias("a"), F.col("doc").alias("b"))
     pairs = runs.where("kind = 0").select("a", "b").unionByName(bridge).distinct()
-    found = stored(verified(pairs, sets, docs), "jaccard-links")
+    found = stored(verified(near_pairs(pairs, sets), docs), "jaccard-links")
     groups = components(found, "a", "b", 2)
     for last in [False] * ROUNDS + [True]:
-        more = stored(verified(tile_pairs(members, groups, sets, not last), sets, docs), "jaccard-links")
+        more = stored(verified(tile_pairs(members, groups, sets, not last), docs), "jaccard-links")
         # the stars so far and the new links
         found = found.unionByName(more)
         stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
