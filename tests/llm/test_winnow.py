@@ -5,6 +5,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import winnow
 
@@ -110,3 +111,16 @@ def test_whole_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     assert got(winnow.query(spark, sf)) == brute(docs, items)
+
+
+def test_fingerprint_places_are_the_first_least_of_every_window(spark):
+    """From hashes that carry their places, so that a window is cut out once and not searched again."""
+    r, low = random.Random(5), -(2**63)
+    rows = [(k, [r.choice([low, -4096, 0, 4096, r.randrange(low, 2**63) // 4096 * 4096]) for _ in range(n)])
+            for k, n in enumerate([0, 1, 5, 6, 7, 300, winnow.PIECE + winnow.SPAN - winnow.GRAM])]
+    df = spark.createDataFrame(rows, "k long, h array<bigint>").withColumn("p", winnow.placed_hashes(F.col("h")))
+    got = {x.k: x.places for x in df.select("k", winnow.fingerprint_places(F.col("p"), 6).alias("places")).collect()}
+    assert winnow.PLACES > winnow.PIECE + winnow.SPAN
+    for k, h in rows:
+        want = [i + h[i:i + 6].index(min(h[i:i + 6])) for i in range(len(h) - 5)]
+        assert got[k] == sorted(set(want))

@@ -33,6 +33,7 @@ from .common import key_bitmap, marked, stored, table
 SPAN = 10
 GRAM = 5
 PIECE = 1024             # windows of a text that are handled in one row
+PLACES = 2048            # places that are told apart within a piece, a power of 2 above PIECE + SPAN
 PART = 250_000           # rows of the benchmark's grams that are broadcast at once (about 50 MB)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,13 +52,18 @@ def grams(of: Column, size: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def fingerprint_places(hashes: Column, window: int) -> Column:
-    """The places (from 0) of the first least hash of every window of consecutive hashes."""
-    def first_least(i: Column) -> Column:
-        part = F.slice(hashes, i, window)
-        return i + F.array_position(part, F.array_min(part)) - 2
-    least = F.transform(F.sequence(F.lit(1), F.size(hashes) - (window - 1)), first_least)
-    return F.when(F.size(hashes) >= window, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
+def placed_hashes(hashes: Column) -> Column:
+    """Every hash with its place (from 0) in the low bits, so that the least of them tells where it is.
+    Order is that of the hashes; of equal ones the first is the least."""
+    return F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(-PLACES).cast("bigint")).bitwiseOR(i.cast("bigint")))
+
+
+def fingerprint_places(placed: Column, window: int) -> Column:
+    """The places of the least hash of every window of consecutive ``placed_hashes``, which are to be a
+    column of their own: one that is computed here would be computed again for each window."""
+    least = F.transform(F.sequence(F.lit(1), F.size(placed) - (window - 1)), lambda i: F.array_min(F.slice(placed, i, window))
+                        .bitwiseAND(F.lit(PLACES - 1).cast("bigint")))
+    return F.when(F.size(placed) >= window, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _reach(own: Column, other: Column, step: int, most: int) -> Column:
@@ -87,8 +93,8 @@ def _prints(docs: DataFrame, lengths: list[int]) -> DataFrame:
                       lambda i: F.slice("all", i + 1, PIECE + SPAN - 1))
     pieces = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("all"))
               .select("doc_id", "text_hash", F.size("all").alias("n_words"), F.posexplode(cut).alias("piece", "words"))
-              .withColumn("hashes", grams(own, GRAM)))
-    found = [F.transform(fingerprint_places(F.col("hashes"), SPAN - GRAM + 1), lambda p: _placed(
+              .withColumn("hashes", grams(own, GRAM)).withColumn("placed", placed_hashes(F.col("hashes"))))
+    found = [F.transform(fingerprint_places(F.col("placed"), SPAN - GRAM + 1), lambda p: _placed(
         F.get(F.col("hashes"), p.cast("int")), p, own, GRAM))]
     for n in lengths:       # of the words that two pieces share, the later piece has those past PIECE
         found.append(_every_place(own, n))
