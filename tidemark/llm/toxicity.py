@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTE, Words, blocks, mix, split_words, table
+from .common import WORD_BYTE, Words, blocks, give_back, mix, split_words, table
 from .quality import held_out_column, one_label
 
 WINDOW, STRIDE = 24, 16
@@ -43,7 +43,7 @@ TOXIC_ROWS, CLEAN_ROWS, TRAIN_BYTES = 1500, 3000, 50_000
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 LEAST_STEPS = 150         # a small sample is passed over more often, so that the gates are trained at all
 SLOW = 0.1                # share of the rate for word and piece vectors, which would else learn single texts
-CHUNK = 4096              # windows handled at once
+CHUNK = 1024              # windows handled at once
 
 
 def pieces(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +76,7 @@ class Vocabulary:
     @classmethod
     def of_rows(cls, rows: pa.Table) -> Vocabulary:
         """Of a table's texts, read in small blocks."""
-        parts = [cls(b.column("text")) for b in blocks(rows.to_batches(), limit=1 << 20)]
+        parts = [cls(b.column("text")) for b in blocks(rows.to_batches())]
         out = object.__new__(cls)
         out.hash, where = np.unique(np.concatenate([p.hash for p in parts]), return_index=True)
         number = np.concatenate([np.diff(np.append(p.piece_first, len(p.piece))) for p in parts])
@@ -344,14 +344,18 @@ def fit(docs: DataFrame, labels: DataFrame):
     apart = mix(rows.column("doc_id").to_numpy().astype(np.uint64)) % np.uint64(5) == 0
     if min(truth[~apart].sum(), (1 - truth[~apart]).sum()) < 1:
         apart[:] = False
-    net = Network()
-    net.train(Vocabulary.of_rows(rows.filter(pa.array(~apart))), truth[~apart])
+    net, known = Network(), Vocabulary.of_rows(rows.filter(pa.array(~apart)))
+    give_back()
+    net.train(known, truth[~apart])
+    del known
+    give_back()
     if min(truth[apart].sum(), (1 - truth[apart]).sum()) >= 5:
         logit, _, _ = net.texts(Vocabulary.of_rows(rows.filter(pa.array(apart))))
         own = truth[apart]
         share = counts[1] / (counts[0] + counts[1])
         weight = np.where(own > 0, share / own.mean(), (1 - share) / (1 - own.mean()))
         net.calibrate(logit, own, weight)
+        give_back()
     return net
 
 
