@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTE, Words, blocks, give_back, mix, split_words, table
+from .common import BLOCK_BYTES, WORD_BYTE, Words, blocks, give_back, mix, split_words, table
 from .quality import held_out_column, one_label
 
 WINDOW, STRIDE = 24, 16
@@ -76,7 +76,7 @@ class Vocabulary:
     @classmethod
     def of_rows(cls, rows: pa.Table) -> Vocabulary:
         """Of a table's texts, read in small blocks."""
-        parts = [cls(b.column("text")) for b in blocks(rows.to_batches())]
+        parts = [cls(b.column("text")) for b in blocks(rows.to_batches(), limit=BLOCK_BYTES)]
         out = object.__new__(cls)
         out.hash, where = np.unique(np.concatenate([p.hash for p in parts]), return_index=True)
         number = np.concatenate([np.diff(np.append(p.piece_first, len(p.piece))) for p in parts])
