@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, stored, table
+from .common import components, roots, stored, table
 
 TREES = 5
 LEAF = 512               # vectors wanted in a leaf
@@ -122,19 +122,6 @@ def _route(shared):
     return run
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest place that each place reaches by the links (a, b)."""
-    root = np.arange(n)
-    while True:
-        before = root.copy()
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        if (root == before).all():
-            return root
-
-
 def _compare(threshold: float):
     def run(rows: pa.Table) -> pa.Table:
         """(id, links, root): weights of linked vectors counted in this leaf, and a linked id."""
@@ -162,7 +149,7 @@ def _compare(threshold: float):
             first = member[p, common.argmax(1)] == here
             np.add.at(links, p[first], weight[q[first]])
             np.add.at(links, q[first], weight[p[first]])
-        root = _roots(len(ids), a, b)
+        root = roots(len(ids), a, b)
         keep = np.zeros(len(ids), bool)
         keep[a] = keep[b] = True
         return pa.table({"id": pa.array(ids[keep]), "links": pa.array(links[keep]), "root": pa.array(ids[root[keep]])})

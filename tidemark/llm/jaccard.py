@@ -384,13 +384,12 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     bridge = bridge.join(center, "run").where("doc <> to").select(F.col("to").alias("a"), F.col("doc").alias("b"))
     pairs = runs.where("kind = 0").select("a", "b").unionByName(bridge).distinct()
     found = stored(verified(near_pairs(pairs, sets), docs), "jaccard-links")
-    groups = components(found, "a", "b", 2)
+    groups = components(found, "a", "b")
     for last in [False] * ROUNDS + [True]:
         more = stored(verified(tile_pairs(members, groups, sets, not last), docs), "jaccard-links")
         # the stars so far and the new links
-        found = found.unionByName(more)
         stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = components(stars.unionByName(found), "a", "b", None if last else 2)
+        groups = components(stars.unionByName(more), "a", "b")
     of_set = classes.select("d1", "d2", "n", "first").join(
         groups.withColumnRenamed("node", "first"), "first", "left")
     of_set = of_set.select("d1", "d2", "n", F.coalesce("component", "first").alias("component"))
